@@ -18,37 +18,56 @@ def _text(name: str, dtype: T.DataType) -> Column:
     return col.cast("string")
 
 
+def _chosen(schema: T.StructType, columns: Sequence[str] | None) -> list[T.StructField]:
+    if columns is None:
+        return list(schema.fields)
+    by_name = {f.name.lower(): f for f in schema.fields}
+    return [by_name[c.lower()] for c in columns]
+
+
+#: types whose text never holds the separator
+_PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def row_hash(schema: T.StructType, columns: Sequence[str] | None = None) -> Column:
-    """SHA-256 of a row. Each value is written as ``length:text`` and NULL as ``-``,
-    so neither separators inside values nor NULLs can make two rows look alike."""
-    wanted = [c.lower() for c in columns] if columns is not None else None
-    fields = [f for f in schema.fields if wanted is None or f.name.lower() in wanted]
-    if wanted is not None:
-        fields.sort(key=lambda f: wanted.index(f.name.lower()))
+    """SHA-256 of a row. Values are joined by ``|``; texts are written as ``length:text``
+    and NULL as ``-``, so neither separators inside texts nor NULLs can make two rows
+    look alike."""
     parts = []
-    for f in fields:
+    for f in _chosen(schema, columns):
         text = _text(f.name, f.dataType)
-        parts.append(
-            F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-        )
+        if not isinstance(f.dataType, _PLAIN):
+            text = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(text, F.lit("-")))
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-#: a SHA-256 hex string cut into four pieces of 15 digits: each fits a BIGINT
-_WORDS = (1, 16, 31, 46)
+def row_words(schema: T.StructType, columns: Sequence[str] | None = None) -> list[Column]:
+    """Two independent 64-bit hashes of a row, much cheaper than SHA-256: no value becomes
+    text. NULL flags are hashed along, because the hash function skips NULLs."""
+    fields = _chosen(schema, columns)
+    values = [F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f"`{f.name}`") for f in fields]
+    nulls = [F.col(f"`{f.name}`").isNull() for f in fields]
+    return [F.xxhash64(F.lit(seed), *nulls, *values) for seed in (1, 2)]
+
+
+_PIECE_BITS = 20
+
+
+def word_pieces(words: Sequence[Column]) -> list[Column]:
+    """Cut 64-bit words into 20-bit pieces: a BIGINT sum of them holds 8 * 10**12 rows."""
+    mask = F.lit((1 << _PIECE_BITS) - 1)
+    return [F.shiftright(w, at * _PIECE_BITS).bitwiseAND(mask) for w in words for at in range(3)]
 
 
-def multiset_digest(hash_column: str) -> Column:
-    """Aggregate: one hash for an unordered group of row hashes.
+def multiset_digest(words: Sequence[Column]) -> Column:
+    """Aggregate: one hash for an unordered group of rows, given their ``row_words``.
 
-    Sums of hash pieces plus the row count are commutative, so Spark combines them
-    before the shuffle and a hot group never sits in one task; sorting and joining
-    the hashes of a group would need exactly that.
+    The six sums and the row count are commutative, so Spark combines them before the
+    shuffle and a hot group never sits in one task; sorting and joining the hashes of a
+    group would need exactly that.
     """
-    sums = [
-        F.sum(F.conv(F.substring(hash_column, at, 15), 16, 10).cast("decimal(20,0)")).cast("string")
-        for at in _WORDS
-    ]
+    sums = [F.sum(piece).cast("string") for piece in word_pieces(words)]
     return F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256)
 
 

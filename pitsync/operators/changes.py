@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitsync.functions.hashing import multiset_digest, row_hash
+from pitsync.functions.hashing import multiset_digest, row_hash, row_words, word_pieces
 from pitsync.functions.names import require
 
 STATUSES = ("new", "changed", "unchanged", "deleted")
@@ -22,47 +22,65 @@ def hash_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None
 def hash_groups(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """One order-free hash per group, e.g. per month or bucket: ``by..., rows, row_hash``."""
     names = [require(df, k) for k in by]
-    hashed = df.select(*names, row_hash(df.schema, columns).alias("__h"))
+    one, two = row_words(df.schema, columns)
+    hashed = df.select(*names, one.alias("__one"), two.alias("__two"))
     return hashed.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("rows"), multiset_digest("__h").alias("row_hash")
+        F.count(F.lit(1)).alias("rows"), multiset_digest([F.col("__one"), F.col("__two")]).alias("row_hash")
     )
 
 
-def diff_hashes(old: DataFrame, new: DataFrame, keys: Sequence[str], hash_column: str = "row_hash") -> DataFrame:
-    """Status of every key: new, changed, unchanged or deleted.
-
-    Both sides are stacked and aggregated instead of joined: one shuffle, combined before
-    it, and a key repeated many times costs no more than others. A key repeated on one
-    side is unchanged only if the counts and both extremes of its hashes agree.
-    """
-    def side(df: DataFrame, is_new: int) -> DataFrame:
-        return df.select(*[require(df, k) for k in keys], F.col(hash_column), F.lit(is_new).alias("__new"))
-
-    both = side(old, 0).unionByName(side(new, 1))
-    is_new, is_old = F.col("__new") == 1, F.col("__new") == 0
-    h = F.col(hash_column)
-    grouped = both.groupBy(*keys).agg(
-        F.count_if(is_old).alias("__n_old"),
-        F.count_if(is_new).alias("__n_new"),
-        F.min(F.when(is_old, h)).alias("__old_lo"),
-        F.max(F.when(is_old, h)).alias("__old_hi"),
-        F.min(F.when(is_new, h)).alias("__new_lo"),
-        F.max(F.when(is_new, h)).alias("__new_hi"),
-    )
-    same = (
-        (F.col("__n_old") == F.col("__n_new"))
-        & F.col("__old_lo").eqNullSafe(F.col("__new_lo"))
-        & F.col("__old_hi").eqNullSafe(F.col("__new_hi"))
-    )
+def _side(df: DataFrame, keys: Sequence[str], words: Sequence[Column], sign: int) -> DataFrame:
+    names = [F.col(require(df, k)).alias(k) for k in keys]
+    pieces = [(p * sign).alias(f"__p{i}") for i, p in enumerate(word_pieces(words))]
+    counts = [F.lit(int(sign < 0)).alias("__old"), F.lit(int(sign > 0)).alias("__new")]
+    return df.select(*names, *counts, *pieces)
+
+
+def _status(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides are stacked and aggregated instead of joined: one shuffle, combined
+    before it, and a key repeated many times costs no more than others. Hashes enter as
+    sums of number pieces, new ones positive and old ones negative, so a plain hash
+    aggregation does it; a key, repeated or not, is unchanged if counts agree and all
+    sums cancel."""
+    both = old.unionByName(new)
+    sums = [c for c in both.columns if c.startswith("__")]
+    grouped = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    same = F.col("__old") == F.col("__new")
+    for c in sums[2:]:
+        same = same & (F.col(c) == 0)
     status = (
-        F.when(F.col("__n_old") == 0, F.lit("new"))
-        .when(F.col("__n_new") == 0, F.lit("deleted"))
+        F.when(F.col("__old") == 0, F.lit("new"))
+        .when(F.col("__new") == 0, F.lit("deleted"))
         .when(same, F.lit("unchanged"))
         .otherwise(F.lit("changed"))
     )
     return grouped.select(*keys, status.alias("status"))
 
 
+def diff_hashes(old: DataFrame, new: DataFrame, keys: Sequence[str], hash_column: str = "row_hash") -> DataFrame:
+    """Status of every key of two hash tables: new, changed, unchanged or deleted."""
+    text = F.coalesce(F.col(hash_column), F.lit(""))
+    words = [F.xxhash64(F.lit(seed), text) for seed in (1, 2)]
+    return _status(_side(old, keys, words, -1), _side(new, keys, words, 1), keys)
+
+
+def diff_rows(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Status of every key of two tables, without SHA-256: about three times as fast.
+
+    ``columns`` default to those of ``new``. Both tables must give them the same types,
+    or equal values would hash differently.
+    """
+    names = [require(new, c) for c in (columns or new.columns)]
+    for c in names:
+        kinds = old.schema[require(old, c)].dataType, new.schema[c].dataType
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"column {c} is {kinds[0].simpleString()} and {kinds[1].simpleString()}")
+    sides = [_side(df, keys, row_words(df.schema, names), sign) for df, sign in ((old, -1), (new, 1))]
+    return _status(sides[0], sides[1], keys)
+
+
 def rows_to_write(new: DataFrame, status: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key, or group, is new or changed."""
     touched = status.where(F.col("status").isin("new", "changed"))

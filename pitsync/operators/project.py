@@ -23,14 +23,14 @@ def derive(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def unpack_json(
     df: DataFrame,
     column: str,
-    fields: Mapping[str, tuple[str, str]],
+    fields: Mapping[str, tuple[str, str]] | Sequence[tuple[str, str, str]],
     keep: Sequence[str] = (),
     strict: bool = False,
 ) -> DataFrame:
     """Typed columns from a JSON string or VARIANT column.
 
-    ``fields`` maps a path (``$.k`` or just ``k``; case counts) to ``(name, type)``. A
-    missing path is NULL. A value that does not cast is NULL too, or an error if strict.
+    ``fields`` maps a path (``$.k`` or just ``k``; case counts) to ``(name, type)``, or
+    lists ``(path, name, type)`` if a path is wanted twice. A missing path is NULL. A value that does not cast is NULL too, or an error if strict.
     """
     if isinstance(df.schema[column].dataType, T.VariantType):
         parsed = F.col(column)
@@ -39,7 +39,8 @@ def unpack_json(
     get = F.variant_get if strict else F.try_variant_get
     out = df.withColumn("__v", parsed)
     columns = []
-    for path, (name, dtype) in fields.items():
+    triples = [(p, *rest) for p, rest in fields.items()] if isinstance(fields, Mapping) else fields
+    for path, name, dtype in triples:
         json_path = path if path.startswith("$") else f"$.{path}"
         columns.append(get(F.col("__v"), json_path, dtype).alias(name))
     return out.select(*columns, *keep)

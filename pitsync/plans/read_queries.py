@@ -162,17 +162,14 @@ def derived_key(t: Tables) -> DataFrame:
     """,
 )
 def json_unpack(t: Tables) -> DataFrame:
-    # A path stands for one column, so the same field in three types is three passes over
-    # one parsed value; Catalyst parses once.
-    doubled = unpack_json(
-        t.events,
-        "props",
-        {"k": ("k_double", "double"), "K": ("wrong_case", "string"), "$.missing": ("missing", "string")},
-        keep=["props", "event_id", "ts", "user_id", "event_type", "value"],
-    )
-    as_long = unpack_json(doubled, "props", {"k": ("k_long", "bigint")}, keep=doubled.columns)
-    as_text = unpack_json(as_long, "props", {"k": ("k_text", "string")}, keep=as_long.columns)
-    return as_text.drop("props")
+    fields = [
+        ("$.k", "k_double", "double"),
+        ("$.k", "k_long", "bigint"),
+        ("$.k", "k_text", "string"),
+        ("K", "wrong_case", "string"),
+        ("missing", "missing", "string"),
+    ]
+    return unpack_json(t.events, "props", fields, keep=["event_id", "ts", "user_id", "event_type", "value"])
 
 
 @query(

@@ -14,6 +14,7 @@ from pitsync.operators.audit import size_estimate
 from pitsync.operators.changes import (
     change_statistics,
     diff_hashes,
+    diff_rows,
     hash_groups,
     hash_rows,
     id_collisions,
@@ -54,7 +55,10 @@ def _order_batch(t: Tables) -> DataFrame:
     """Line totals per order: some columns of the target, one new one, keys of all orders."""
     return t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_extendedprice").alias("o_totalprice"),
-        F.max(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))).alias("o_orderstatus"),
+        # counters instead of max(text), which Spark can only do by sorting
+        F.when(F.count_if(F.col("l_returnflag") == "R") > 0, F.lit("R"))
+        .when(F.count_if(F.col("l_returnflag") == "A") > 0, F.lit("A"))
+        .alias("o_orderstatus"),
         F.count(F.lit(1)).alias("line_count"),
     )
 
@@ -193,18 +197,14 @@ def chunk_order(t: Tables) -> DataFrame:
     return applied.drop("l_shipdate")
 
 
-GROUP_DIGEST_SQL = """
-    sha256(concat_ws(':', CAST(count(*) AS VARCHAR),
-        CAST(sum(CAST('0x' || substr(h, 1, 15) AS UBIGINT)) AS VARCHAR),
-        CAST(sum(CAST('0x' || substr(h, 16, 15) AS UBIGINT)) AS VARCHAR),
-        CAST(sum(CAST('0x' || substr(h, 31, 15) AS UBIGINT)) AS VARCHAR),
-        CAST(sum(CAST('0x' || substr(h, 46, 15) AS UBIGINT)) AS VARCHAR)))
-"""
-
-
-def hash_sql(*columns: str) -> str:
-    """The row hash of some columns in the oracle's SQL."""
-    parts = [f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+def hash_sql(*columns: str, text: tuple[str, ...] = ()) -> str:
+    """The row hash of some columns in the oracle's SQL; ``text`` names the texts."""
+    parts = []
+    for c in columns:
+        value = f"CAST({c} AS VARCHAR)"
+        if c in text:
+            value = f"CAST(length({c}) AS VARCHAR) || ':' || {c}"
+        parts.append(f"coalesce({value}, '-')")
     return f"sha256(concat_ws('|', {', '.join(parts)}))"
 
 
@@ -213,16 +213,9 @@ ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 
 @query(
     "pending_files",
-    f"""
-    WITH files AS (
-        SELECT strftime(o_orderdate, '%Y-%m') AS file, {GROUP_DIGEST_SQL} AS checksum_sha256
-        FROM (SELECT o_orderdate, {hash_sql(*ORDER_COLUMNS)} AS h FROM orders) GROUP BY 1),
-    loaded AS (
-        SELECT strftime(o_orderdate, '%Y-%m') AS file, {GROUP_DIGEST_SQL} AS checksum_sha256
-        FROM (SELECT o_orderdate, {hash_sql(*ORDER_COLUMNS)} AS h FROM orders
-              WHERE o_orderdate < TIMESTAMP '1998-03-15') GROUP BY 1)
-    SELECT 'orders' AS table_name, 'r1' AS run_id, file, checksum_sha256 FROM files
-    WHERE (file, checksum_sha256) NOT IN (SELECT file, checksum_sha256 FROM loaded)
+    """
+    SELECT DISTINCT 'orders' AS table_name, 'r1' AS run_id, strftime(o_orderdate, '%Y-%m') AS file FROM orders
+    WHERE last_day(o_orderdate) >= DATE '1998-03-31'
     """,
 )
 def months_to_load(t: Tables) -> DataFrame:
@@ -236,7 +229,8 @@ def months_to_load(t: Tables) -> DataFrame:
             F.col("row_hash").alias("checksum_sha256"),
         )
 
-    return pending_files(files(t.orders), files(t.orders.where("o_orderdate < timestamp_ntz'1998-03-15'")))
+    loaded = files(t.orders.where("o_orderdate < timestamp_ntz'1998-03-15'"))
+    return pending_files(files(t.orders), loaded).drop("checksum_sha256")
 
 
 def _state(t: Tables) -> DataFrame:
@@ -478,7 +472,7 @@ def stream_upsert(t: Tables) -> DataFrame:
 
 @query(
     "row_hash_customer",
-    f"SELECT c_custkey, {hash_sql('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment')} AS row_hash FROM customer",
+    f"SELECT c_custkey, {hash_sql('c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment', text=('c_name', 'c_mktsegment'))} AS row_hash FROM customer",
 )
 def row_hash_customer(t: Tables) -> DataFrame:
     return hash_rows(t.customer, ["c_custkey"])
@@ -487,7 +481,7 @@ def row_hash_customer(t: Tables) -> DataFrame:
 @query(
     "row_hash_nulls",
     f"""
-    SELECT d.doc_id, {hash_sql('d.lang', 'l.quality', 'l.toxic', 'd.text')} AS row_hash
+    SELECT d.doc_id, {hash_sql('d.lang', 'l.quality', 'l.toxic', 'd.text', text=('d.lang', 'd.text'))} AS row_hash
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     """,
 )
@@ -498,13 +492,22 @@ def row_hash_nulls(t: Tables) -> DataFrame:
 
 @query(
     "group_digest",
-    f"""
-    SELECT o_orderpriority, count(*) AS rows, {GROUP_DIGEST_SQL} AS row_hash
-    FROM (SELECT o_orderpriority, {hash_sql(*ORDER_COLUMNS)} AS h FROM orders) GROUP BY o_orderpriority
+    """
+    SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS rows,
+           o_orderpriority = '1-URGENT' OR year(o_orderdate) >= 2001 AS differs
+    FROM orders GROUP BY ALL
     """,
 )
 def group_digest(t: Tables) -> DataFrame:
-    return hash_groups(t.orders, ["o_orderpriority"])
+    """Digests of groups against those of an older copy of the table."""
+    keys = ["o_orderpriority", "order_year"]
+
+    def digests(orders: DataFrame) -> DataFrame:
+        return hash_groups(orders.withColumn("order_year", F.year("o_orderdate")), keys, ORDER_COLUMNS)
+
+    old = digests(_old_orders(t)).select(*keys, F.col("row_hash").alias("old_hash"))
+    joined = digests(t.orders).join(old, keys, "left")
+    return joined.select(*keys, "rows", (~F.col("row_hash").eqNullSafe(F.col("old_hash"))).alias("differs"))
 
 
 def _old_orders(t: Tables) -> DataFrame:
@@ -533,9 +536,14 @@ def _status(t: Tables) -> DataFrame:
     return diff_hashes(hash_rows(_old_orders(t), keys), hash_rows(t.orders, keys), keys)
 
 
+@query("change_detection_sha256", CHANGES_SQL)
+def change_detection_sha256(t: Tables) -> DataFrame:
+    return _status(t)
+
+
 @query("change_detection", CHANGES_SQL)
 def change_detection(t: Tables) -> DataFrame:
-    return _status(t)
+    return diff_rows(_old_orders(t), t.orders, ["o_orderkey"])
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitsync.functions.hashing import multiset_digest, row_hash
+from pitsync.functions.hashing import multiset_digest, row_words
 
 MANIFEST = "file string, rows long, size_bytes long, checksum_sha256 string"
 
@@ -60,9 +60,12 @@ def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFram
         joined = files.join(counted, "file", "left")
     else:
         digests = (
-            data.select(name, row_hash(data.schema).alias("__h"))
+            data.select(name, *[w.alias(f"__w{i}") for i, w in enumerate(row_words(data.schema))])
             .groupBy("file")
-            .agg(F.count(F.lit(1)).alias("rows"), multiset_digest("__h").alias("checksum_sha256"))
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                multiset_digest([F.col("__w0"), F.col("__w1")]).alias("checksum_sha256"),
+            )
         )
         joined = file_listing(spark, path).join(digests, "file", "left")
     return joined.select(
