@@ -129,12 +129,30 @@ def upsert_chunks(
     return upsert(target, reduced.drop(chunk), keys, deduplicated=True, **kw)
 
 
-def changed_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows in the partitions a batch touches. The semi join prunes partitions at
-    run time, so an upsert of a few months reads only those months. Partition columns
-    must not be NULL (see ``reject_null_keys``)."""
+def changed_partitions(
+    target: DataFrame, batch: DataFrame, partition_by: Sequence[str], listed: int = 1000
+) -> DataFrame:
+    """Target rows in the partitions a batch touches.
+
+    Up to ``listed`` distinct partition values are read from the batch (one small job, so
+    hand over a staged batch) and become a partition filter: an upsert of a few months
+    then opens only those months' files. Beyond that it is a semi join. Partition columns
+    must not be NULL (see ``reject_null_keys``).
+    """
     touched = batch.select(*[F.col(require(batch, c)).alias(f"__p_{c}") for c in partition_by]).distinct()
-    cond = F.lit(True)
-    for c in partition_by:
-        cond = cond & (target[require(target, c)] == touched[f"__p_{c}"])
-    return target.join(touched, cond, "left_semi")
+    values = touched.limit(listed + 1).collect()
+    columns = [require(target, c) for c in partition_by]
+    if len(values) > listed:
+        cond = F.lit(True)
+        for c, name in zip(partition_by, columns, strict=True):
+            cond = cond & (target[name] == touched[f"__p_{c}"])
+        return target.join(touched, cond, "left_semi")
+    if len(columns) == 1:
+        return target.where(F.col(columns[0]).isin([v[0] for v in values]))
+    cond = F.lit(False)
+    for value in values:
+        one = F.lit(True)
+        for name, part in zip(columns, value, strict=True):
+            one = one & (F.col(name) == F.lit(part))
+        cond = cond | one
+    return target.where(cond)

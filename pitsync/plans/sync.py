@@ -151,12 +151,12 @@ def import_table(
         published = target.commits().where(F.col("run_id") == run_id).limit(1).first() is not None
         if published or todo.limit(1).first() is None:
             if published:
-                ws.checkpoint.mark(todo)
+                ws.checkpoint.mark(spec.name, todo)
             return {"table_name": spec.name, "rows": 0, "sync_mode": spec.sync_mode, "skipped": True}
         batch = only_files(data, path, todo)
     batch = normalise(batch)
     rows = apply_batch(ws, spec, batch, commit_id, fresh, layout, run_ts)
-    ws.checkpoint.mark(todo)
+    ws.checkpoint.mark(spec.name, todo)
     return {"table_name": spec.name, "rows": rows, "sync_mode": spec.sync_mode, "skipped": False}
 
 

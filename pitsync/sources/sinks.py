@@ -15,6 +15,8 @@ from pitsync.functions.ordering import By, content_tiebreak
 from pitsync.operators.dedupe import latest_per_key
 
 CLUSTERINGS = ("sort", "range", "none")
+# The names Hadoop gives to gzip levels 1 to 9.
+GZIP_LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
 
 @dataclass(frozen=True)
@@ -65,11 +67,12 @@ def write_layout(df: DataFrame, path: str, layout: LayoutSpec = LayoutSpec(), mo
         .option("parquet.page.size", str(layout.page_bytes))
         .option("maxRecordsPerFile", layout.max_records)
     )
-    if layout.level is not None and layout.compression in ("zstd", "gzip", "brotli"):
-        name = "zlib.compress.level" if layout.compression == "gzip" else (
-            f"parquet.compression.codec.{layout.compression}.level"
-        )
-        writer = writer.option(name, str(layout.level))
+    if layout.level is not None and layout.compression == "gzip":
+        writer = writer.option("zlib.compress.level", GZIP_LEVELS[min(max(layout.level, 1), 9) - 1])
+    elif layout.level is not None and layout.compression == "zstd":
+        writer = writer.option("parquet.compression.codec.zstd.level", str(layout.level))
+    elif layout.level is not None and layout.compression == "brotli":
+        writer = writer.option("compression.brotli.quality", str(min(layout.level, 11)))
     if layout.dictionary is not None:
         writer = writer.option("parquet.enable.dictionary", "false")
         for column in present(df, layout.dictionary):
@@ -87,7 +90,7 @@ def append_rows(spark: SparkSession, path: str, schema: str, rows: Sequence[tupl
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A bookkeeping table; one that was never written is empty."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pitsync.sources.sinks import append_rows, read_log
 
 STATE = (
     "table_name string, watermark_value string, rows_exported long, "
-    "updated_at timestamp_ntz, run_id string, is_reset boolean"
+    "updated_at timestamp_ntz, run_id string, is_reset boolean, version long"
 )
 LOADED = "table_name string, run_id string, file string, checksum_sha256 string"
 HISTORY_KEPT = 10
@@ -49,6 +50,12 @@ def pending_files(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     return manifest.join(loaded.select(*keys), keys, "left_anti")
 
 
+def table_folder(path: str, table: str) -> str:
+    """Each table appends to its own folder: tables load side by side, and two jobs
+    committing into one folder would remove each other's temporary files."""
+    return f"{path}/{quote(table, safe='')}"
+
+
 @dataclass(frozen=True)
 class SyncState:
     """High-water marks of all tables under one path."""
@@ -60,15 +67,25 @@ class SyncState:
         return read_log(self.spark, self.path, STATE)
 
     def current(self) -> DataFrame:
-        return current_marks(self.rows())
+        return current_marks(self.rows(), at="version")
 
     def history(self, kept: int = HISTORY_KEPT) -> DataFrame:
-        return mark_history(self.rows().where(~F.col("is_reset")), kept=kept)
+        return mark_history(self.rows().where(~F.col("is_reset")), at="version", kept=kept)
+
+    def _last(self, table: str) -> Any | None:
+        mine = read_log(self.spark, table_folder(self.path, table), STATE)
+        return mine.orderBy(F.desc("version")).limit(1).first()
 
     def get(self, table: str) -> str | None:
         """The stored mark: one value, so that it can be pushed into the scan."""
-        row = self.current().where(F.col("table_name") == table).limit(1).first()
-        return None if row is None else row["watermark_value"]
+        row = self._last(table)
+        return None if row is None or row["is_reset"] else row["watermark_value"]
+
+    def _append(self, table: str, value: str | None, rows: int | None, at: Any, run_id: str, reset: bool) -> None:
+        last = self._last(table)
+        version = 1 if last is None else last["version"] + 1
+        row = (table, value, rows, at, run_id, reset, version)
+        append_rows(self.spark, table_folder(self.path, table), STATE, [row])
 
     def update(
         self, table: str, value: str, rows: int, at: Any, run_id: str, as_type: str | None = None
@@ -82,11 +99,11 @@ class SyncState:
                 )
                 if not higher.first()["ok"]:
                     return False
-        append_rows(self.spark, self.path, STATE, [(table, value, rows, at, run_id, False)])
+        self._append(table, value, rows, at, run_id, False)
         return True
 
     def reset(self, table: str, at: Any, run_id: str) -> None:
-        append_rows(self.spark, self.path, STATE, [(table, None, None, at, run_id, True)])
+        self._append(table, None, None, at, run_id, True)
 
 
 @dataclass(frozen=True)
@@ -99,6 +116,6 @@ class LoadCheckpoint:
     def loaded(self) -> DataFrame:
         return read_log(self.spark, self.path, LOADED)
 
-    def mark(self, files: DataFrame) -> None:
+    def mark(self, table: str, files: DataFrame) -> None:
         keys = ["table_name", "run_id", "file", "checksum_sha256"]
-        files.select(*keys).write.mode("append").parquet(self.path)
+        files.select(*keys).write.mode("append").parquet(table_folder(self.path, table))

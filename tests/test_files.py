@@ -1,0 +1,310 @@
+"""Sinks, manifests, state, sync runs and streams."""
+
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from pitsync.plans.sync import Workspace, apply_batch, export_table, import_table, run_tables, upsert_strategy
+from pitsync.session import work_dir
+from pitsync.sources.layouts import compare_layouts, standard_layouts
+from pitsync.sources.manifest import file_listing, manifest, manifest_totals, rows_per_file, stored_bytes, verify
+from pitsync.sources.sinks import LayoutSpec, SnapshotTable, overwrite_partitions, write_layout
+from pitsync.sources.state import SyncState, mark_history, pending_files
+from pitsync.operators.audit import run_summary
+from pitsync.spec import TableSpec
+from pitsync.streaming.ingest import file_stream, ingest_available, upsert_batch, upsert_stream
+from tests.conftest import rows
+
+NOW = dt.datetime(2024, 2, 1)
+
+
+def parts(path):
+    return sorted(Path(path).rglob("*.parquet"))
+
+
+def test_row_bound_codec_and_dictionary(spark, folder):
+    df = spark.range(10_000).selectExpr("id", "CAST(id % 5 AS STRING) AS low", "uuid() AS high")
+    write_layout(df.coalesce(1), f"{folder}/t", LayoutSpec(max_records=3000, dictionary=("LOW",), level=3))
+    counts = [pq.read_metadata(p).num_rows for p in parts(f"{folder}/t")]
+    assert sorted(counts) == [1000, 3000, 3000, 3000]
+    assert max(r["rows"] for r in rows_per_file(spark, f"{folder}/t").collect()) == 3000
+    group = pq.read_metadata(parts(f"{folder}/t")[0]).row_group(0)
+    by_name = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+    assert by_name["low"].compression == "ZSTD"
+    assert any("DICTIONARY" in e for e in by_name["low"].encodings)
+    assert not any("DICTIONARY" in e for e in by_name["high"].encodings)
+
+
+@pytest.mark.parametrize("codec", ["zstd", "snappy", "gzip"])
+def test_codecs_round_trip(spark, folder, codec):
+    df = spark.range(100).selectExpr("id", "id * 2 AS v")
+    write_layout(df, f"{folder}/t", LayoutSpec(compression=codec))
+    assert rows(spark.read.parquet(f"{folder}/t"), "id") == rows(df, "id")
+
+
+def test_range_clustering_spreads_a_hot_key(spark, folder):
+    df = spark.range(40_000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS v").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # too small to split otherwise
+    write_layout(df, f"{folder}/t", LayoutSpec(sort_keys=("K", "missing"), clustering="range"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = [r["c"] for r in spark.read.parquet(f"{folder}/t").where("k = 7").groupBy(F.input_file_name()).agg(F.count("*").alias("c")).collect()]
+    assert len(hot) >= 2 and sum(hot) == 13_335
+    for p in parts(f"{folder}/t"):
+        keys = pq.read_table(p, columns=["k"])["k"].to_pylist()
+        assert keys == sorted(keys)
+
+
+def test_manifest_matches_the_files(spark, folder):
+    write_layout(spark.range(5000).repartition(3), f"{folder}/t", LayoutSpec(max_records=1000))
+    listed = {r["file"]: r for r in manifest(spark, f"{folder}/t").collect()}
+    assert set(listed) == {p.name for p in parts(f"{folder}/t")}
+    for p in parts(f"{folder}/t"):
+        assert listed[p.name]["checksum_sha256"] == hashlib.sha256(p.read_bytes()).hexdigest()
+        assert listed[p.name]["size_bytes"] == p.stat().st_size
+        assert listed[p.name]["rows"] == pq.read_metadata(p).num_rows
+    totals = manifest_totals(manifest(spark, f"{folder}/t")).first()
+    assert totals["total_rows"] == 5000 and totals["total_chunks"] == len(listed)
+    assert stored_bytes(spark, f"{folder}/t") == totals["total_size_bytes"]
+
+
+def test_partitioned_manifest_keeps_paths_apart(spark, folder):
+    df = spark.range(100).selectExpr("id", "CAST(id % 3 AS INT) AS p")
+    write_layout(df, f"{folder}/t", LayoutSpec(partition_by=("p",)))
+    files = manifest(spark, f"{folder}/t", checksum="rows").collect()
+    assert all(r["file"].startswith("p=") for r in files) and sum(r["rows"] for r in files) == 100
+    assert len({r["file"] for r in files}) == len(parts(f"{folder}/t"))
+
+
+@pytest.mark.parametrize("checksum", ["file", "rows"])
+def test_verification_finds_every_kind_of_damage(spark, folder, checksum):
+    write_layout(spark.range(4000).coalesce(1), f"{folder}/t", LayoutSpec(max_records=1000))
+    before = spark.createDataFrame(
+        manifest(spark, f"{folder}/t", checksum).collect(), "file string, rows long, size_bytes long, checksum_sha256 string"
+    )
+    assert {r["status"] for r in verify(before, manifest(spark, f"{folder}/t", checksum)).collect()} == {"ok"}
+    names = [p.name for p in parts(f"{folder}/t")]
+    write_layout(spark.range(5000, 5500).coalesce(1), f"{folder}/other", LayoutSpec())
+    parts(f"{folder}/other")[0].rename(Path(folder, "t", names[0]))
+    write_layout(spark.range(10).coalesce(1), f"{folder}/more", LayoutSpec())
+    parts(f"{folder}/more")[0].rename(Path(folder, "t", "extra.parquet"))
+    Path(folder, "t", f".{names[0]}.crc").unlink(missing_ok=True)
+    gone = before.where(F.col("file") != names[1]).unionByName(
+        before.where(F.col("file") == names[1]).withColumn("file", F.lit("gone.parquet"))
+    )
+    status = {r["file"]: r["status"] for r in verify(gone, manifest(spark, f"{folder}/t", checksum)).collect()}
+    assert status[names[0]] == "mismatch" and status["gone.parquet"] == "missing"
+    assert status["extra.parquet"] == "unlisted" and status[names[1]] == "unlisted" and status[names[2]] == "ok"
+
+
+def test_layout_comparison(spark, folder):
+    df = spark.range(3000).selectExpr("id", "CAST(id % 7 AS STRING) AS s")
+    out = compare_layouts(spark, df, folder, standard_layouts(("id",))).collect()
+    assert [r["layout"] for r in out] == ["zstd_3", "zstd_15", "types", "zstd_15_types"]
+    assert out[0]["saving_pct"] == 0.0 and sum(r["smallest"] for r in out) >= 1
+    assert dict(spark.read.parquet(f"{folder}/types").dtypes)["id"] == "smallint"
+    assert file_listing(spark, f"{folder}/types").count() >= 1
+
+
+def test_snapshot_table(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/t")
+    assert table.read() is None
+    table.write(spark.range(3), "r1")
+    assert table.read() is None  # not published yet
+    table.write(spark.range(4), "r1")  # a retry replaces it
+    table.publish("r1", 4, NOW)
+    assert table.read().count() == 4
+    written = table.write(table.read().unionAll(spark.range(100, 101)), "r2")
+    assert table.read().count() == 4 and written.count() == 5
+    table.publish("r2", 5, NOW)
+    assert table.read().count() == 5 and table.latest()["version"] == 2
+    with pytest.raises(ValueError):
+        table.write(spark.range(1), "r1")
+
+
+def test_partition_overwrite_leaves_others_alone(spark, folder):
+    layout = LayoutSpec(partition_by=("p",))
+    write_layout(spark.range(30).selectExpr("id", "CAST(id % 3 AS INT) AS p"), f"{folder}/t", layout)
+    untouched = {p: p.stat().st_mtime_ns for p in parts(f"{folder}/t/p=0")}
+    current = spark.read.parquet(f"{folder}/t").where("p = 1")
+    overwrite_partitions(current.selectExpr("id + 1000 AS id", "p"), f"{folder}/t", f"{folder}/stage", layout)
+    assert {p: p.stat().st_mtime_ns for p in parts(f"{folder}/t/p=0")} == untouched
+    assert spark.read.parquet(f"{folder}/t").where("id >= 1000").count() == 10
+    assert spark.read.parquet(f"{folder}/t").count() == 30
+
+
+def test_state(spark, folder):
+    state = SyncState(spark, f"{folder}/state")
+    assert state.get("a") is None
+    for i in range(13):
+        state.update("a", f"2024-01-{i + 1:02d}", i, NOW + dt.timedelta(hours=i), f"r{i}")
+    state.update("b", "2024-05-05", 1, NOW, "r0")
+    assert state.get("a") == "2024-01-13"
+    ages = [(r["age"], r["watermark_value"]) for r in state.history().where("table_name = 'a'").orderBy("age").collect()]
+    assert len(ages) == 11 and ages[0] == (0, "2024-01-13") and ages[10] == (10, "2024-01-03")
+    assert state.update("a", "2023-12-31", 1, NOW + dt.timedelta(days=9), "rx", as_type="date") is False
+    assert state.get("a") == "2024-01-13"
+    state.reset("a", NOW + dt.timedelta(days=10), "ry")
+    assert state.get("a") is None and state.current().count() == 1
+    assert mark_history(state.rows(), kept=0).count() == 2
+
+
+def test_pending_files_compare_checksums(spark):
+    cols = "table_name string, run_id string, file string, checksum_sha256 string"
+    listed = spark.createDataFrame([("t", "r", "f1", "a"), ("t", "r", "f2", "b")], cols)
+    loaded = spark.createDataFrame([("t", "r", "f1", "a"), ("t", "r", "f2", "old")], cols)
+    assert [r["file"] for r in pending_files(listed, loaded).collect()] == ["f2"]
+
+
+def source(spark, *versions):
+    return spark.createDataFrame(list(versions), "_ID string, V double, _TIMESTAMPFROM timestamp_ntz, _TIMESTAMPTO timestamp_ntz")
+
+
+SPEC = TableSpec("funds", "src", sync_mode="upsert", merge_keys=("_ID",), watermark="_TIMESTAMPFROM")
+
+
+def day(n):
+    return dt.datetime(2024, 1, n)
+
+
+def test_export_import_increment_and_resume(spark, folder):
+    ws = Workspace(spark, folder)
+    v1 = source(spark, ("a", 1.0, day(1), day(5)), ("a", 2.0, day(5), None), ("b", float("nan"), day(2), None))
+    out = export_table(ws, SPEC, {"src": v1}, "r1", run_ts=NOW)
+    assert out["rows"] == 2 and out["mark"].startswith("2024-01-05") and out["mark_used"] is None
+    assert import_table(ws, SPEC, "r1", run_ts=NOW)["rows"] == 2
+    assert import_table(ws, SPEC, "r1", run_ts=NOW)["skipped"] is True
+
+    v2 = v1.unionAll(source(spark, ("a", 9.0, day(9), None), ("c", 3.0, day(10), None), ("b", 4.0, day(5), None)))
+    out = export_table(ws, SPEC, {"src": v2}, "r2", run_ts=NOW)
+    assert out["mark_used"].startswith("2024-01-05") and out["rows"] == 2  # strictly above the mark
+    later = NOW + dt.timedelta(days=1)
+    import_table(ws, SPEC, "r2", run_ts=later)
+    got = ws.target("funds").read()
+    assert got.columns[0] == "_id"
+    assert [(r["_id"], r["v"], r["data_inserted_at"]) for r in got.orderBy("_id").collect()] == [
+        ("a", 9.0, NOW), ("b", None, NOW), ("c", 3.0, later),
+    ]
+    assert import_table(ws, SPEC, "r2", run_ts=later)["skipped"] is True
+
+    out = export_table(ws, SPEC, {"src": v2}, "r3", run_ts=NOW)
+    assert out["rows"] == 0 and ws.state.get("funds").startswith("2024-01-10")  # nothing new, mark stays
+    assert export_table(ws, SPEC, {"src": v2}, "r4", full_reload=True, run_ts=NOW)["rows"] == 3
+
+
+def test_import_after_a_crash_between_publish_and_checkpoint(spark, folder):
+    ws = Workspace(spark, folder)
+    spec = SPEC.with_(sync_mode="incremental")
+    export_table(ws, spec, {"src": source(spark, ("a", 1.0, day(1), None))}, "r1", run_ts=NOW)
+    batch = spark.read.parquet(ws.export_path("r1", "funds"))
+    apply_batch(ws, spec, batch.toDF(*[c.lower() for c in batch.columns]), "r1", run_ts=NOW)  # published, not marked
+    assert import_table(ws, spec, "r1", run_ts=NOW)["skipped"] is True
+    assert ws.target("funds").read().count() == 1
+    assert ws.checkpoint.loaded().count() == 1
+
+
+def test_damaged_export_is_refused(spark, folder):
+    ws = Workspace(spark, folder)
+    export_table(ws, SPEC, {"src": source(spark, ("a", 1.0, day(1), None))}, "r1", run_ts=NOW)
+    victim = parts(ws.export_path("r1", "funds"))[0]
+    write_layout(spark.range(1).coalesce(1), f"{folder}/x", LayoutSpec())
+    parts(f"{folder}/x")[0].rename(victim)
+    Path(victim.parent, f".{victim.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="mismatch"):
+        import_table(ws, SPEC, "r1", run_ts=NOW)
+    assert ws.target("funds").read() is None
+
+
+def test_truncate_and_full_mode(spark, folder):
+    ws = Workspace(spark, folder)
+    full = SPEC.with_(sync_mode="full")
+    for run, versions in (("r1", [("a", 1.0, day(1), None), ("b", 1.0, day(1), None)]), ("r2", [("c", 1.0, day(1), None)])):
+        export_table(ws, full, {"src": source(spark, *versions)}, run, run_ts=NOW)
+        import_table(ws, full, run, run_ts=NOW + dt.timedelta(seconds=int(run[1])))
+    assert [r["_id"] for r in ws.target("funds").read().collect()] == ["c"]
+    import_table(ws, full, "r1", run_ts=NOW + dt.timedelta(seconds=9))
+    assert ws.target("funds").read().count() == 2
+
+
+def test_schema_evolves_on_load(spark, folder):
+    ws = Workspace(spark, folder)
+    export_table(ws, SPEC, {"src": source(spark, ("a", 1.0, day(1), None))}, "r1", run_ts=NOW)
+    import_table(ws, SPEC, "r1", run_ts=NOW)
+    wider = source(spark, ("b", 2.0, day(2), None)).withColumn("EXTRA", F.lit("new"))
+    export_table(ws, SPEC, {"src": wider}, "r2", run_ts=NOW)
+    import_table(ws, SPEC, "r2", run_ts=NOW)
+    assert {(r["_id"], r["extra"]) for r in ws.target("funds").read().collect()} == {("a", None), ("b", "new")}
+
+
+def test_partitioned_target(spark, folder):
+    ws = Workspace(spark, folder)
+    spec = TableSpec("m", "src", sync_mode="upsert", merge_keys=("id", "month"), partition_by=("month",))
+    first = spark.createDataFrame([(1, "2024-01", 1.0), (1, "2024-02", 2.0)], "id int, month string, v double")
+    apply_batch(ws, spec, first, "r1", run_ts=NOW)
+    kept = {p: p.stat().st_mtime_ns for p in parts(f"{ws.partitioned_path('m')}/month=2024-01")}
+    apply_batch(ws, spec, spark.createDataFrame([(1, "2024-02", 5.0), (2, "2024-03", 6.0)], "id int, month string, v double"), "r2", run_ts=NOW)
+    got = spark.read.parquet(ws.partitioned_path("m")).select("id", F.col("month").cast("string"), "v")
+    assert {tuple(r) for r in got.collect()} == {(1, "2024-01", 1.0), (1, "2024-02", 5.0), (2, "2024-03", 6.0)}
+    assert {p: p.stat().st_mtime_ns for p in parts(f"{ws.partitioned_path('m')}/month=2024-01")} == kept
+    with pytest.raises(ValueError):
+        apply_batch(ws, spec.with_(merge_keys=("id",)), first, "r3", run_ts=NOW)
+
+
+def test_runs_continue_past_a_failing_table(spark, folder):
+    ws = Workspace(spark, folder)
+    tables = {"src": source(spark, ("a", 1.0, day(1), None))}
+    specs = [SPEC, SPEC.with_(name="broken", filters=("no_such_column > 1",)), SPEC.with_(name="other")]
+    results = run_tables(ws, specs, lambda s: export_table(ws, s, tables, "r1", run_ts=NOW), "r1", "export", parallel=2)
+    assert [r["error"] is None for r in results] == [True, False, True]
+    summary = run_summary(ws.run_log(), "run_id", "table_name", "row_count", F.col("failed")).first()
+    assert (summary["tables_processed"], summary["tables_failed"], summary["total_rows"]) == (2, 1, 2)
+    only = run_tables(ws, specs, lambda s: {"table_name": s.name, "rows": 0, "sync_mode": "full"}, "r2", "import", only="OTHER")
+    assert [r["table_name"] for r in only] == ["other"]
+    with pytest.raises(ValueError):
+        run_tables(ws, specs, lambda s: {}, "r3", "import", only="nope")
+
+
+def test_strategy_follows_the_staged_size(spark, folder):
+    spark.range(10).write.parquet(f"{folder}/small")
+    assert upsert_strategy(spark, f"{folder}/small") == "lookup"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit, expected in (("-1", "outer"), ("1KB", "outer"), ("100MB", "lookup"), ("200000b", "lookup")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert upsert_strategy(spark, f"{folder}/small") == expected, limit
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_stream_ingest_resumes(spark, folder):
+    schema = spark.range(1).schema
+    spark.range(10).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def run():
+        ingest_available(file_stream(spark, f"{folder}/in", schema, 1), f"{folder}/out", f"{folder}/ckpt")
+        return spark.read.parquet(f"{folder}/out").count()
+
+    assert run() == 10
+    assert run() == 10
+    spark.range(10, 15).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    assert run() == 15
+
+
+def test_stream_upsert_skips_a_repeated_batch(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/target")
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "id int, o int, v string")
+    apply = upsert_batch(table, ["id"], ["o"], lambda n: NOW)
+    apply(df, 0)
+    apply(df.withColumn("v", F.lit("again")), 0)
+    assert {(r["id"], r["v"]) for r in table.read().collect()} == {(1, "b"), (2, "c")}
+    df.withColumn("v", F.lit("next")).where("id = 2").write.parquet(f"{folder}/in")
+    upsert_stream(file_stream(spark, f"{folder}/in", df.schema), table, ["id"], ["o"], f"{folder}/ckpt", lambda n: NOW)
+    assert table.commits().count() == 1  # batch 0 of the new stream was seen before
+
+
+def test_work_dir_is_under_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert work_dir(spark, "x").startswith(f"{shared}/pitsync-x-")
