@@ -31,9 +31,10 @@ def hash_groups(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None
 
 def _side(df: DataFrame, keys: Sequence[str], words: Sequence[Column], sign: int) -> DataFrame:
     names = [F.col(require(df, k)).alias(k) for k in keys]
-    pieces = [(p * sign).alias(f"__p{i}") for i, p in enumerate(word_pieces(words))]
+    hashed = df.select(*names, *[w.alias(f"__w{i}") for i, w in enumerate(words)])
+    pieces = word_pieces([F.col(f"__w{i}") for i in range(len(words))])
     counts = [F.lit(int(sign < 0)).alias("__old"), F.lit(int(sign > 0)).alias("__new")]
-    return df.select(*names, *counts, *pieces)
+    return hashed.select(*keys, *counts, *[(p * sign).alias(f"__p{i}") for i, p in enumerate(pieces)])
 
 
 def _status(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -62,6 +62,7 @@ def upsert(
     ``outer``: one full outer join, one shuffle of both sides. ``lookup``: for a batch far
     smaller than the target. The target is left-joined and semi-joined, so when Catalyst
     sees the batch is below its broadcast threshold, the target is not shuffled at all.
+    The batch is read three times there, so hand over a staged table, not a long plan.
     """
     if not keys:
         raise ValueError("upsert needs merge keys")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from pitsync.functions.names import present
-from pitsync.functions.ordering import By, content_tiebreak
-from pitsync.operators.dedupe import latest_per_key
+from pitsync.functions.ordering import content_tiebreak
+from pitsync.operators.merge import append
 
 CLUSTERINGS = ("sort", "range", "none")
 # The names Hadoop gives to gzip levels 1 to 9.
@@ -25,7 +26,8 @@ class LayoutSpec:
 
     ``sort`` orders rows inside each task's files without a shuffle; ``range`` also
     spreads them by key over the whole output, so that readers skip row groups; ``none``
-    keeps rows as they come.
+    keeps rows as they come. ``max_records`` bounds a file, as checksums and sealing take
+    a file as one value.
     """
 
     sort_keys: tuple[str, ...] = ()
@@ -33,7 +35,7 @@ class LayoutSpec:
     compression: str = "zstd"
     level: int | None = 9
     page_bytes: int = 1024 * 1024
-    max_records: int = 2_000_000
+    max_records: int = 500_000
     dictionary: tuple[str, ...] | None = None
     partition_by: tuple[str, ...] = ()
 
@@ -95,16 +97,20 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-COMMITS = "run_id string, version long, path string, row_count long, committed_at timestamp_ntz"
+COMMITS = (
+    "run_id string, version long, path string, row_count long, committed_at timestamp_ntz, is_append boolean"
+)
 
 
 @dataclass(frozen=True)
 class SnapshotTable:
-    """A target table as a row of immutable snapshots and a pointer to the current one.
+    """A target table: immutable folders and a log that says which of them count.
 
-    A load reads the current snapshot and writes a new folder, never the one it reads.
-    ``publish`` then appends one commit row; until that moment readers see the old
-    snapshot, and a failed or repeated load leaves nothing half done.
+    A load reads the current content and writes a new folder, never the one it reads.
+    ``publish`` then appends one log row; until that moment readers see the old content,
+    and a failed or repeated load leaves nothing half done. A folder published as an
+    append adds to what came before, so appending never rewrites a table; any other
+    replaces it.
     """
 
     spark: SparkSession
@@ -118,30 +124,44 @@ class SnapshotTable:
         return read_log(self.spark, self.commits_path, COMMITS)
 
     def latest(self) -> Any | None:
-        """The current commit row, or None for a table without one."""
+        """The current log row, or None for a table without one."""
         return self.commits().orderBy(F.desc("version")).limit(1).first()
 
+    def current_paths(self) -> list[str]:
+        """The folders that make up the table: the last replacing one and later appends."""
+        log = self.commits()
+        base = log.where(~F.col("is_append")).agg(F.max("version").alias("v")).scalar()
+        current = log.where(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version")
+        return [row["path"] for row in current.select("path").toLocalIterator()]
+
     def read(self) -> DataFrame | None:
-        commit = self.latest()
-        return None if commit is None else self.spark.read.parquet(commit["path"])
+        paths = self.current_paths()
+        if not paths:
+            return None
+        frames = [self.spark.read.parquet(p) for p in paths]
+        if all(f.schema == frames[0].schema for f in frames):
+            return self.spark.read.parquet(*paths)
+        return functools.reduce(append, frames)
 
     def snapshot_path(self, run_id: str) -> str:
         return f"{self.root}/snapshot={run_id}"
 
+    def is_published(self, run_id: str) -> bool:
+        return self.commits().where(F.col("run_id") == run_id).limit(1).first() is not None
+
     def write(self, df: DataFrame, run_id: str, layout: LayoutSpec = LayoutSpec()) -> DataFrame:
-        """Write a snapshot and read it back; it is not current until published. A retry
-        of the same run replaces its own unpublished folder."""
-        path = self.snapshot_path(run_id)
-        published = self.commits().where(F.col("path") == path).limit(1).first()
-        if published is not None:
+        """Write a folder and read it back; it does not count until published. A retry of
+        the same run replaces its own unpublished folder."""
+        if self.is_published(run_id):
             raise ValueError(f"run {run_id} is already published")
+        path = self.snapshot_path(run_id)
         write_layout(df, path, layout, mode="overwrite")
         return self.spark.read.parquet(path)
 
-    def publish(self, run_id: str, row_count: int, committed_at: Any) -> None:
+    def publish(self, run_id: str, row_count: int, committed_at: Any, is_append: bool = False) -> None:
         last = self.latest()
         version = 1 if last is None else last["version"] + 1
-        row = (run_id, version, self.snapshot_path(run_id), row_count, committed_at)
+        row = (run_id, version, self.snapshot_path(run_id), row_count, committed_at, is_append)
         append_rows(self.spark, self.commits_path, COMMITS, [row])
 
 
@@ -164,8 +184,3 @@ def overwrite_partitions(df: DataFrame, path: str, stage: str, layout: LayoutSpe
         .partitionBy(*layout.partition_by)
         .parquet(path)
     )
-
-
-def latest_commit(commits: DataFrame, key: str) -> DataFrame:
-    """Current commit of each table in a shared commit log."""
-    return latest_per_key(commits, [key], [By("version")])

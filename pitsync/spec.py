@@ -77,6 +77,8 @@ class TableSpec:
     rules: dict[str, dict[str, Any]] = field(default_factory=dict)
     target: str | None = None
     partition_by: tuple[str, ...] = ()
+    #: count keys of the whole target after each upsert; a full shuffle of it
+    verify_keys: bool = False
 
     def __post_init__(self) -> None:
         if self.sync_mode not in SYNC_MODES:

@@ -51,7 +51,7 @@ def upsert_batch(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id:012d}"
-        if table.commits().where(f"run_id = '{run_id}'").limit(1).first() is not None:
+        if table.is_published(run_id):
             return
         reduced = latest_per_key(batch, keys, [By(c) for c in order])
         old = table.read()

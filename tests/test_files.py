@@ -127,6 +127,22 @@ def test_snapshot_table(spark, folder):
         table.write(spark.range(1), "r1")
 
 
+def test_appends_add_folders_and_a_new_snapshot_replaces_them(spark, folder):
+    ws = Workspace(spark, folder)
+    spec = TableSpec("log", "src", sync_mode="incremental")
+    apply_batch(ws, spec, spark.sql("SELECT 1 AS id"), "r1", run_ts=NOW)
+    first = {p: p.stat().st_mtime_ns for p in parts(f"{folder}/targets/log/snapshot=r1")}
+    apply_batch(ws, spec, spark.sql("SELECT 1 AS id UNION ALL SELECT 2"), "r2", run_ts=NOW)
+    apply_batch(ws, spec, spark.sql("SELECT 3000000000L AS id, 'x' AS extra"), "r3", run_ts=NOW)
+    got = ws.target("log").read()
+    assert sorted((r["id"], r["extra"]) for r in got.collect()) == [(1, None), (1, None), (2, None), (3000000000, "x")]
+    assert {p: p.stat().st_mtime_ns for p in parts(f"{folder}/targets/log/snapshot=r1")} == first
+    apply_batch(ws, spec, spark.sql("SELECT 9 AS id"), "r4", fresh=True, run_ts=NOW)
+    assert [r["id"] for r in ws.target("log").read().collect()] == [9]
+    apply_batch(ws, spec, spark.sql("SELECT 10 AS id"), "r5", run_ts=NOW)
+    assert ws.target("log").read().count() == 2
+
+
 def test_partition_overwrite_leaves_others_alone(spark, folder):
     layout = LayoutSpec(partition_by=("p",))
     write_layout(spark.range(30).selectExpr("id", "CAST(id % 3 AS INT) AS p"), f"{folder}/t", layout)
@@ -208,6 +224,16 @@ def test_import_after_a_crash_between_publish_and_checkpoint(spark, folder):
     assert ws.checkpoint.loaded().count() == 1
 
 
+def test_key_check_finds_a_target_that_is_not_unique(spark, folder):
+    ws = Workspace(spark, folder)
+    spec = TableSpec("k", "src", sync_mode="upsert", merge_keys=("id",), verify_keys=True)
+    ws.target("k").write(spark.sql("SELECT 1 AS id, 'x' AS v UNION ALL SELECT 1, 'y'"), "r0")
+    ws.target("k").publish("r0", 2, NOW)
+    with pytest.raises(ValueError, match="not unique"):
+        apply_batch(ws, spec, spark.sql("SELECT 2 AS id, 'z' AS v"), "r1", run_ts=NOW)
+    assert ws.target("k").read().count() == 2  # nothing was published
+
+
 def test_damaged_export_is_refused(spark, folder):
     ws = Workspace(spark, folder)
     export_table(ws, SPEC, {"src": source(spark, ("a", 1.0, day(1), None))}, "r1", run_ts=NOW)
