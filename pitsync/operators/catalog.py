@@ -84,6 +84,15 @@ def table_statistics(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def table_metadata(columns: DataFrame, statistics: DataFrame, primary_keys: DataFrame) -> DataFrame:
+    """Catalog rows with their table's row count and their place in its primary key."""
+    keys = primary_keys.select("table_name", "column_name", F.col("ordinal_position").alias("key_position"))
+    joined = columns.join(statistics, "table_name", "left").join(keys, ["table_name", "column_name"], "left")
+    return joined.select(
+        "table_name", "column_name", "data_type", "target_type", "position", "key_position", "row_count"
+    )
+
+
 def primary_key_columns(constraints: DataFrame, key_usage: DataFrame) -> DataFrame:
     """Primary-key columns in key order, from constraint and key-usage rows that share
     ``constraint_name`` and ``table_name``."""
@@ -238,6 +247,23 @@ def evolve_decision(classified: DataFrame, force: bool = False) -> DataFrame:
     return grouped.withColumn("status", status)
 
 
+def migration_rows(actions: DataFrame, run_ts: Any) -> DataFrame:
+    """Migration log rows: per table the applied actions, a summary and the time. A group
+    is one table's columns."""
+    applied = actions.where(F.col("action").isin(*ACTIONS.values()))
+    step = F.concat_ws(" ", "action", "column_name", F.when(F.col("change") != "column_nullable_changed", F.col("new_value")))
+    grouped = applied.groupBy("table_name").agg(
+        F.array_join(F.array_sort(F.collect_list(step)), "; ").alias("steps"), F.count(F.lit(1)).alias("n")
+    )
+    return grouped.select(
+        "table_name",
+        F.lit("alter_table").alias("action"),
+        "steps",
+        F.format_string("Applied %d change(s)", "n").alias("summary"),
+        F.lit(run_ts).cast("timestamp_ntz").alias("applied_at"),
+    )
+
+
 # Wording and order of the change summary.
 SUMMARY_PARTS = (
     ("column_added", "column", " added"),

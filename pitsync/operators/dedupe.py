@@ -82,3 +82,22 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("row_count"))
     reason = F.when(has_null, F.lit("null_key")).when(F.col("row_count") > 1, F.lit("repeated_key"))
     return counted.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def ensure_unique(
+    df: DataFrame,
+    keys: Sequence[str],
+    on_duplicate: str = "fail",
+    order: Sequence[OrderKey] = (),
+    ties: Sequence[OrderKey] | None = None,
+) -> DataFrame:
+    """``df`` with unique keys. ``fail`` counts keys now and raises on the first repeated
+    or NULL one; ``dedupe`` keeps the first row per key in ``order``."""
+    if on_duplicate == "dedupe":
+        return latest_per_key(df, keys, order, ties)
+    if on_duplicate != "fail":
+        raise ValueError("on_duplicate is 'fail' or 'dedupe'")
+    broken = key_violations(df, keys).limit(1).first()
+    if broken is not None:
+        raise ValueError(f"{broken['reason']} in ({', '.join(keys)}), {broken['row_count']} rows")
+    return df

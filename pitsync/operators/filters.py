@@ -6,7 +6,7 @@ import functools
 import operator
 import re
 import warnings
-from collections.abc import Iterable
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -65,6 +65,15 @@ def semi_filter(df: DataFrame, members: DataFrame, on: str, member_column: str |
     return df.join(keys, df[require(df, on)] == keys["__member"], "left_semi")
 
 
+def share_keys(df: DataFrame, some: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys occur in ``some``; NULL keys match NULL keys."""
+    wanted = some.select(*[F.col(require(some, k)).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & df[require(df, k)].eqNullSafe(wanted[f"__k{i}"])
+    return df.join(wanted, cond, "left_semi")
+
+
 def since(
     df: DataFrame,
     column: str,

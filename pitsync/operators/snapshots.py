@@ -38,7 +38,10 @@ def month_ends(df: DataFrame, column: str, name: str = "month_end") -> DataFrame
 
 
 def _calendar(spine: DataFrame, column: str) -> Column:
-    points = spine.select(F.col(require(spine, column)).cast("date").alias("p")).where("p IS NOT NULL")
+    if not isinstance(spine.schema[column].dataType, T.DateType):
+        # dates bound the arrays, and rounding a time of day would move a point
+        raise ValueError(f"spine column {column} must be a date; see distinct_points")
+    points = spine.select(F.col(column).alias("p")).where("p IS NOT NULL")
     packed = points.agg(F.array_sort(F.collect_set("p")).alias("points")).select(
         F.struct(
             F.col("points"),

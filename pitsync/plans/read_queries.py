@@ -365,6 +365,65 @@ def valid_snapshot_open_end(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "valid_members_increment",
+    f"""
+    SELECT * FROM ({VALID_SQL.format(end="ts + INTERVAL 3 DAY")}) AS _src
+    WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'signup') AND valid_from > TIMESTAMP '2024-01-20 10:00:00'
+    """,
+)
+def valid_members_increment(t: Tables) -> DataFrame:
+    """Validity intervals of users who signed up, above a mark."""
+    spec = TableSpec(
+        "activity",
+        "versions",
+        sync_mode="upsert",
+        merge_keys=("user_id", "day"),
+        watermark="valid_from",
+        members=Members("signups", "user_id", "user_id"),
+        snapshot=Snapshot("valid", "days", "day", ("user_id",), "day", start="valid_from", end="valid_to", ties=("event_id",)),
+    )
+    tables = {
+        "versions": _versions(t, "ts + INTERVAL 3 DAY"),
+        "signups": t.events.where("event_type = 'signup'"),
+        "days": distinct_points(t.events, "ts", "day"),
+    }
+    return plan_extract(t.spark, spec, tables, mark="2024-01-20 10:00:00")
+
+
+@query(
+    "plain_extract",
+    """
+    SELECT * FROM events WHERE event_type <> 'error' AND ts > TIMESTAMP '2024-01-05'
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1
+    """,
+)
+def plain_extract(t: Tables) -> DataFrame:
+    """A table without a source query: filter, mark, then the latest row per merge key."""
+    spec = TableSpec(
+        "events", "events", sync_mode="upsert", merge_keys=("user_id", "event_type"), watermark="ts",
+        order_by="ts", ties=("event_id",), filters=("event_type <> 'error'",),
+    )
+    return plan_extract(t.spark, spec, {"events": t.events}, mark="2024-01-05")
+
+
+@query(
+    "aliased_extract",
+    f"""
+    SELECT *, last_day(o_orderdate) AS month_end FROM orders
+    WHERE o_custkey IN (SELECT {BUILDING}) AND o_orderdate > TIMESTAMP '1997-02-10'
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, last_day(o_orderdate) ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) = 1
+    """,
+)
+def aliased_extract(t: Tables) -> DataFrame:
+    """A table whose month key is derived from its own date column."""
+    spec = TableSpec(
+        "orders", "orders", sync_mode="upsert", merge_keys=("o_custkey", "month_end"), watermark="o_orderdate",
+        order_by="o_orderdate", ties=("o_orderkey",), members=MEMBERS, derive={"month_end": "last_day(o_orderdate)"},
+    )
+    return plan_extract(t.spark, spec, _asof_tables(t), mark="1997-02-10")
+
+
 LATEST = "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) = 1"
 
 

@@ -82,6 +82,7 @@ def export_table(
     layout: LayoutSpec | None = None,
     monotonic: bool = False,
     run_ts: datetime | None = None,
+    point_mark: Any = None,
 ) -> dict[str, Any]:
     """Extract what changed, write it, list its files, and move the mark.
 
@@ -92,7 +93,7 @@ def export_table(
     run_ts = run_ts or utc_now()
     tracked = bool(spec.watermark) and spec.sync_mode in ("incremental", "upsert")
     mark = ws.state.get(spec.name) if tracked and not full_reload else None
-    df = plan_extract(ws.spark, spec, tables, mark, full_reload)
+    df = plan_extract(ws.spark, spec, tables, mark, full_reload, point_mark)
     layout = layout or LayoutSpec(sort_keys=spec.sort_keys)
     path = ws.export_path(run_id, spec.name)
     write_layout(df, path, layout, mode="overwrite")
@@ -149,8 +150,9 @@ def import_table(
         todo, commit_id = pending_files(listed, ws.checkpoint.loaded()), run_id
         target = ws.target(spec.target or spec.name)
         published = target.is_published(run_id)
-        if published or todo.limit(1).first() is None:
-            if published:
+        due = todo.agg(F.sum("rows").alias("rows")).first()["rows"]  # NULL: no file is due
+        if published or not due:
+            if due is not None:
                 ws.checkpoint.mark(spec.name, todo)
             return {"table_name": spec.name, "rows": 0, "sync_mode": spec.sync_mode, "skipped": True}
         batch = only_files(data, path, todo)

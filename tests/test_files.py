@@ -210,6 +210,8 @@ def test_export_import_increment_and_resume(spark, folder):
 
     out = export_table(ws, SPEC, {"src": v2}, "r3", run_ts=NOW)
     assert out["rows"] == 0 and ws.state.get("funds").startswith("2024-01-10")  # nothing new, mark stays
+    assert import_table(ws, SPEC, "r3", run_ts=later)["skipped"] is True
+    assert ws.target("funds").latest()["run_id"] == "r2"  # an empty batch does not rewrite the target
     assert export_table(ws, SPEC, {"src": v2}, "r4", full_reload=True, run_ts=NOW)["rows"] == 3
 
 

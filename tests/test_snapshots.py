@@ -93,6 +93,12 @@ def test_empty_spine_and_empty_table(spark):
     assert snapshot_valid(versions, spine(spark), ["id"], "f", "t").count() == 0
 
 
+def test_spine_must_be_dates(spark):
+    df = spark.createDataFrame([(1, T(2024, 1, 1))], "id int, d timestamp_ntz")
+    with pytest.raises(ValueError, match="must be a date"):
+        snapshot_asof(df, df.select("d"), ["id"], "d")
+
+
 def test_spine_ignores_nulls_and_repeats(spark):
     df = spark.createDataFrame([(T(2024, 2, 3, 4),), (T(2024, 2, 9),), (None,)], "d timestamp_ntz")
     assert rows(month_ends(df, "D")) == [(FEB,)]
