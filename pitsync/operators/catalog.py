@@ -51,8 +51,9 @@ def observe_catalog(df: DataFrame, table: str) -> DataFrame:
             length = F.col(f"__m{position}")
             kind = F.when(length.isNotNull(), F.lit("VARCHAR")).otherwise(F.lit(name))
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            aggregates.append(F.max(F.length(F.abs(col.cast("decimal(20,0)")).cast("string"))).alias(f"__m{position}"))
-            digits = F.col(f"__m{position}")
+            aggregates += [F.min(col).alias(f"__lo{position}"), F.max(col).alias(f"__hi{position}")]
+            low, high = (F.abs(F.col(f"__{end}{position}").cast("decimal(20,0)")) for end in ("lo", "hi"))
+            digits = F.length(F.greatest(low, high).cast("string"))
             kind = F.when(digits.isNotNull(), F.lit("NUMBER")).otherwise(F.lit(name))
             scale = 0
         aggregates.append((F.count_if(col.isNull()) > 0).alias(f"__n{position}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -22,7 +22,15 @@ from pitsync.operators.merge import changed_partitions, reject_null_keys, upsert
 from pitsync.operators.project import normalise, stamp
 from pitsync.plans.extract import plan_extract
 from pitsync.sources.manifest import manifest, only_files, stored_bytes, verify
-from pitsync.sources.sinks import LayoutSpec, SnapshotTable, append_rows, overwrite_partitions, read_log, write_layout
+from pitsync.sources.sinks import (
+    LayoutSpec,
+    PartitionedTable,
+    SnapshotTable,
+    append_rows,
+    overwrite_partitions,
+    read_log,
+    write_layout,
+)
 from pitsync.sources.state import LoadCheckpoint, SyncState, pending_files
 from pitsync.spec import TableSpec
 
@@ -60,8 +68,8 @@ class Workspace:
     def target(self, table: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/targets/{table}")
 
-    def partitioned_path(self, table: str) -> str:
-        return f"{self.root}/targets/{table}/partitions"
+    def partitioned(self, table: str) -> PartitionedTable:
+        return PartitionedTable(self.spark, f"{self.root}/targets/{table}")
 
     def stage_path(self, run_id: str, table: str) -> str:
         return f"{self.root}/stage/{run_id}/{table}"
@@ -232,40 +240,29 @@ def _apply_partitioned(
     run_ts: datetime,
 ) -> int:
     """Upsert that reads and rewrites only the partitions the batch touches."""
-    table = spec.target or spec.name
     keys = [k.lower() for k in spec.merge_keys]
-    parts = [c.lower() for c in spec.partition_by]
+    parts = tuple(c.lower() for c in spec.partition_by)
     if spec.sync_mode != "upsert" or not set(parts) <= set(keys):
         raise ValueError("partitioned targets need mode upsert and partition columns among the merge keys")
-    layout = LayoutSpec(**{**layout.__dict__, "partition_by": tuple(parts)})
-    path, stage = ws.partitioned_path(table), ws.stage_path(run_id, table)
+    table = spec.target or spec.name
+    target, stage = ws.partitioned(table), ws.stage_path(run_id, table)
+    layout = replace(layout, partition_by=parts)
     order = [By(spec.watermark.lower())] if spec.watermark and find(batch, spec.watermark) else []
     reduced = latest_per_key(reject_null_keys(batch, keys), keys, order)
     write_layout(reduced, f"{stage}/batch", LayoutSpec(), "overwrite")
     staged = ws.spark.read.parquet(f"{stage}/batch")
-    old = None if fresh else _read_partitions(ws.spark, path)
+    old = None if fresh else target.read()
     if old is None:
         result = stamp(staged, run_ts)
-        write_layout(result, path, layout, "overwrite" if fresh else "errorifexists")
+        target.set_schema(result.schema)
+        write_layout(result, target.path, layout, "overwrite")
     else:
-        for c in parts:
-            kind = staged.schema[find(staged, c)].dataType
-            if old.schema[c].dataType != kind:
-                old = old.withColumn(c, F.col(c).cast(kind))
         result = upsert(changed_partitions(old, staged, parts), staged, keys, run_ts=run_ts, deduplicated=True)
-        overwrite_partitions(result, path, f"{stage}/result", layout)
+        target.set_schema(result.schema)
+        overwrite_partitions(result, target.path, f"{stage}/result", layout)
     return staged.count()
 
 
-def _read_partitions(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.sql.utils import AnalysisException
-
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        return None
-
-
 def run_tables(
     ws: Workspace,
     specs: Sequence[TableSpec],

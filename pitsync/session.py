@@ -14,7 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # keep keys and salts out of explain output and event logs
     "spark.redaction.regex": "(?i)secret|password|passwd|token|access[.]key|salt",
 }

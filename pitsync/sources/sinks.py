@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from pitsync.functions.names import present
@@ -68,6 +70,8 @@ def write_layout(df: DataFrame, path: str, layout: LayoutSpec = LayoutSpec(), mo
         .option("compression", layout.compression)
         .option("parquet.page.size", str(layout.page_bytes))
         .option("maxRecordsPerFile", layout.max_records)
+        # whatever the session says: an overwrite must not keep partitions of an earlier try
+        .option("partitionOverwriteMode", "static")
     )
     if layout.level is not None and layout.compression == "gzip":
         writer = writer.option("zlib.compress.level", GZIP_LEVELS[min(max(layout.level, 1), 9) - 1])
@@ -165,6 +169,47 @@ class SnapshotTable:
         append_rows(self.spark, self.commits_path, COMMITS, [row])
 
 
+SCHEMAS = "version long, schema string"
+
+
+@dataclass(frozen=True)
+class PartitionedTable:
+    """A target in Hive partitions, for upserts that touch few of them.
+
+    Its schema is kept in a log, so that reading needs no merge of file footers and files
+    written before a column was added or widened still fit.
+    """
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def path(self) -> str:
+        return f"{self.root}/partitions"
+
+    def schema(self) -> T.StructType | None:
+        log = read_log(self.spark, f"{self.root}/schemas", SCHEMAS)
+        row = log.orderBy(F.desc("version")).limit(1).first()
+        return None if row is None else T.StructType.fromJson(json.loads(row["schema"]))
+
+    def set_schema(self, schema: T.StructType) -> None:
+        """Record a schema; do so before writing data in it."""
+        if schema == self.schema():
+            return
+        log = read_log(self.spark, f"{self.root}/schemas", SCHEMAS)
+        version = log.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"] + 1
+        append_rows(self.spark, f"{self.root}/schemas", SCHEMAS, [(version, schema.json())])
+
+    def read(self) -> DataFrame | None:
+        schema = self.schema()
+        if schema is None:
+            return None
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException:  # the first load stopped before any data was written
+            return None
+
+
 def overwrite_partitions(df: DataFrame, path: str, stage: str, layout: LayoutSpec) -> None:
     """Replace just the partitions that ``df`` has rows for.
 

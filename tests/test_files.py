@@ -272,15 +272,31 @@ def test_schema_evolves_on_load(spark, folder):
 def test_partitioned_target(spark, folder):
     ws = Workspace(spark, folder)
     spec = TableSpec("m", "src", sync_mode="upsert", merge_keys=("id", "month"), partition_by=("month",))
-    first = spark.createDataFrame([(1, "2024-01", 1.0), (1, "2024-02", 2.0)], "id int, month string, v double")
-    apply_batch(ws, spec, first, "r1", run_ts=NOW)
-    kept = {p: p.stat().st_mtime_ns for p in parts(f"{ws.partitioned_path('m')}/month=2024-01")}
-    apply_batch(ws, spec, spark.createDataFrame([(1, "2024-02", 5.0), (2, "2024-03", 6.0)], "id int, month string, v double"), "r2", run_ts=NOW)
-    got = spark.read.parquet(ws.partitioned_path("m")).select("id", F.col("month").cast("string"), "v")
-    assert {tuple(r) for r in got.collect()} == {(1, "2024-01", 1.0), (1, "2024-02", 5.0), (2, "2024-03", 6.0)}
-    assert {p: p.stat().st_mtime_ns for p in parts(f"{ws.partitioned_path('m')}/month=2024-01")} == kept
+    table, kinds = ws.partitioned("m"), "id int, month string, v int"
+    assert table.read() is None
+    apply_batch(ws, spec, spark.createDataFrame([(1, "2024-01", 1), (1, "2024-02", 2)], kinds), "r1", run_ts=NOW)
+    kept = {p: p.stat().st_mtime_ns for p in parts(f"{table.path}/month=2024-01")}
+    apply_batch(ws, spec, spark.createDataFrame([(1, "2024-02", 5), (2, "2024-03", 6)], kinds), "r2", run_ts=NOW)
+    got = table.read().select("id", "month", "v")
+    assert {tuple(r) for r in got.collect()} == {(1, "2024-01", 1), (1, "2024-02", 5), (2, "2024-03", 6)}
+    # a wider and a new column: files written before still fit
+    wider = spark.createDataFrame([(1, "2024-03", 2**40, "x")], "id int, month string, v bigint, extra string")
+    apply_batch(ws, spec, wider, "r3", run_ts=NOW)
+    got = {tuple(r) for r in table.read().select("id", "month", "v", "extra").collect()}
+    assert got == {(1, "2024-01", 1, None), (1, "2024-02", 5, None), (2, "2024-03", 6, None), (1, "2024-03", 2**40, "x")}
+    assert {p: p.stat().st_mtime_ns for p in parts(f"{table.path}/month=2024-01")} == kept
     with pytest.raises(ValueError):
-        apply_batch(ws, spec.with_(merge_keys=("id",)), first, "r3", run_ts=NOW)
+        apply_batch(ws, spec.with_(merge_keys=("id",)), wider, "r4", run_ts=NOW)
+
+
+def test_a_full_reload_drops_old_partitions_whatever_the_session_says(spark, folder):
+    ws = Workspace(spark, folder)
+    spec = TableSpec("m", "src", sync_mode="upsert", merge_keys=("id", "month"), partition_by=("month",))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    for run, month in (("r1", "2024-01"), ("r2", "2024-02")):
+        apply_batch(ws, spec, spark.createDataFrame([(1, month)], "id int, month string"), run, fresh=True, run_ts=NOW)
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r["month"] for r in ws.partitioned("m").read().collect()] == ["2024-02"]
 
 
 def test_runs_continue_past_a_failing_table(spark, folder):
