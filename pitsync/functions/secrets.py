@@ -7,6 +7,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,26 +81,34 @@ def seal_files(spark: SparkSession, path: str, password: str, salt: bytes | None
     ).withColumn("sealed_bytes", F.length("sealed").cast("long"))
 
 
-def open_files(sealed: DataFrame, password: str, iterations: int = KDF_ITERATIONS) -> DataFrame:
-    """Open ``file, sealed, checksum_sha256`` rows; every file may carry its own salt.
-
-    Spark has no PBKDF2, so keys for the distinct salts (one per file or per run) are
-    derived in Arrow batches; decryption itself stays in the JVM.
-    """
+def _salted_key(password: str, salt: Column, iterations: int) -> Column:
+    """Key column for a salt column. Spark has no PBKDF2, so salts, and only they, go to
+    Python in Arrow batches; a task derives the key of a repeated salt once."""
     secret, size = password.encode("utf-8"), KEY_BYTES
 
-    def derive(batches: Iterator) -> Iterator:
+    def derive(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         # standard library only, so that executors need not have this package
         from hashlib import pbkdf2_hmac
 
-        for pdf in batches:
-            pdf["key"] = [pbkdf2_hmac("sha256", secret, bytes(s), iterations, size) for s in pdf["salt"]]
-            yield pdf
+        known: dict = {}
+        for salts in batches:
+            for value in salts.dropna().unique():
+                if value not in known:
+                    known[value] = pbkdf2_hmac("sha256", secret, bytes(value), iterations, size)
+            yield salts.map(known)
+
+    return F.pandas_udf(derive, "binary")(salt)
 
-    rows = sealed.withColumn("salt", F.expr(f"substring(sealed, 1, {SALT_BYTES})"))
-    keys = rows.select("salt").distinct().mapInPandas(derive, "salt binary, key binary")
-    opened = rows.join(keys, "salt").withColumn(
-        "content", F.try_aes_decrypt(F.expr(f"substring(sealed, {SALT_BYTES + 1})"), F.col("key"), F.lit("GCM"))
+
+def open_files(sealed: DataFrame, password: str, iterations: int = KDF_ITERATIONS) -> DataFrame:
+    """Open ``file, sealed, checksum_sha256`` rows; every file may carry its own salt.
+
+    Contents are neither joined nor shuffled, and decryption stays in the JVM.
+    """
+    key = _salted_key(password, F.expr(f"substring(sealed, 1, {SALT_BYTES})"), iterations)
+    body = F.expr(f"substring(sealed, {SALT_BYTES + 1})")
+    opened = sealed.withColumn("key", key).withColumn(
+        "content", F.try_aes_decrypt(body, F.col("key"), F.lit("GCM"))
     )
     intact = F.sha2("content", 256) == F.col("checksum_sha256")
     return opened.select("file", "content", F.coalesce(intact, F.lit(False)).alias("intact"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitsync.functions.hashing import multiset_digest, row_hash, row_words, word_pieces
 from pitsync.functions.names import require
 
-STATUSES = ("new", "changed", "unchanged", "deleted")
+STATUSES = ("new", "changed", "unchanged", "deleted", "unreadable")
 
 
 def hash_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -29,12 +29,15 @@ def hash_groups(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None
     )
 
 
-def _side(df: DataFrame, keys: Sequence[str], words: Sequence[Column], sign: int) -> DataFrame:
+def _side(
+    df: DataFrame, keys: Sequence[str], words: Sequence[Column], sign: int, unreadable: Column | None = None
+) -> DataFrame:
+    bad = F.lit(False) if unreadable is None or sign > 0 else unreadable
     names = [F.col(require(df, k)).alias(k) for k in keys]
-    hashed = df.select(*names, *[w.alias(f"__w{i}") for i, w in enumerate(words)])
+    hashed = df.select(*names, bad.cast("int").alias("__bad"), *[w.alias(f"__w{i}") for i, w in enumerate(words)])
     pieces = word_pieces([F.col(f"__w{i}") for i in range(len(words))])
     counts = [F.lit(int(sign < 0)).alias("__old"), F.lit(int(sign > 0)).alias("__new")]
-    return hashed.select(*keys, *counts, *[(p * sign).alias(f"__p{i}") for i, p in enumerate(pieces)])
+    return hashed.select(*keys, *counts, "__bad", *[(p * sign).alias(f"__p{i}") for i, p in enumerate(pieces)])
 
 
 def _status(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,11 +50,13 @@ def _status(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     sums = [c for c in both.columns if c.startswith("__")]
     grouped = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     same = F.col("__old") == F.col("__new")
-    for c in sums[2:]:
-        same = same & (F.col(c) == 0)
+    for c in sums:
+        if c.startswith("__p"):
+            same = same & (F.col(c) == 0)
     status = (
         F.when(F.col("__old") == 0, F.lit("new"))
         .when(F.col("__new") == 0, F.lit("deleted"))
+        .when(F.col("__bad") > 0, F.lit("unreadable"))
         .when(same, F.lit("unchanged"))
         .otherwise(F.lit("changed"))
     )
@@ -59,10 +64,11 @@ def _status(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def diff_hashes(old: DataFrame, new: DataFrame, keys: Sequence[str], hash_column: str = "row_hash") -> DataFrame:
-    """Status of every key of two hash tables: new, changed, unchanged or deleted."""
-    text = F.coalesce(F.col(hash_column), F.lit(""))
-    words = [F.xxhash64(F.lit(seed), text) for seed in (1, 2)]
-    return _status(_side(old, keys, words, -1), _side(new, keys, words, 1), keys)
+    """Status of every key of two hash tables: new, changed, unchanged, deleted, or
+    unreadable where the old copy has no hash, for example because it did not decrypt."""
+    h = F.col(hash_column)
+    words = [F.xxhash64(F.lit(seed), F.coalesce(h, F.lit(""))) for seed in (1, 2)]
+    return _status(_side(old, keys, words, -1, h.isNull()), _side(new, keys, words, 1), keys)
 
 
 def diff_rows(
@@ -83,8 +89,8 @@ def diff_rows(
 
 
 def rows_to_write(new: DataFrame, status: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key, or group, is new or changed."""
-    touched = status.where(F.col("status").isin("new", "changed"))
+    """Rows of ``new`` whose key, or group, is new, changed, or unreadable so far."""
+    touched = status.where(F.col("status").isin("new", "changed", "unreadable"))
     renamed = touched.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
     cond = F.lit(True)
     for k in keys:
@@ -93,9 +99,10 @@ def rows_to_write(new: DataFrame, status: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def change_statistics(status: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Counts by status, rows or chunks to write, and the unchanged share in percent."""
+    """Counts by status, rows or chunks to write, and the unchanged share in percent.
+    An unreadable old copy counts as changed."""
     s = F.col("status")
-    n_new, n_changed = F.count_if(s == "new"), F.count_if(s == "changed")
+    n_new, n_changed = F.count_if(s == "new"), F.count_if(s.isin("changed", "unreadable"))
     n_same = F.count_if(s == "unchanged")
     total = n_new + n_changed + n_same
     return status.groupBy(*by).agg(

@@ -546,6 +546,26 @@ def change_detection(t: Tables) -> DataFrame:
     return diff_rows(_old_orders(t), t.orders, ["o_orderkey"])
 
 
+@query(
+    "unreadable_copies",
+    """
+    SELECT doc_id, CASE WHEN lang = 'fr' THEN 'unreadable' WHEN n_chars > 2000 THEN 'changed' ELSE 'unchanged' END AS status
+    FROM documents
+    """,
+)
+def unreadable_copies(t: Tables) -> DataFrame:
+    """Sealed copies against the documents: some were sealed with another key, some are old."""
+    keys = [secret_column(t.spark, derive_key(p, b"sixteen byte slt")) for p in ("this run", "lost")]
+    docs = t.documents.select("doc_id", "lang", "n_chars", "text")
+    copies = docs.withColumn("text", F.when(F.col("n_chars") > 2000, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    sealed = seal_rows(copies.where("lang <> 'fr'"), "text", keys[0]).unionByName(
+        seal_rows(copies.where("lang = 'fr'"), "text", keys[1])
+    )
+    old = open_rows(sealed, "text", keys[0]).select("doc_id", F.sha2("text", 256).alias("row_hash"))
+    new = docs.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("row_hash"))
+    return diff_hashes(old, new, ["doc_id"])
+
+
 @query(
     "export_statistics",
     f"""
@@ -594,20 +614,20 @@ def pseudonym(t: Tables) -> DataFrame:
 @query(
     "file_identifiers",
     f"""
-    SELECT n_name AS table_name, substr(sha256('{SALT}:' || n_name || ':folder'), 1, 16) AS folder_id,
-           substr(sha256('{SALT}:' || n_name || ':chunk:' || n_nationkey || ':data'), 1, 16) AS chunk_id,
-           substr(sha256('{SALT}:' || n_name || ':manifest'), 1, 16) AS manifest_id,
-           substr(sha256('{SALT}:' || n_name || ':ddl'), 1, 16) AS ddl_id,
-           substr(sha256('{SALT}:' || n_name || ':metadata:20240131:'), 1, 16) AS archived_id
-    FROM nation
+    SELECT c_name AS table_name, substr(sha256('{SALT}:' || c_name || ':folder'), 1, 16) AS folder_id,
+           substr(sha256('{SALT}:' || c_name || ':chunk:' || c_nationkey || ':data'), 1, 16) AS chunk_id,
+           substr(sha256('{SALT}:' || c_name || ':manifest'), 1, 16) AS manifest_id,
+           substr(sha256('{SALT}:' || c_name || ':ddl'), 1, 16) AS ddl_id,
+           substr(sha256('{SALT}:' || c_name || ':metadata:20240131:'), 1, 16) AS archived_id
+    FROM customer
     """,
 )
 def file_identifiers(t: Tables) -> DataFrame:
-    salt, name = secret_column(t.spark, SALT), F.col("n_name")
-    return t.nation.select(
+    salt, name = secret_column(t.spark, SALT), F.col("c_name")
+    return t.customer.select(
         name.alias("table_name"),
         table_folder_id(name, salt).alias("folder_id"),
-        chunk_file_id(name, F.col("n_nationkey"), salt).alias("chunk_id"),
+        chunk_file_id(name, F.col("c_nationkey"), salt).alias("chunk_id"),
         manifest_id(name, salt).alias("manifest_id"),
         metadata_file_id(name, "ddl", salt=salt).alias("ddl_id"),
         metadata_file_id(name, "metadata", F.lit("20240131"), salt).alias("archived_id"),

@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from pitsync.functions.names import present
 from pitsync.functions.ordering import content_tiebreak
@@ -97,10 +97,18 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A bookkeeping table; one that was never written is empty."""
     try:
         return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException:
+    except AnalysisException as err:
+        if not is_missing(err):
+            raise
         return spark.createDataFrame([], schema)
 
 
+def is_missing(err: AnalysisException) -> bool:
+    """Whether a read failed because nothing is there. Any other reason must surface: a
+    log taken for empty would load everything again."""
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
 COMMITS = (
     "run_id string, version long, path string, row_count long, committed_at timestamp_ntz, is_append boolean"
 )
@@ -206,8 +214,10 @@ class PartitionedTable:
             return None
         try:
             return self.spark.read.schema(schema).parquet(self.path)
-        except AnalysisException:  # the first load stopped before any data was written
-            return None
+        except AnalysisException as err:
+            if not is_missing(err):
+                raise
+            return None  # the first load stopped before any data was written
 
 
 def overwrite_partitions(df: DataFrame, path: str, stage: str, layout: LayoutSpec) -> None:

@@ -32,7 +32,15 @@ from pitsync.operators.catalog import (
     structure_differences,
     summarise_changes,
 )
-from pitsync.operators.changes import change_statistics, diff_hashes, diff_rows, hash_groups, hash_rows, id_collisions
+from pitsync.operators.changes import (
+    change_statistics,
+    diff_hashes,
+    diff_rows,
+    hash_groups,
+    hash_rows,
+    id_collisions,
+    rows_to_write,
+)
 from pitsync.operators.quality import check_columns, failed, match_counts, validate
 from tests.conftest import plan_of, rows
 
@@ -336,6 +344,15 @@ def test_diff_of_repeated_keys(spark):
     assert status(t("a", "a", "b"), t("a", "b", "b")) == "changed"
 
 
+def test_an_old_copy_without_a_hash_is_unreadable(spark):
+    old = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "k int, row_hash string")
+    new = spark.createDataFrame([(1, "x"), (2, "a"), (4, None)], "k int, row_hash string")
+    status = diff_hashes(old, new, ["k"])
+    assert dict(rows(status)) == {1: "unreadable", 2: "unchanged", 3: "deleted", 4: "new"}
+    assert sorted(r["k"] for r in rows_to_write(new, status, ["k"]).collect()) == [1, 4]
+    assert change_statistics(status).first()["changed"] == 1
+
+
 def test_diff_refuses_unequal_types(spark):
     with pytest.raises(ValueError, match="bigint"):
         diff_rows(spark.sql("SELECT 1 AS k, 1 AS v"), spark.sql("SELECT 1 AS k, 1L AS v"), ["k"])

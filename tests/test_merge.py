@@ -4,8 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from pitsync.functions.ordering import By
 from pitsync.operators.merge import append, changed_partitions, full_load, upsert, upsert_chunks
 from tests.conftest import plan_of, rows
