@@ -29,7 +29,9 @@ def _snapshot(df: DataFrame, spine: DataFrame, spec: TableSpec) -> DataFrame:
     snap = spec.snapshot
     ties = [By(t) for t in snap.ties] or None
     if snap.kind == "valid":
-        return snapshot_valid(df, spine, snap.id, snap.start, snap.end, snap.point, ties=ties)
+        return snapshot_valid(
+            df, spine, snap.id, snap.start, snap.end, snap.point, ties=ties, overlapping=snap.overlapping
+        )
     order = [By(spec.order_by)] if find(df, spec.order_by) else []
     return snapshot_asof(df, spine, snap.id, snap.date, snap.point, order, ties)
 

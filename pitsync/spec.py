@@ -36,6 +36,8 @@ class Snapshot:
     end: str | None = None
     date: str | None = None
     ties: tuple[str, ...] = ()
+    #: False if versions of an id are known not to overlap ('valid' only)
+    overlapping: bool = True
 
     def __post_init__(self) -> None:
         if self.kind not in SNAPSHOT_KINDS:

@@ -130,9 +130,10 @@ def test_both_agree_with_brute_force(spark, seed):
             if valid:
                 want_valid.add((ident, p, max(valid, key=lambda r: (r[1], r[2], r[3]))[3]))
     asof = snapshot_asof(df, line, ["id"], "f", ties=[By("n")])
-    valid = snapshot_valid(df, line, ["id"], "f", "t", ties=[By("n")])
     assert {(r["id"], r["point"], r["n"]) for r in asof.collect()} == want_asof
-    assert {(r["id"], r["point"], r["n"]) for r in valid.collect()} == want_valid
+    for overlapping in (True, False):
+        valid = snapshot_valid(df, line, ["id"], "f", "t", ties=[By("n")], overlapping=overlapping)
+        assert {(r["id"], r["point"], r["n"]) for r in valid.collect()} == want_valid
 
 
 def test_plans_have_no_join_with_the_spine(spark):
@@ -156,3 +157,11 @@ def test_hot_id_shrinks_before_the_window_over_ids(spark):
     graph = out._jdf.queryExecution().executedPlan().toString()
     assert graph.index("lead(") < graph.index("WindowGroupLimit")
     assert out.where("id = 0").count() == 2
+
+
+def test_overlapping_versions_shrink_before_they_multiply(spark):
+    df = spark.range(20_000).selectExpr("IF(id % 3 = 0, 0, id) AS id", "date'2024-01-05' AS f", "date'2024-12-31' AS t", "id AS n")
+    out = snapshot_valid(df, spine(spark, JAN, FEB, MAR), ["id"], "f", "t", ties=[By("n")])
+    apart = snapshot_valid(df, spine(spark, JAN, FEB, MAR), ["id"], "f", "t", ties=[By("n")], overlapping=False)
+    assert plan_of(out).count("WindowGroupLimit") > plan_of(apart).count("WindowGroupLimit")
+    assert sorted((r["point"], r["n"]) for r in out.where("id = 0").collect()) == [(JAN, 19_998), (FEB, 19_998), (MAR, 19_998)]
