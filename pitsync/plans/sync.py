@@ -279,6 +279,8 @@ def run_tables(
 
     def one(spec: TableSpec) -> dict[str, Any]:
         began = time.monotonic()
+        if parallel > 1:  # with FAIR scheduling, tables share the cluster instead of queueing
+            ws.spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         try:
             result = {**step(spec), "error": None}
         except Exception as err:  # noqa: BLE001 - one table must not stop the run
