@@ -72,13 +72,15 @@ def _windows(docs: DataFrame, seeds: DataFrame, width: int, broadcast_rows: int)
     while it streams by. More are joined by a shuffle of (document, position, hash), and
     the documents that have hits are joined again to cut the windows.
     """
+    # explode_outer: the filter that Spark derives from an explode would be pushed into the
+    # shingling and repeat the splitting of the text for every word of it
     hashed = docs.select("doc_id", "text_key", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     hashed = hashed.select("doc_id", "text_key", _shingles("hashes", width).alias("sh"))
     if seeds.count() <= broadcast_rows:
-        spread = hashed.select("doc_id", "text_key", "sh", F.posexplode("sh").alias("start", "seed"))
+        spread = hashed.select("doc_id", "text_key", "sh", F.posexplode_outer("sh").alias("start", "seed"))
         hits = spread.join(F.broadcast(seeds), "seed")
     else:
-        spread = hashed.select("doc_id", "text_key", F.posexplode("sh").alias("start", "seed"))
+        spread = hashed.select("doc_id", "text_key", F.posexplode_outer("sh").alias("start", "seed"))
         found = spread.join(seeds, "seed").select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "start", "n")
         # repeated rows of a document find the same windows
         found = stage(found.distinct(), "hits")
@@ -128,13 +130,13 @@ def contaminated(
         own = items.where(F.col("width") == width).select("item_id", _shingles("hashes", width).alias("item"))
         own = own.withColumn("n", F.size("item")).withColumn("item_print", _fingerprint("item"))
         own = stage(own, "items")
-        seeds = own.select(F.explode("item").alias("seed"), "n").distinct()
-        index = own.select("item_id", "item", "n", "item_print", F.posexplode(F.expr(_blocks("item_print", radius))).alias("block", "bits"))
+        seeds = own.select(F.explode_outer("item").alias("seed"), "n").distinct()
+        index = own.select("item_id", "item", "n", "item_print", F.posexplode_outer(F.expr(_blocks("item_print", radius))).alias("block", "bits"))
         index = index.withColumnRenamed("n", "m").withColumnsRenamed({"block": "item_block", "bits": "item_bits"})
         if own.count() * (radius + 1) <= broadcast_rows:
             index = F.broadcast(index)
         windows = _windows(text, seeds, width, broadcast_rows).withColumn("print", _fingerprint("win"))
-        probes = windows.select("*", F.posexplode(F.expr(_blocks("print", radius))).alias("block", "bits"))
+        probes = windows.select("*", F.posexplode_outer(F.expr(_blocks("print", radius))).alias("block", "bits"))
         near = probes.join(
             index,
             (F.col("n") == F.col("m")) & (F.col("block") == F.col("item_block")) & (F.col("bits") == F.col("item_bits")),

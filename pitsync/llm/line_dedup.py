@@ -51,7 +51,7 @@ def drop_site_lines(pages: DataFrame, max_ratio: float = 0.1, min_pages: int = 3
     read = pages.select("page_id", host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines"))
     named = read.select("host", F.transform("lines", lambda x: F.md5(x)).alias("ids"))
     # an entry without a line counts the pages
-    counted = named.select("host", F.explode(F.concat(F.array(F.lit("")), F.array_distinct("ids"))).alias("id"))
+    counted = named.select("host", F.explode_outer(F.concat(F.array(F.lit("")), F.array_distinct("ids"))).alias("id"))
     counts = stage(counted.groupBy("host", "id").agg(F.count("*").alias("n")).where(F.expr(f"id = '' OR n >= {int(min_pages)}")), "line-counts")
     total = counts.where("id = ''").select(F.col("host").alias("h"), F.col("n").alias("pages"))
     common = counts.where("id != ''").join(total, F.col("host") == F.col("h")).where(F.col("n") / F.col("pages") > max_ratio)
