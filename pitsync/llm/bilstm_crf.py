@@ -108,23 +108,24 @@ def loss_and_gradient(p: Params, x: np.ndarray, tags: np.ndarray) -> tuple[float
     return float((log_z.sum() - gold) / n), g
 
 
-def train(x: np.ndarray, tags: np.ndarray, chars: int, n_tags: int, hidden: int = 16, epochs: int = 8, batch: int = 64, rate: float = 0.02, seed: int = 11) -> Params:
-    """Fit by Adam with a rate that falls to nothing."""
+def train(x: np.ndarray, tags: np.ndarray, chars: int, n_tags: int, hidden: int = 16, steps: int = 220, batch: int = 64, rate: float = 0.02, seed: int = 11) -> Params:
+    """Fit by ``steps`` of Adam with a rate that falls to nothing, going round the windows."""
     p = new_params(chars, n_tags, hidden, seed)
     rng = np.random.default_rng(seed)
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    steps, at = max(1, epochs * -(-len(x) // batch)), 0
-    for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for i in range(0, len(order), batch):
-            _, g = loss_and_gradient(p, x[order[i : i + batch]], tags[order[i : i + batch]])
-            norm = np.sqrt(sum((v * v).sum() for v in g.values()))
-            at += 1
-            for k, v in g.items():
-                v = v * min(1.0, 5.0 / (norm + 1e-9))
-                first[k] += 0.1 * (v - first[k])
-                second[k] += 0.01 * (v * v - second[k])
-                p[k] = p[k] - rate * (1 - at / (steps + 1)) * (first[k] / (1 - 0.9**at)) / (np.sqrt(second[k] / (1 - 0.99**at)) + 1e-8)
+    at, order = 0, np.zeros(0, dtype=np.int64)
+    while at < steps:
+        if not len(order):
+            order = rng.permutation(len(x))
+        part, order = order[:batch], order[batch:]
+        _, g = loss_and_gradient(p, x[part], tags[part])
+        norm = np.sqrt(sum((v * v).sum() for v in g.values()))
+        at += 1
+        for k, v in g.items():
+            v = v * min(1.0, 5.0 / (norm + 1e-9))
+            first[k] += 0.1 * (v - first[k])
+            second[k] += 0.01 * (v * v - second[k])
+            p[k] = p[k] - rate * (1 - at / (steps + 1)) * (first[k] / (1 - 0.9**at)) / (np.sqrt(second[k] / (1 - 0.99**at)) + 1e-8)
     return p
 
 
