@@ -86,7 +86,9 @@ def _windows(docs: DataFrame, seeds: DataFrame, width: int, broadcast_rows: int)
         found = stage(found.distinct(), "hits")
         same = hashed["doc_id"].eqNullSafe(F.col("d")) & (hashed["text_key"] == F.col("t"))
         hits = hashed.join(found, same)
-    return hits.select("doc_id", "text_key", "start", "n", F.expr("slice(sh, start + 1, n)").alias("win"))
+    # written, so that what is asked of a window is not evaluated for each word of a text
+    cut = hits.select("doc_id", "text_key", "start", "n", F.expr("slice(sh, start + 1, n)").alias("win"))
+    return stage(cut, "windows")
 
 
 def contaminated(
@@ -140,7 +142,7 @@ def contaminated(
         near = probes.join(
             index,
             (F.col("n") == F.col("m")) & (F.col("block") == F.col("item_block")) & (F.col("bits") == F.col("item_bits")),
-        ).where(F.expr(f"bit_count(print ^ item_print) <= {radius}"))
+        ).where(F.expr(f"coalesce(bit_count(print ^ item_print), {BITS + 1}) <= {radius}"))
         # a pair that agrees on several blocks counts in the first of them
         first = F.expr(
             f"array_position(zip_with({_blocks('print', radius)}, {_blocks('item_print', radius)}, (x, y) -> x = y), true) - 1"
