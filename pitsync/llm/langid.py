@@ -92,31 +92,34 @@ def fit(docs: DataFrame, docs_per_language: int = 1500, longest: int = 4, least:
     return LanguageModel(languages, tables, logs)
 
 
-class Scorer:
-    """Scores words by a model and remembers them for as long as there are not too many."""
-
-    def __init__(self, model: LanguageModel, remember: int = 100_000) -> None:
-        self.model, self.remember = model, remember
-        self.known: dict[str, np.ndarray] = {}
+class Scorer(dict):
+    """Scores words by a model and remembers their rows for as long as there are not too many."""
+
+    def __init__(self, model: LanguageModel, remember: int = 200_000) -> None:
+        super().__init__(model.tables[0])
+        self.model, self.last = model, len(model.tables[0]) + remember
+        self.rows = np.zeros((self.last, max(1, len(model.languages))), np.float32)
+        self.rows[: len(model.tables[0]), : len(model.languages)] = model.logs[0]
+
+    def __missing__(self, word: str) -> int:
+        """The row of a word that is not known: the mean over its longest known n-grams."""
+        if len(self) == self.last:
+            self.clear()
+            self.update(self.model.tables[0])
+        row = len(self)
+        self.rows[row] = 0
+        for n in range(len(self.model.tables) - 1, 0, -1):
+            get = self.model.tables[n].get
+            grams = [r for r in map(get, units(word, n)) if r is not None]
+            if grams:
+                self.rows[row] = np.add.reduce(self.model.logs[n][grams]) / len(grams)
+                break
+        self[word] = row
+        return row
 
     def word(self, word: str) -> np.ndarray:
-        """Log frequency per language: of the word, else the mean over its longest known n-grams."""
-        m = self.model
-        row = m.tables[0].get(word)
-        if row is not None:
-            return m.logs[0][row]
-        found = self.known.get(word)
-        if found is None:
-            found = np.zeros(len(m.languages), np.float32)
-            for n in range(len(m.tables) - 1, 0, -1):
-                rows = [r for r in map(m.tables[n].get, units(word, n)) if r is not None]
-                if rows:
-                    found = m.logs[n][rows].mean(axis=0)
-                    break
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            self.known[word] = found
-        return found
+        """Log frequency of a word per language."""
+        return self.rows[self[word]]
 
     def text(self, text: str | None) -> tuple[str, float]:
         """The most likely language (the first by name of equals) and its share of the probability."""
@@ -124,7 +127,14 @@ class Scorer:
         if not counts or not self.model.languages:
             return UNDETERMINED, 0.0
         times = np.fromiter(counts.values(), np.float64, len(counts))
-        total = times @ np.array([self.word(w) for w in counts], dtype=np.float64)
+        total = np.zeros(len(self.model.languages))
+        words = list(counts)
+        for i in range(0, len(words), 10_000):  # rows are good until the next clearing
+            part = words[i : i + 10_000]
+            if len(self) + len(part) > self.last:
+                self.clear()
+                self.update(self.model.tables[0])
+            total += times[i : i + 10_000] @ self.rows[[self[w] for w in part]].astype(np.float64)
         # words of a text are not independent: evidence grows with the root of their number
         total /= math.sqrt(times.sum())
         odds = np.exp(total - total.max())
