@@ -51,19 +51,19 @@ def row_words(schema: T.StructType, columns: Sequence[str] | None = None) -> lis
     return [F.xxhash64(F.lit(seed), *nulls, *values) for seed in (1, 2)]
 
 
-_PIECE_BITS = 20
+_PIECE_BITS = 16
 
 
 def word_pieces(words: Sequence[Column]) -> list[Column]:
-    """Cut 64-bit words into 20-bit pieces: a BIGINT sum of them holds 8 * 10**12 rows."""
+    """Cut 64-bit words into 16-bit pieces: a BIGINT sum of them holds 1.4 * 10**14 rows."""
     mask = F.lit((1 << _PIECE_BITS) - 1)
-    return [F.shiftright(w, at * _PIECE_BITS).bitwiseAND(mask) for w in words for at in range(3)]
+    return [F.shiftright(w, at * _PIECE_BITS).bitwiseAND(mask) for w in words for at in range(64 // _PIECE_BITS)]
 
 
 def multiset_digest(words: Sequence[Column]) -> Column:
     """Aggregate: one hash for an unordered group of rows, given their ``row_words``.
 
-    The six sums and the row count are commutative, so Spark combines them before the
+    The eight sums and the row count are commutative, so Spark combines them before the
     shuffle and a hot group never sits in one task; sorting and joining the hashes of a
     group would need exactly that.
     """

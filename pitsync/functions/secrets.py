@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitsync.sources.manifest import data_files, relative_file
+
 # Fixed values of the sealed-file format.
 KDF_ITERATIONS = 100_000
 KEY_BYTES = 32
@@ -67,14 +69,8 @@ def seal_files(spark: SparkSession, path: str, password: str, salt: bytes | None
     """
     salt = salt or new_salt()
     key = secret_column(spark, derive_key(password, salt))
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-    )
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+    return data_files(spark, path).select(
+        relative_file(spark, path).alias("file"),
         F.concat(F.lit(salt), seal(F.col("content"), key)).alias("sealed"),
         F.sha2("content", 256).alias("checksum_sha256"),
         F.col("length").alias("plain_bytes"),

@@ -150,9 +150,14 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     for x, y in ((a, b), (b, a)):
         if isinstance(x, T.DecimalType) and type(y) in _RANK:
             digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}[type(y)]
-            return T.DecimalType(min(38, max(x.precision, digits + x.scale)), x.scale)
+            return _decimal(max(x.precision, digits + x.scale), x.scale)
     if ta is T.DecimalType and tb is T.DecimalType:
         scale = max(a.scale, b.scale)
         whole = max(a.precision - a.scale, b.precision - b.scale)
-        return T.DecimalType(min(38, whole + scale), scale)
+        return _decimal(whole + scale, scale)
     return None
+
+
+def _decimal(precision: int, scale: int) -> T.DecimalType | None:
+    """None where the digits of both types do not fit into one."""
+    return T.DecimalType(precision, scale) if precision <= 38 else None

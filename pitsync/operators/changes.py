@@ -94,7 +94,7 @@ def rows_to_write(new: DataFrame, status: DataFrame, keys: Sequence[str]) -> Dat
     renamed = touched.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (new[require(new, k)] == renamed[f"__s_{k}"])
+        cond = cond & new[require(new, k)].eqNullSafe(renamed[f"__s_{k}"])
     return new.join(renamed, cond, "left_semi")
 
 

@@ -121,6 +121,14 @@ def upsert(
     return updated.unionByName(inserted)
 
 
+BUCKET = "key_bucket"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row by its keys. Keys count as text, so a widened key keeps its bucket."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 def upsert_chunks(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], chunk: str, mark: str | None = None, **kw: Any
 ) -> DataFrame:

@@ -66,14 +66,30 @@ def stamp(df: DataFrame, run_ts: Any, column: str = LOAD_STAMP) -> DataFrame:
     return df.withColumn(existing or column, value)
 
 
-def merge_schema(target: T.StructType, batch: T.StructType) -> T.StructType:
-    """Target columns in order, then new batch columns; types widen where that is safe,
-    otherwise the target's type stays and batch values are cast to it."""
+UNSAFE = ("raise", "cast")
+
+
+def merge_schema(target: T.StructType, batch: T.StructType, unsafe: str = "raise") -> T.StructType:
+    """Target columns in order, then new batch columns; types widen where that is safe, and
+    a text column takes any single value as text.
+
+    Other types that do not fit each other raise, as a cast would change or lose values. With
+    ``unsafe="cast"`` the target's type stays and batch values are cast to it.
+    """
+    if unsafe not in UNSAFE:
+        raise ValueError(f"unsafe must be one of {UNSAFE}")
     incoming = {f.name.lower(): f for f in batch.fields}
     fields = []
     for f in target.fields:
         other = incoming.pop(f.name.lower(), None)
-        dtype = f.dataType if other is None else wider_type(f.dataType, other.dataType) or f.dataType
+        dtype = f.dataType if other is None else wider_type(f.dataType, other.dataType)
+        if dtype is None and isinstance(f.dataType, T.StringType):
+            dtype = f.dataType if isinstance(other.dataType, T.AtomicType) and not isinstance(other.dataType, T.BinaryType) else None
+        if dtype is None:
+            if unsafe == "raise":
+                kinds = f.dataType.simpleString(), other.dataType.simpleString()
+                raise ValueError(f"column {f.name} is {kinds[0]} in the target and {kinds[1]} in the batch")
+            dtype = f.dataType
         fields.append(T.StructField(f.name, dtype, True, f.metadata))
     fields += [T.StructField(f.name, f.dataType, True, f.metadata) for f in incoming.values()]
     return T.StructType(fields)

@@ -7,8 +7,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitsync.functions.names import find, require
+from pitsync.functions.names import find
 
 FINDING = "column string, check string, passed boolean, detail string"
 
@@ -41,7 +42,10 @@ def validate(df: DataFrame, rules: Mapping[str, Mapping[str, Any]], compat_strin
         col, dtype = F.col(f"`{name}`"), df.schema[name].dataType
         nulls = F.col(f"__nulls_{i}")
         if checks.get("not_null") or "null_rate_max" in checks:
-            aggregates.append(F.count_if(col.isNull()).alias(f"__nulls_{i}"))
+            blank = col.isNull()
+            if isinstance(dtype, (T.FloatType, T.DoubleType)):
+                blank = blank | F.isnan(col)
+            aggregates.append(F.count_if(blank).alias(f"__nulls_{i}"))
         if checks.get("not_null"):
             detail = F.when(nulls == 0, F.lit("OK")).otherwise(F.format_string("%d null(s)", nulls))
             findings.append(_finding(wanted, "not_null", nulls == 0, detail))
@@ -121,6 +125,3 @@ def match_counts(actual: DataFrame, expected: DataFrame, on: str, actual_count:
         .withColumn("matches", F.col("expected_rows") == F.col("actual_rows"))
     )
 
-
-def require_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    return [require(df, c) for c in columns]

@@ -127,7 +127,7 @@ def snapshot_asof(
     Rows first shrink to the best one per id and next spine point; that step combines
     before the shuffle. Only then does a window look for the id's next row, over at most
     one row per point, so even an id holding a third of all rows stays a small group.
-    ``order`` ranks rows of equal date. A NULL id forms no snapshot.
+    ``order`` ranks rows of equal date. Rows with a NULL id form a group like any other.
     """
     spine_column = spine.columns[0]
     point = point or spine_column
@@ -137,8 +137,6 @@ def snapshot_asof(
     if not isinstance(df.schema[date].dataType, T.DateType):
         day = F.date_add(day, F.when(F.col(date) > day.cast(df.schema[date].dataType), 1).otherwise(0))
     usable = F.col(date).isNotNull()
-    for c in ids:
-        usable = usable & F.col(c).isNotNull()
     calendar = _calendar(spine, spine_column)
     slots = (
         df.where(usable)

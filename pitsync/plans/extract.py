@@ -15,7 +15,7 @@ from pitsync.operators.filters import apply_filters, semi_filter, share_keys, si
 from pitsync.operators.project import derive, unpack_json
 from pitsync.operators.snapshots import distinct_points, snapshot_asof, snapshot_valid
 from pitsync.sources.scan import read_source, scan
-from pitsync.spec import TableSpec
+from pitsync.spec import DEFAULT_ORDER, TableSpec
 
 PHASES = ("filter_then_dedup", "dedup_then_filter")
 
@@ -25,6 +25,16 @@ def _spine(spark: SparkSession, spec: TableSpec, tables: Mapping[str, DataFrame]
     return distinct_points(scan(spark, tables, snap.spine_table), snap.spine_column, snap.point)
 
 
+def ranking(df: DataFrame, spec: TableSpec) -> list[By]:
+    """The order by which a key's row wins. A column the spec names must be there, or
+    another row would win unnoticed; the default is left out where a table has none."""
+    if find(df, spec.order_by) is None:
+        if spec.order_by == DEFAULT_ORDER:
+            return []
+        raise ValueError(f"{spec.name}: no column {spec.order_by} to order by")
+    return [By(spec.order_by)]
+
+
 def _snapshot(df: DataFrame, spine: DataFrame, spec: TableSpec) -> DataFrame:
     snap = spec.snapshot
     ties = [By(t) for t in snap.ties] or None
@@ -32,8 +42,7 @@ def _snapshot(df: DataFrame, spine: DataFrame, spec: TableSpec) -> DataFrame:
         return snapshot_valid(
             df, spine, snap.id, snap.start, snap.end, snap.point, ties=ties, overlapping=snap.overlapping
         )
-    order = [By(spec.order_by)] if find(df, spec.order_by) else []
-    return snapshot_asof(df, spine, snap.id, snap.date, snap.point, order, ties)
+    return snapshot_asof(df, spine, snap.id, snap.date, snap.point, ranking(df, spec), ties)
 
 
 def _snapshot_increment(
@@ -99,8 +108,7 @@ def plan_extract(
     def latest(frame: DataFrame) -> DataFrame:
         if spec.source_is_deduplicated or not spec.merge_keys:
             return frame
-        order = [By(spec.order_by)] if find(frame, spec.order_by) else []
-        return latest_per_key(frame, spec.merge_keys, order, [By(t) for t in spec.ties] or None)
+        return latest_per_key(frame, spec.merge_keys, ranking(frame, spec), [By(t) for t in spec.ties] or None)
 
     if member_early:
         df = members(df)

@@ -8,27 +8,29 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitsync.functions.names import find
 from pitsync.functions.ordering import By
 from pitsync.operators.dedupe import key_violations, latest_per_key
-from pitsync.operators.merge import changed_partitions, reject_null_keys, upsert
+from pitsync.operators.merge import BUCKET, bucket_of, reject_null_keys, upsert
 from pitsync.operators.project import normalise, stamp
+from pitsync.operators.quality import failed, validate
 from pitsync.plans.extract import plan_extract
-from pitsync.sources.manifest import manifest, only_files, stored_bytes, verify
+from pitsync.sources.manifest import manifest, only_files, verify
 from pitsync.sources.sinks import (
     LayoutSpec,
     PartitionedTable,
     SnapshotTable,
     append_rows,
-    overwrite_partitions,
     read_log,
+    upsert_partitions,
     write_layout,
 )
 from pitsync.sources.state import LoadCheckpoint, SyncState, pending_files
@@ -117,7 +119,9 @@ def export_table(
         aggregates.append(F.max(column).cast("string").alias("mark"))
     totals = written.agg(*aggregates).first()
     new_mark = totals["mark"] if column else None
-    if tracked and totals["rows"] > 0:
+    # a column of NULLs gives no mark; the run's time can stand in where it is of that kind
+    timed = column is None or isinstance(written.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    if tracked and totals["rows"] > 0 and (new_mark is not None or timed):
         as_type = written.schema[column].dataType.simpleString() if column and monotonic else None
         ws.state.update(spec.name, new_mark or str(run_ts), totals["rows"], run_ts, run_id, as_type)
     return {
@@ -151,25 +155,44 @@ def import_table(
         raise ValueError(f"{spec.name}: file {problem['file']} is {problem['status']}")
 
     fresh = truncate or spec.sync_mode == "full"
-    data = spark.read.parquet(path)
     if fresh:
-        todo, batch, commit_id = listed, data, f"{run_id}-full-{run_ts:%Y%m%d%H%M%S%f}"
+        todo, commit_id = listed, f"{run_id}-full-{run_ts:%Y%m%d%H%M%S%f}"
     else:
-        todo, commit_id = pending_files(listed, ws.checkpoint.loaded()), run_id
-        target = ws.target(spec.target or spec.name)
-        published = target.is_published(run_id)
-        due = todo.agg(F.sum("rows").alias("rows")).first()["rows"]  # NULL: no file is due
+        todo, commit_id = pending_files(listed, ws.checkpoint.loaded(spec.name)), run_id
+    due = todo.agg(F.sum("rows").alias("rows")).first()["rows"]  # NULL: no file is due
+    # files that came into the folder some other way are no part of the delivery
+    batch = only_files(spark.read.parquet(path), path, todo)
+    found = batch.count() if due is not None else 0
+    if found != (due or 0):
+        raise ValueError(f"{spec.name}: the listed files hold {found} rows, the manifest says {due}")
+    if not fresh:
+        published = ws.target(spec.target or spec.name).is_published(run_id)
         if published or not due:
             if due is not None:
                 ws.checkpoint.mark(spec.name, todo)
             return {"table_name": spec.name, "rows": 0, "sync_mode": spec.sync_mode, "skipped": True}
-        batch = only_files(data, path, todo)
     batch = normalise(batch)
+    check_batch(spec, batch)
     rows = apply_batch(ws, spec, batch, commit_id, fresh, layout, run_ts)
     ws.checkpoint.mark(spec.name, todo)
     return {"table_name": spec.name, "rows": rows, "sync_mode": spec.sync_mode, "skipped": False}
 
 
+def check_batch(spec: TableSpec, batch: DataFrame) -> None:
+    """Hold a batch against the columns and rules of its spec, before anything is written.
+
+    Types that do not fit the target's are found when the two are merged, which happens
+    before anything is published as well.
+    """
+    absent = [c for c in (*spec.merge_keys, *spec.index_columns) if find(batch, c) is None]
+    if absent:
+        raise ValueError(f"{spec.name}: no column {', '.join(absent)}")
+    if spec.rules:
+        broken = failed(validate(batch, spec.rules)).collect()  # a few per rule
+        if broken:
+            raise ValueError(f"{spec.name}: " + "; ".join(f"{r[0]} {r[1]}: {r['detail']}" for r in broken))
+
+
 def apply_batch(
     ws: Workspace,
     spec: TableSpec,
@@ -186,7 +209,7 @@ def apply_batch(
     target = ws.target(table)
     keys = [k.lower() for k in spec.merge_keys]
     layout = layout or LayoutSpec(sort_keys=tuple(keys))
-    if spec.partition_by:
+    if spec.partition_by or spec.buckets:
         return _apply_partitioned(ws, spec, batch, run_id, fresh, layout, run_ts)
 
     is_append = spec.sync_mode == "incremental" and not fresh
@@ -199,8 +222,7 @@ def apply_batch(
         if old is None:
             result = stamp(staged, run_ts)
         else:
-            strategy = upsert_strategy(ws.spark, stage)
-            result = upsert(old, staged, keys, run_ts=run_ts, strategy=strategy, deduplicated=True)
+            result = upsert(old, staged, keys, run_ts=run_ts, strategy=spec.upsert_strategy, deduplicated=True)
     else:
         result = stamp(batch, run_ts)
 
@@ -220,16 +242,6 @@ def apply_batch(
     return rows
 
 
-def upsert_strategy(spark: SparkSession, staged_path: str) -> str:
-    """``lookup`` if the staged batch is below Spark's broadcast threshold, else ``outer``.
-    The size is that of the staged files; decoded rows take some ten times as much."""
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    digits = "".join(c for c in limit if c.isdigit() or c == "-")
-    unit = limit[len(digits):].strip().lower()[:1]
-    threshold = int(digits or -1) * {"k": 2**10, "m": 2**20, "g": 2**30}.get(unit, 1)
-    return "lookup" if stored_bytes(spark, staged_path) * 10 < threshold else "outer"
-
-
 def _apply_partitioned(
     ws: Workspace,
     spec: TableSpec,
@@ -239,28 +251,17 @@ def _apply_partitioned(
     layout: LayoutSpec,
     run_ts: datetime,
 ) -> int:
-    """Upsert that reads and rewrites only the partitions the batch touches."""
+    """Upsert that reads and rewrites only the partitions or key buckets the batch touches."""
     keys = [k.lower() for k in spec.merge_keys]
     parts = tuple(c.lower() for c in spec.partition_by)
     if spec.sync_mode != "upsert" or not set(parts) <= set(keys):
         raise ValueError("partitioned targets need mode upsert and partition columns among the merge keys")
-    table = spec.target or spec.name
-    target, stage = ws.partitioned(table), ws.stage_path(run_id, table)
-    layout = replace(layout, partition_by=parts)
+    if spec.buckets:
+        batch, parts = batch.withColumn(BUCKET, bucket_of(keys, spec.buckets)), (*parts, BUCKET)
     order = [By(spec.watermark.lower())] if spec.watermark and find(batch, spec.watermark) else []
-    reduced = latest_per_key(reject_null_keys(batch, keys), keys, order)
-    write_layout(reduced, f"{stage}/batch", LayoutSpec(), "overwrite")
-    staged = ws.spark.read.parquet(f"{stage}/batch")
-    old = None if fresh else target.read()
-    if old is None:
-        result = stamp(staged, run_ts)
-        target.set_schema(result.schema)
-        write_layout(result, target.path, layout, "overwrite")
-    else:
-        result = upsert(changed_partitions(old, staged, parts), staged, keys, run_ts=run_ts, deduplicated=True)
-        target.set_schema(result.schema)
-        overwrite_partitions(result, target.path, f"{stage}/result", layout)
-    return staged.count()
+    table = spec.target or spec.name
+    stage = ws.stage_path(run_id, table)
+    return upsert_partitions(ws.partitioned(table), batch, keys, order, parts, stage, layout, run_ts, fresh)
 
 
 def run_tables(

@@ -393,7 +393,8 @@ def partitioned_upsert(t: Tables) -> DataFrame:
     batch = t.orders.where("o_orderdate >= timestamp_ntz'2000-01-01'").selectExpr(
         "o_orderkey", "CAST(year(o_orderdate) AS INT) AS order_year", "o_totalprice + 1 AS price"
     )
-    target = t.spark.read.parquet(f"{root}/target")
+    write_layout(batch, f"{root}/batch")
+    batch, target = (t.spark.read.parquet(f"{root}/{x}") for x in ("batch", "target"))
     touched = changed_partitions(target, batch, ["order_year"])
     result = upsert(touched, batch, ["o_orderkey", "order_year"])
     overwrite_partitions(result, f"{root}/target", f"{root}/stage", yearly)
@@ -421,6 +422,40 @@ def sync_round_trip(t: Tables) -> DataFrame:
     return ws.target("orders").read().drop("data_inserted_at")
 
 
+@query(
+    "upsert_bucketed",
+    """
+    SELECT o_orderkey, o_custkey, o_orderdate,
+      CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders
+    """,
+)
+def upsert_bucketed(t: Tables) -> DataFrame:
+    """Orders kept in hash buckets of their key; later ones come again with a new price."""
+    ws = Workspace(t.spark, work_dir(t.spark, "buckets"))
+    spec = TableSpec("orders", "orders", sync_mode="upsert", merge_keys=("o_orderkey",), watermark="o_orderdate", order_by="o_orderdate", buckets=16)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    late = orders.where("o_orderdate >= timestamp_ntz'1998-01-01'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    apply_batch(ws, spec, orders, "r1", run_ts=RUN_TS)
+    apply_batch(ws, spec, late, "r2", run_ts=RUN_TS)
+    return ws.partitioned("orders").read().select(*orders.columns)
+
+
+@query(
+    "sync_odd_paths",
+    "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+)
+def sync_odd_paths(t: Tables) -> DataFrame:
+    """Export and import under a root with a space and signs, next to a stray file."""
+    ws = Workspace(t.spark, f"{work_dir(t.spark, 'odd')}/a b%20#+c")
+    spec = TableSpec("customer", "customer", sync_mode="incremental", watermark="c_custkey", order_by="c_custkey")
+    source = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    export_table(ws, spec, {"customer": source}, "r1", run_ts=RUN_TS)
+    source.where("c_custkey < 10").write.mode("append").parquet(ws.export_path("r1", "customer"))
+    import_table(ws, spec, "r1", run_ts=RUN_TS)
+    return ws.target("customer").read().drop("data_inserted_at")
+
+
 @query("target_load", "SELECT * FROM supplier")
 def target_load(t: Tables) -> DataFrame:
     """A full load twice over: the second replaces the first."""

@@ -10,14 +10,22 @@ from pitsync.functions.hashing import multiset_digest, row_words
 MANIFEST = "file string, rows long, size_bytes long, checksum_sha256 string"
 
 
-def _relative(path: Column, root: str) -> Column:
-    """The part of a file path below ``root``, whatever form its scheme takes."""
-    plain = root.split("://", 1)[-1]
-    plain = plain.split(":", 1)[-1] if plain.startswith("file:") else plain
-    return F.substring_index(path, plain.rstrip("/") + "/", -1)
+def relative_file(spark: SparkSession, root: str) -> Column:
+    """The file of a row, as a path below ``root``.
+
+    ``_metadata.file_path`` is an encoded URI in every kind of read, so the root is
+    encoded in the same way and all names agree, whatever characters they hold.
+    """
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(root)
+    uri = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toUri()
+    below = F.lit(uri.getRawPath().rstrip("/") + "/")
+    path = F.col("_metadata.file_path")
+    return F.substring(path, F.locate(uri.getRawPath().rstrip("/") + "/", path) + F.length(below), F.length(path))
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet files below ``path``, one row each."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -28,9 +36,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """``file, size_bytes`` of the Parquet files below ``path``; contents are not read."""
-    return _files(spark, path).select(
-        _relative(F.col("path"), path).alias("file"), F.col("length").alias("size_bytes")
-    )
+    return data_files(spark, path).select(relative_file(spark, path).alias("file"), F.col("length").alias("size_bytes"))
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -42,6 +48,7 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFrame:
     """One row per file: ``file, rows, size_bytes, checksum_sha256``.
 
+    ``file`` is the path below ``path`` in the encoded form of a URI.
     ``file`` hashes each file's bytes and suits row-bounded chunk files, as a file is one
     value there. ``rows`` hashes the rows of each file instead: no size limit, partial
     aggregation, and equal contents agree even if encoded differently.
@@ -49,11 +56,11 @@ def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFram
     if checksum not in ("file", "rows"):
         raise ValueError("checksum is 'file' or 'rows'")
     data = spark.read.parquet(path)
-    name = _relative(F.col("_metadata.file_path"), path).alias("file")
+    name = relative_file(spark, path).alias("file")
     counted = data.select(name).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     if checksum == "file":
-        files = _files(spark, path).select(
-            _relative(F.col("path"), path).alias("file"),
+        files = data_files(spark, path).select(
+            name,
             F.col("length").alias("size_bytes"),
             F.sha2("content", 256).alias("checksum_sha256"),
         )
@@ -75,7 +82,7 @@ def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFram
 
 def only_files(data: DataFrame, path: str, files: DataFrame) -> DataFrame:
     """Rows of a Parquet frame that come from the listed files."""
-    named = data.withColumn("__file", _relative(F.col("_metadata.file_path"), path))
+    named = data.withColumn("__file", relative_file(data.sparkSession, path))
     return named.join(files.select(F.col("file").alias("__file")), "__file", "left_semi").drop("__file")
 
 
@@ -101,5 +108,5 @@ def verify(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def rows_per_file(spark: SparkSession, path: str) -> DataFrame:
-    data = spark.read.parquet(path).select(_relative(F.col("_metadata.file_path"), path).alias("file"))
+    data = spark.read.parquet(path).select(relative_file(spark, path).alias("file"))
     return data.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -15,12 +15,16 @@ from pyspark.sql import types as T
 
 from pitsync.functions.names import present
 from pitsync.functions.ordering import content_tiebreak
-from pitsync.operators.merge import append
+from pitsync.operators.dedupe import latest_per_key
+from pitsync.operators.merge import changed_partitions, reject_null_keys, upsert
+from pitsync.operators.project import merge_schema, stamp
 
 CLUSTERINGS = ("sort", "range", "none")
 # The names Hadoop gives to gzip levels 1 to 9.
 GZIP_LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
+LEVELS = {"gzip": (1, 9), "zstd": (1, 22), "brotli": (0, 11)}
+
 
 @dataclass(frozen=True)
 class LayoutSpec:
@@ -35,7 +39,7 @@ class LayoutSpec:
     sort_keys: tuple[str, ...] = ()
     clustering: str = "sort"
     compression: str = "zstd"
-    level: int | None = 9
+    level: int | None = 3
     page_bytes: int = 1024 * 1024
     max_records: int = 500_000
     dictionary: tuple[str, ...] | None = None
@@ -44,6 +48,9 @@ class LayoutSpec:
     def __post_init__(self) -> None:
         if self.clustering not in CLUSTERINGS:
             raise ValueError(f"clustering must be one of {CLUSTERINGS}")
+        low, high = LEVELS.get(self.compression, (None, None))
+        if self.level is not None and low is not None and not low <= self.level <= high:
+            raise ValueError(f"{self.compression} has levels {low} to {high}, not {self.level}")
 
 
 def arrange(df: DataFrame, layout: LayoutSpec) -> DataFrame:
@@ -63,22 +70,29 @@ def arrange(df: DataFrame, layout: LayoutSpec) -> DataFrame:
     return df.sortWithinPartitions(*order) if order and layout.clustering != "none" else df
 
 
-def write_layout(df: DataFrame, path: str, layout: LayoutSpec = LayoutSpec(), mode: str = "errorifexists") -> None:
+def write_layout(
+    df: DataFrame,
+    path: str,
+    layout: LayoutSpec = LayoutSpec(),
+    mode: str = "errorifexists",
+    partition_overwrite: str = "static",
+) -> None:
+    """Write ``df`` in a layout. By default an overwrite keeps no partition of an earlier
+    try, whatever the session says."""
     writer = (
         arrange(df, layout)
         .write.mode(mode)
         .option("compression", layout.compression)
         .option("parquet.page.size", str(layout.page_bytes))
         .option("maxRecordsPerFile", layout.max_records)
-        # whatever the session says: an overwrite must not keep partitions of an earlier try
-        .option("partitionOverwriteMode", "static")
+        .option("partitionOverwriteMode", partition_overwrite)
     )
     if layout.level is not None and layout.compression == "gzip":
-        writer = writer.option("zlib.compress.level", GZIP_LEVELS[min(max(layout.level, 1), 9) - 1])
+        writer = writer.option("zlib.compress.level", GZIP_LEVELS[layout.level - 1])
     elif layout.level is not None and layout.compression == "zstd":
         writer = writer.option("parquet.compression.codec.zstd.level", str(layout.level))
     elif layout.level is not None and layout.compression == "brotli":
-        writer = writer.option("compression.brotli.quality", str(min(layout.level, 11)))
+        writer = writer.option("compression.brotli.quality", str(layout.level))
     if layout.dictionary is not None:
         writer = writer.option("parquet.enable.dictionary", "false")
         for column in present(df, layout.dictionary):
@@ -93,6 +107,16 @@ def append_rows(spark: SparkSession, path: str, schema: str, rows: Sequence[tupl
     spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
 
 
+def claim(spark: SparkSession, path: str, version: int) -> None:
+    """Take a version number, or fail if another writer has: of two writers that saw the
+    same last version, one gets the marker file and the other an error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_version_{version:012d}")
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(place.getParent())
+    if not files.createNewFile(place):
+        raise RuntimeError(f"version {version} of {path} is taken by another writer")
+
+
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A bookkeeping table; one that was never written is empty."""
     try:
@@ -110,7 +134,8 @@ def is_missing(err: AnalysisException) -> bool:
 
 
 COMMITS = (
-    "run_id string, version long, path string, row_count long, committed_at timestamp_ntz, is_append boolean"
+    "run_id string, version long, path string, row_count long, committed_at timestamp_ntz, is_append boolean, "
+    "schema string"
 )
 
 
@@ -139,21 +164,28 @@ class SnapshotTable:
         """The current log row, or None for a table without one."""
         return self.commits().orderBy(F.desc("version")).limit(1).first()
 
-    def current_paths(self) -> list[str]:
-        """The folders that make up the table: the last replacing one and later appends."""
+    def current(self) -> DataFrame:
+        """The log rows of the folders that make up the table: the last replacing one and
+        later appends."""
         log = self.commits()
         base = log.where(~F.col("is_append")).agg(F.max("version").alias("v")).scalar()
-        current = log.where(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version")
-        return [row["path"] for row in current.select("path").toLocalIterator()]
+        return log.where(F.col("version") >= F.coalesce(base, F.lit(0)))
+
+    def current_paths(self) -> list[str]:
+        return [row["path"] for row in self.current().orderBy("version").select("path").toLocalIterator()]
 
     def read(self) -> DataFrame | None:
-        paths = self.current_paths()
-        if not paths:
+        """All current folders in one read, under the merged schema of the log's entries.
+
+        Folders written before a column was added give NULLs for it; widened columns are
+        widened while they are read. No footer is opened for a schema.
+        """
+        rows = self.current().orderBy("version").select("path", "schema").collect()
+        if not rows:
             return None
-        frames = [self.spark.read.parquet(p) for p in paths]
-        if all(f.schema == frames[0].schema for f in frames):
-            return self.spark.read.parquet(*paths)
-        return functools.reduce(append, frames)
+        schemas = list(dict.fromkeys(row["schema"] for row in rows))
+        merged = functools.reduce(merge_schema, [T.StructType.fromJson(json.loads(s)) for s in schemas])
+        return self.spark.read.schema(merged).parquet(*[row["path"] for row in rows])
 
     def snapshot_path(self, run_id: str) -> str:
         return f"{self.root}/snapshot={run_id}"
@@ -173,7 +205,9 @@ class SnapshotTable:
     def publish(self, run_id: str, row_count: int, committed_at: Any, is_append: bool = False) -> None:
         last = self.latest()
         version = 1 if last is None else last["version"] + 1
-        row = (run_id, version, self.snapshot_path(run_id), row_count, committed_at, is_append)
+        claim(self.spark, f"{self.root}/versions", version)
+        schema = self.spark.read.parquet(self.snapshot_path(run_id)).schema.json()
+        row = (run_id, version, self.snapshot_path(run_id), row_count, committed_at, is_append, schema)
         append_rows(self.spark, self.commits_path, COMMITS, [row])
 
 
@@ -206,6 +240,7 @@ class PartitionedTable:
             return
         log = read_log(self.spark, f"{self.root}/schemas", SCHEMAS)
         version = log.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"] + 1
+        claim(self.spark, f"{self.root}/versions", version)
         append_rows(self.spark, f"{self.root}/schemas", SCHEMAS, [(version, schema.json())])
 
     def read(self) -> DataFrame | None:
@@ -230,12 +265,37 @@ def overwrite_partitions(df: DataFrame, path: str, stage: str, layout: LayoutSpe
         raise ValueError("overwrite_partitions needs partition columns")
     write_layout(df, stage, layout, mode="overwrite")
     staged = df.sparkSession.read.schema(df.schema).parquet(stage)
-    (
-        arrange(staged, layout)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", layout.compression)
-        .option("maxRecordsPerFile", layout.max_records)
-        .partitionBy(*layout.partition_by)
-        .parquet(path)
-    )
+    write_layout(staged, path, layout, "overwrite", "dynamic")
+
+
+def upsert_partitions(
+    table: PartitionedTable,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Any],
+    parts: Sequence[str],
+    stage: str,
+    layout: LayoutSpec = LayoutSpec(),
+    run_ts: Any = None,
+    fresh: bool = False,
+) -> int:
+    """Upsert into the partitions that the batch touches; returns the rows of the batch.
+
+    The batch is reduced and staged once, and what is read and written otherwise is the
+    touched partitions. Folders are replaced one by one, so a reader may meet some new and
+    some old partitions; a load that stopped half way is repeated as a whole, which gives
+    the same content.
+    """
+    spark, layout = table.spark, replace(layout, partition_by=tuple(parts))
+    write_layout(latest_per_key(reject_null_keys(batch, keys), keys, order), f"{stage}/batch", LayoutSpec(), "overwrite")
+    staged = spark.read.parquet(f"{stage}/batch")
+    old = None if fresh else table.read()
+    if old is None:
+        result = staged if run_ts is None else stamp(staged, run_ts)
+        table.set_schema(result.schema)
+        write_layout(result, table.path, layout, "overwrite")
+    else:
+        result = upsert(changed_partitions(old, staged, parts), staged, keys, run_ts=run_ts, deduplicated=True)
+        table.set_schema(result.schema)
+        overwrite_partitions(result, table.path, f"{stage}/result", layout)
+    return staged.count()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pitsync.functions.ordering import By
 from pitsync.operators.dedupe import latest_n_per_key, latest_per_key
-from pitsync.sources.sinks import append_rows, read_log
+from pitsync.sources.sinks import append_rows, claim, read_log
 
 STATE = (
     "table_name string, watermark_value string, rows_exported long, "
@@ -84,6 +84,7 @@ class SyncState:
     def _append(self, table: str, value: str | None, rows: int | None, at: Any, run_id: str, reset: bool) -> None:
         last = self._last(table)
         version = 1 if last is None else last["version"] + 1
+        claim(self.spark, f"{table_folder(self.path, table)}/_versions", version)
         row = (table, value, rows, at, run_id, reset, version)
         append_rows(self.spark, table_folder(self.path, table), STATE, [row])
 
@@ -113,8 +114,9 @@ class LoadCheckpoint:
     spark: SparkSession
     path: str
 
-    def loaded(self) -> DataFrame:
-        return read_log(self.spark, self.path, LOADED)
+    def loaded(self, table: str | None = None) -> DataFrame:
+        """What is loaded, of all tables or of one, whose folder alone is read then."""
+        return read_log(self.spark, table_folder(self.path, table) if table else self.path, LOADED)
 
     def mark(self, table: str, files: DataFrame) -> None:
         keys = ["table_name", "run_id", "file", "checksum_sha256"]

@@ -58,6 +58,10 @@ class Unpack:
     strict: bool = False
 
 
+#: Fixed value: the version-end column of the sources.
+DEFAULT_ORDER = "_TIMESTAMPTO"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -65,7 +69,8 @@ class TableSpec:
     sync_mode: str = "full"
     merge_keys: tuple[str, ...] = ()
     watermark: str | None = None
-    order_by: str = "_TIMESTAMPTO"
+    #: the column that ranks the rows of a key; only the default may be absent from a table
+    order_by: str = DEFAULT_ORDER
     ties: tuple[str, ...] = ()
     filters: tuple[Any, ...] = ()
     members: Members | None = None
@@ -79,6 +84,11 @@ class TableSpec:
     rules: dict[str, dict[str, Any]] = field(default_factory=dict)
     target: str | None = None
     partition_by: tuple[str, ...] = ()
+    #: keep the target in so many hash buckets of its merge keys, so that an upsert reads and
+    #: rewrites only the buckets its keys fall into; part of the layout, not to be changed
+    buckets: int = 0
+    #: how an unpartitioned target is merged, see ``operators.merge.upsert``
+    upsert_strategy: str = "outer"
     #: count keys of the whole target after each upsert; a full shuffle of it
     verify_keys: bool = False
 
@@ -87,6 +97,8 @@ class TableSpec:
             raise ValueError(f"sync_mode must be one of {SYNC_MODES}, not {self.sync_mode!r}")
         if self.sync_mode == "upsert" and not self.merge_keys:
             raise ValueError(f"{self.name}: upsert needs merge_keys")
+        if self.buckets < 0 or self.buckets and self.sync_mode != "upsert":
+            raise ValueError(f"{self.name}: buckets are a number of them, for upserts")
 
     @property
     def phase(self) -> str:

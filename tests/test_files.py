@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from pitsync.plans.sync import Workspace, apply_batch, export_table, import_table, run_tables, upsert_strategy
+from pitsync.plans.sync import Workspace, apply_batch, export_table, import_table, run_tables
 from pitsync.session import work_dir
 from pitsync.sources.layouts import compare_layouts, standard_layouts
 from pitsync.sources.manifest import file_listing, manifest, manifest_totals, rows_per_file, stored_bytes, verify
@@ -313,14 +313,13 @@ def test_runs_continue_past_a_failing_table(spark, folder):
         run_tables(ws, specs, lambda s: {}, "r3", "import", only="nope")
 
 
-def test_strategy_follows_the_staged_size(spark, folder):
-    spark.range(10).write.parquet(f"{folder}/small")
-    assert upsert_strategy(spark, f"{folder}/small") == "lookup"
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    for limit, expected in (("-1", "outer"), ("1KB", "outer"), ("100MB", "lookup"), ("200000b", "lookup")):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-        assert upsert_strategy(spark, f"{folder}/small") == expected, limit
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+@pytest.mark.parametrize("strategy", ["outer", "lookup"])
+def test_both_strategies_load_the_same(spark, folder, strategy):
+    ws = Workspace(spark, folder)
+    spec = TableSpec("t", "t", sync_mode="upsert", merge_keys=("k",), upsert_strategy=strategy)
+    apply_batch(ws, spec, spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "r1", run_ts=NOW)
+    apply_batch(ws, spec, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), "r2", run_ts=NOW)
+    assert sorted((r["k"], r["v"]) for r in ws.target("t").read().collect()) == [(1, "a"), (2, "c"), (3, "d")]
 
 
 def test_stream_ingest_resumes(spark, folder):
@@ -346,7 +345,8 @@ def test_stream_upsert_skips_a_repeated_batch(spark, folder):
     assert {(r["id"], r["v"]) for r in table.read().collect()} == {(1, "b"), (2, "c")}
     df.withColumn("v", F.lit("next")).where("id = 2").write.parquet(f"{folder}/in")
     upsert_stream(file_stream(spark, f"{folder}/in", df.schema), table, ["id"], ["o"], f"{folder}/ckpt", lambda n: NOW)
-    assert table.commits().count() == 1  # batch 0 of the new stream was seen before
+    assert table.commits().count() == 2  # batch 0 of this stream is not batch 0 of the other
+    assert {(r["id"], r["v"]) for r in table.read().collect()} == {(1, "b"), (2, "next")}
 
 
 def test_work_dir_is_under_the_shared_folder(spark):

@@ -64,8 +64,11 @@ def test_asof_is_inclusive_and_carries_forward(spark):
         "id int, d timestamp_ntz, note string",
     )
     out = snapshot_asof(df, spine(spark, JAN, FEB, MAR, JAN), ["id"], "d")
-    got = sorted((r["id"], r["point"], r["note"]) for r in out.collect())
+    got = sorted(((r["id"], r["point"], r["note"]) for r in out.collect()), key=lambda r: (r[0] or 0, r[1]))
     assert got == [
+        (None, JAN, "no id"),
+        (None, FEB, "no id"),
+        (None, MAR, "no id"),
         (1, JAN, "on jan"),
         (1, FEB, "just after jan"),
         (1, MAR, "just after jan"),
