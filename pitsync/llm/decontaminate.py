@@ -46,9 +46,9 @@ def _fingerprint(shingles: str) -> Column:
 def _blocks(print_: str, radius: int) -> str:
     """``radius + 1`` blocks: two fingerprints within the radius agree on one at least."""
     n = radius + 1
-    low, high = f"cast((b * {BITS}) div {n} as int)", f"cast(((b + 1) * {BITS}) div {n} as int)"
+    low, high = f"cast((nth * {BITS}) div {n} as int)", f"cast(((nth + 1) * {BITS}) div {n} as int)"
     return (
-        f"transform(sequence(0, {radius}), b -> "
+        f"transform(sequence(0, {radius}), nth -> "
         f"shiftrightunsigned({print_}, {low}) & (shiftleft(1L, {high} - {low}) - 1))"
     )
 
@@ -142,12 +142,14 @@ def contaminated(
         near = probes.join(
             index,
             (F.col("n") == F.col("m")) & (F.col("block") == F.col("item_block")) & (F.col("bits") == F.col("item_bits")),
-        ).where(F.expr(f"coalesce(bit_count(print ^ item_print), {BITS + 1}) <= {radius}"))
-        # a pair that agrees on several blocks counts in the first of them
+        )
+        # a pair that agrees on several blocks counts in the first of them; the distance,
+        # which is cheap, is asked first
+        within = F.expr(f"coalesce(bit_count(print ^ item_print), {BITS + 1}) <= {radius}")
         first = F.expr(
             f"array_position(zip_with({_blocks('print', radius)}, {_blocks('item_print', radius)}, (x, y) -> x = y), true) - 1"
         )
-        near = near.where(F.col("block") == first).withColumn("shared", _overlap("win", "item"))
+        near = near.where(within & (F.col("block") == first)).withColumn("shared", _overlap("win", "item"))
         union = F.size("win") + F.size("item") - F.col("shared")
         near = near.where(F.col("shared") * 100 >= union * percent).select(
             "doc_id", "text_key", "item_id", (F.col("shared") / union).alias("similarity"), "start", F.col("n").alias("n_shingles")
