@@ -48,7 +48,8 @@ def drop_site_lines(pages: DataFrame, max_ratio: float = 0.1, min_pages: int = 3
     lines number at most its lines per page over ``max_ratio``; they meet its pages in a
     join whose hot side Spark splits.
     """
-    read = pages.select("page_id", host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines"))
+    # written, as it is read twice and the HTML is what costs
+    read = stage(pages.select("page_id", host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines")), "lines")
     named = read.select("host", F.transform("lines", lambda x: F.md5(x)).alias("ids"))
     # an entry without a line counts the pages
     counted = named.select("host", F.explode_outer(F.concat(F.array(F.lit("")), F.array_distinct("ids"))).alias("id"))
