@@ -27,7 +27,7 @@ def _shingles(hashes: str, width: int) -> Column:
 
 
 def _fingerprint(shingles: str) -> Column:
-    """SimHash: bit b is set if most shingles, counted as often as they occur, set it.
+    """SimHash: bit b is set if most elements set it.
 
     Lane j of the k-th sum counts bit k + 16 j, so one pass of a shift, a mask and an
     addition per shingle counts four bits.
@@ -53,15 +53,16 @@ def _blocks(print_: str, radius: int) -> str:
     )
 
 
-def _overlap(a: str, b: str) -> Column:
-    """Size of the intersection of two bags of shingles."""
-    counted = (
-        f"aggregate(array_distinct({a}), 0, (s, x) -> s + "
-        f"least(size(filter({a}, y -> y = x)), size(filter({b}, y -> y = x))))"
-    )
+def _numbered(shingles: str) -> Column:
+    """The bag as a set: the k-th occurrence of a shingle, from the second on, gets a hash of its own.
+
+    The intersection of two such sets is that of the bags, and no shingle weighs more
+    than one element in a fingerprint.
+    """
+    kth = f"size(filter(slice({shingles}, 1, i + 1), y -> y = x))"
     return F.expr(
-        f"CASE WHEN size(array_distinct({a})) = size({a}) AND size(array_distinct({b})) = size({b}) "
-        f"THEN size(array_intersect({a}, {b})) ELSE {counted} END"
+        f"CASE WHEN size(array_distinct({shingles})) = size({shingles}) THEN {shingles} "
+        f"ELSE transform({shingles}, (x, i) -> CASE WHEN {kth} = 1 THEN x ELSE xxhash64(x, {kth}) END) END"
     )
 
 
@@ -88,7 +89,7 @@ def _windows(docs: DataFrame, seeds: DataFrame, width: int, broadcast_rows: int)
         hits = hashed.join(found, same)
     # written, so that what is asked of a window is not evaluated for each word of a text
     cut = hits.select("doc_id", "text_key", "start", "n", F.expr("slice(sh, start + 1, n)").alias("win"))
-    return stage(cut, "windows")
+    return stage(cut.withColumn("win", _numbered("win")), "windows")
 
 
 def contaminated(
@@ -105,9 +106,9 @@ def contaminated(
     document it is cut short. Its fingerprint is looked up in an index of the items of
     that length, by ``radius + 1`` blocks of bits, which finds every item within
     ``radius``. Candidates are kept if the similarity of the two bags of shingles, each
-    weighing as often as it occurs, is ``percent`` or more. At 75 % the expected distance
-    is 11 of 64 bits with a deviation of 3; a radius of 24 misses about one in 10^5 of such
-    borderline windows and fewer of all others. Per document and item, the best
+    weighing as often as it occurs, is ``percent`` or more. A fingerprint is taken of
+    shingles numbered by occurrence, so that one that is repeated does not move all bits
+    and the distance follows the similarity of the bags. Per document and item, the best
     window counts, the first one of equals.
 
     Windows that start at a shingle which the item does not have are passed over: the one
@@ -130,9 +131,9 @@ def contaminated(
     found = None
     for width in widths or [shingle]:
         own = items.where(F.col("width") == width).select("item_id", _shingles("hashes", width).alias("item"))
-        own = own.withColumn("n", F.size("item")).withColumn("item_print", _fingerprint("item"))
-        own = stage(own, "items")
-        seeds = own.select(F.explode_outer("item").alias("seed"), "n").distinct()
+        own = own.select("item_id", F.col("item").alias("seeds"), F.size("item").alias("n"), _numbered("item").alias("item"))
+        own = stage(own.withColumn("item_print", _fingerprint("item")), "items")
+        seeds = own.select(F.explode_outer("seeds").alias("seed"), "n").distinct()
         index = own.select("item_id", "item", "n", "item_print", F.posexplode_outer(F.expr(_blocks("item_print", radius))).alias("block", "bits"))
         index = index.withColumnRenamed("n", "m").withColumnsRenamed({"block": "item_block", "bits": "item_bits"})
         if own.count() * (radius + 1) <= broadcast_rows:
@@ -149,7 +150,7 @@ def contaminated(
         first = F.expr(
             f"array_position(zip_with({_blocks('print', radius)}, {_blocks('item_print', radius)}, (x, y) -> x = y), true) - 1"
         )
-        near = near.where(within & (F.col("block") == first)).withColumn("shared", _overlap("win", "item"))
+        near = near.where(within & (F.col("block") == first)).withColumn("shared", F.size(F.array_intersect("win", "item")))
         union = F.size("win") + F.size("item") - F.col("shared")
         near = near.where(F.col("shared") * 100 >= union * percent).select(
             "doc_id", "text_key", "item_id", (F.col("shared") / union).alias("similarity"), "start", F.col("n").alias("n_shingles")

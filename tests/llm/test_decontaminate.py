@@ -94,3 +94,23 @@ def test_blocks_cover_every_fingerprint_within_the_radius(spark, radius):
         F.expr(f"exists(zip_with({d._blocks('a', radius)}, {d._blocks('b', radius)}, (x, y) -> x = y), z -> z)").alias("met")
     )
     assert got.where("NOT met").count() == 0
+
+
+def test_finds_passages_that_repeat_a_shingle_less_often(spark):
+    """A bag of which one shingle alone would move all bits: its fingerprint must not."""
+    rng = random.Random(4)
+    bench, docs = [], []
+    for k in range(40):
+        fold, others = ((8, 19), (9, 46), (6, 25))[k % 3]
+        # "again" fold + 4 times is one shingle fold times
+        body = [f"v{rng.randrange(10**9)}" for _ in range(others)]
+        bench.append((k, " ".join(body + ["again"] * (fold + 4))))
+        docs.append((k, " ".join(["before"] * 9 + body + ["again"] * 5)))
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    con = connect("/root/testdata/sf0.001")
+    con.register("documents_fixture", docs.toPandas())
+    con.register("bench_rows", bench.toPandas())
+    con.execute("CREATE OR REPLACE VIEW benchmark AS SELECT * FROM bench_rows")
+    rows = con.sql(f"WITH {decontamination('documents_fixture')} SELECT doc_id, item_id, similarity FROM matches").fetchall()
+    want = {(i, k, round(x, 9)) for i, k, x in rows}
+    assert len(want) >= 26 and found(docs, bench) == want

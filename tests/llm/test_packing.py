@@ -88,3 +88,12 @@ def test_search_beats_best_fit_and_only_raises_squared_fill(monkeypatch):
     # 520 + 500 and 504 + 500 leave gaps; exchanging and moving fills two bins of three
     bins = packing.pack(np.array([700, 350, 330, 324, 320]), SIZE)
     assert len(bins) == 2
+
+
+def test_added_tokens_in_texts_have_the_ids_of_the_json_form():
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.ADDED == {t.content: k for k, t in plain.get_added_tokens_decoder().items()}
+    encode = packing.tokenizer(packing.vocabulary())
+    mark = "<|endoftext|>"
+    for text in (f"{mark} x", mark, mark * 3, f"a {mark}  b\n{mark}", f"<|{mark}|>", "<|endoftext|", "<|ENDOFTEXT|>", f"é{mark}é  {mark} \n"):
+        assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
