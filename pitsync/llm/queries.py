@@ -14,6 +14,7 @@ from pitsync.llm.jaccard_join import jaccard_components
 from pitsync.llm.langid import identify
 from pitsync.llm.line_dedup import drop_site_lines
 from pitsync.llm.lm_score import score_corpus
+from pitsync.llm.merkle import audit_documents
 from pitsync.llm.packing import pack_documents
 from pitsync.llm.pii import find_pii
 from pitsync.llm.quality import score_documents
@@ -71,6 +72,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat_formatting,
     "op2_exact_dedup": exact,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality,
     "op9_ngram_jaccard_join": jaccard,
     "op10_benchmark_decontamination": decontamination,
+    "op13_merkle_manifest": merkle_manifest,
 }
 
 #: Operators with a trained model, a search or a similarity graph have no SQL.
@@ -90,4 +96,5 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": sql.EXACT_DEDUP,
     "op6_line_dedup": sql.LINE_DEDUP,
     "op10_benchmark_decontamination": sql.DECONTAMINATION,
+    "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

