@@ -15,6 +15,7 @@ from pitsync.llm.langid import identify
 from pitsync.llm.line_dedup import drop_site_lines
 from pitsync.llm.lm_score import score_corpus
 from pitsync.llm.merkle import audit_documents
+from pitsync.llm.mixing import mix
 from pitsync.llm.packing import pack_documents
 from pitsync.llm.pii import find_pii
 from pitsync.llm.quality import score_documents
@@ -72,6 +73,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(_table(spark, folder, "documents"))
+
+
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return audit_documents(_table(spark, folder, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality,
     "op9_ngram_jaccard_join": jaccard,
     "op10_benchmark_decontamination": decontamination,
+    "op12_source_mixing": mixing,
     "op13_merkle_manifest": merkle_manifest,
 }
 
@@ -96,5 +102,6 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": sql.EXACT_DEDUP,
     "op6_line_dedup": sql.LINE_DEDUP,
     "op10_benchmark_decontamination": sql.DECONTAMINATION,
+    "op12_source_mixing": sql.SOURCE_MIXING,
     "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

@@ -139,3 +139,39 @@ FROM ranked JOIN subroots s USING (g) JOIN (SELECT rn, folded, proof FROM rise W
 
 
 MERKLE_MANIFEST = merkle_manifest()
+
+
+def source_mixing(documents: str = "documents") -> str:
+    """Targets by filling up sources in the order of their caps; queues and mix by windows."""
+    return rf"""
+WITH src AS (
+  SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS text,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda w: w <> ''))::BIGINT AS size
+  FROM {documents}
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight FROM src GROUP BY source
+), filled AS (
+  SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER below, 0) AS left_over,
+    sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS weights
+  FROM totals
+  WINDOW below AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT left_over / weights AS a FROM filled WHERE weight * (left_over / weights) <= 2.0 * source_size ORDER BY weights DESC LIMIT 1
+), targets AS (
+  SELECT source, source_size, CASE WHEN weight * a > 2.0 * source_size THEN 2.0::DOUBLE * source_size ELSE weight * a END AS target FROM totals, level
+), queued AS (
+  SELECT s.*, copy, source_size, target, sha256('7:' || copy || ':' || coalesce(doc_id::VARCHAR, '-') || ':' || sha256(text)) AS place
+  FROM src s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (1), (2)) c(copy)
+), timed AS (
+  SELECT *, CASE WHEN target > 0 THEN sum(size) OVER (PARTITION BY source ORDER BY copy, place, rn ROWS UNBOUNDED PRECEDING)::DOUBLE / target ELSE 0.0 END AS finish
+  FROM queued
+), ordered AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, copy, place, rn ROWS UNBOUNDED PRECEDING) AS until, sum(size) OVER () AS everything FROM timed
+)
+SELECT doc_id, size, source_size, target, (coalesce(sum(size) FILTER (until <= floor(everything / 2 * 1.5)), 0))::BIGINT AS taken
+FROM ordered GROUP BY rn, doc_id, size, source_size, target
+"""
+
+
+SOURCE_MIXING = source_mixing()
