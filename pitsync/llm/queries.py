@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pitsync.llm import chat, sql
 from pitsync.llm.decontaminate import contaminated
+from pitsync.llm.divergence import audit_sources
 from pitsync.llm.exact_dedup import exact_dedup
 from pitsync.llm.jaccard_join import jaccard_components
 from pitsync.llm.langid import identify
@@ -73,6 +74,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
+def divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(_table(spark, folder, "documents"))
+
+
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality,
     "op9_ngram_jaccard_join": jaccard,
     "op10_benchmark_decontamination": decontamination,
+    "op11_source_divergence": divergence,
     "op12_source_mixing": mixing,
     "op13_merkle_manifest": merkle_manifest,
 }
@@ -102,6 +108,7 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": sql.EXACT_DEDUP,
     "op6_line_dedup": sql.LINE_DEDUP,
     "op10_benchmark_decontamination": sql.DECONTAMINATION,
+    "op11_source_divergence": sql.SOURCE_DIVERGENCE,
     "op12_source_mixing": sql.SOURCE_MIXING,
     "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

@@ -175,3 +175,41 @@ FROM ordered GROUP BY rn, doc_id, size, source_size, target
 
 
 SOURCE_MIXING = source_mixing()
+
+
+def source_divergence(documents: str = "documents", min_df: int = 10) -> str:
+    """All pairs of sources times all kept terms, in big integers."""
+    share = "1 + (1000000000::HUGEINT * ({c} + 2)) // ({n} + 2 * v)"
+    return rf"""
+WITH src AS (
+  SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM {documents}
+), words AS (
+  SELECT rn, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM src
+), kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT rn) >= {min_df}),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+sources AS (
+  SELECT g.lang, g.source, coalesce(n, 0) AS n, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM src) g
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) USING (lang, source) LEFT JOIN sizes USING (lang)
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c, ({share.format(c="coalesce(c, 0)", n="n")})::BIGINT AS p
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counts x ON x.lang = s.lang AND x.source = s.source AND x.term = k.term
+), whole AS (
+  SELECT lang, term, ({share.format(c="sum(c)", n="any_value(n)")})::BIGINT AS q
+  FROM counts JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM sources GROUP BY lang) USING (lang) GROUP BY lang, term, v
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)), 0)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL SELECT a.lang, a.source, 'pair', b.source, 0 FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source WHERE a.v = 0
+), typical AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM shares s JOIN whole w ON s.lang = w.lang AND s.term = w.term WHERE c > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM typical) QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+SOURCE_DIVERGENCE = source_divergence()
