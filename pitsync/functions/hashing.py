@@ -42,13 +42,23 @@ def row_hash(schema: T.StructType, columns: Sequence[str] | None = None) -> Colu
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def hash_inputs(fields: Sequence[T.StructField]) -> list[Column]:
+    """What to hand to ``xxhash64`` so that it tells all values apart.
+
+    The function skips NULLs, wherever they are, so the flags of the columns come first
+    and nested values enter as JSON that spells its NULLs out.
+    """
+    nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
+    names = [F.col(f"`{f.name}`") for f in fields]
+    values = [F.to_json(c, {"ignoreNullFields": "false"}) if isinstance(f.dataType, nested) else c for c, f in zip(names, fields, strict=True)]
+    return [*[c.isNull() for c in names], *values]
+
+
 def row_words(schema: T.StructType, columns: Sequence[str] | None = None) -> list[Column]:
-    """Two independent 64-bit hashes of a row, much cheaper than SHA-256: no value becomes
-    text. NULL flags are hashed along, because the hash function skips NULLs."""
-    fields = _chosen(schema, columns)
-    values = [F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f"`{f.name}`") for f in fields]
-    nulls = [F.col(f"`{f.name}`").isNull() for f in fields]
-    return [F.xxhash64(F.lit(seed), *nulls, *values) for seed in (1, 2)]
+    """Two independent 64-bit hashes of a row, much cheaper than SHA-256: no plain value
+    becomes text."""
+    inputs = hash_inputs(_chosen(schema, columns))
+    return [F.xxhash64(F.lit(seed), *inputs) for seed in (1, 2)]
 
 
 _PIECE_BITS = 16

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from pitsync.functions.hashing import hash_inputs
 
 
 @dataclass(frozen=True)
@@ -39,18 +40,7 @@ def order_columns(order: Sequence[OrderKey]) -> list[Column]:
     return out
 
 
-def _hashable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
-    return True
-
-
 def content_tiebreak(df: DataFrame) -> Column:
     """A hash of the whole row. As the last order key it makes a selection repeatable,
     so a task rerun after a lost executor picks the same row again."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
-    return F.xxhash64(*cols).desc()
+    return F.xxhash64(*hash_inputs(df.schema.fields)).desc()

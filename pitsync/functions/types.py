@@ -149,7 +149,8 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
         return T.DoubleType()
     for x, y in ((a, b), (b, a)):
         if isinstance(x, T.DecimalType) and type(y) in _RANK:
-            digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}[type(y)]
+            # what Parquet readers ask of a decimal that stands for stored 32- and 64-bit integers
+            digits = 20 if type(y) is T.LongType else 10
             return _decimal(max(x.precision, digits + x.scale), x.scale)
     if ta is T.DecimalType and tb is T.DecimalType:
         scale = max(a.scale, b.scale)

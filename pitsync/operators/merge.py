@@ -125,8 +125,14 @@ BUCKET = "key_bucket"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """The bucket of a row by its keys. Keys count as text, so a widened key keeps its bucket."""
-    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    """The bucket of a row by its keys. Keys count as text without zeros at the end of a
+    fraction, so a key keeps its bucket when its integer or decimal type widens."""
+
+    def text(key: str) -> Column:
+        plain = F.col(key).cast("string")
+        return F.when(plain.rlike(r"^-?[0-9]+\.[0-9]+$"), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
+
+    return F.pmod(F.xxhash64(*[text(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def upsert_chunks(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,11 +24,13 @@ from pitsync.operators.project import normalise, stamp
 from pitsync.operators.quality import failed, validate
 from pitsync.plans.extract import plan_extract
 from pitsync.sources.manifest import manifest, only_files, verify
+from pitsync.sources.sealed import SealedExport, seal_export
 from pitsync.sources.sinks import (
     LayoutSpec,
     PartitionedTable,
     SnapshotTable,
     append_rows,
+    arrange,
     read_log,
     upsert_partitions,
     write_layout,
@@ -93,12 +95,14 @@ def export_table(
     monotonic: bool = False,
     run_ts: datetime | None = None,
     point_mark: Any = None,
+    password: str | None = None,
 ) -> dict[str, Any]:
     """Extract what changed, write it, list its files, and move the mark.
 
-    The plan runs once, into the files; row counts, checksums and the new mark are then
-    read from those files. The mark moves last, and only if rows were written, so an
-    export that dies anywhere is simply repeated.
+    The plan runs once, into the files; row counts and the new mark are gathered on the
+    way, and checksums are then read from the files. The mark moves last, and only if rows
+    were written, so an export that dies anywhere is simply repeated. With a ``password``
+    the rows are written in sealed frames (see ``sources.sealed``).
     """
     run_ts = run_ts or utc_now()
     tracked = bool(spec.watermark) and spec.sync_mode in ("incremental", "upsert")
@@ -106,23 +110,26 @@ def export_table(
     df = plan_extract(ws.spark, spec, tables, mark, full_reload, point_mark)
     layout = layout or LayoutSpec(sort_keys=spec.sort_keys)
     path = ws.export_path(run_id, spec.name)
-    write_layout(df, path, layout, mode="overwrite")
-
-    written = ws.spark.read.parquet(path)
-    manifest(ws.spark, path).withColumns(
-        {"table_name": F.lit(spec.name), "run_id": F.lit(run_id)}
-    ).write.mode("overwrite").parquet(ws.manifest_path(run_id, spec.name))
-
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    column = find(written, spec.watermark) if spec.watermark else None
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    column = find(df, spec.watermark) if spec.watermark else None
     if column:
-        aggregates.append(F.max(column).cast("string").alias("mark"))
-    totals = written.agg(*aggregates).first()
+        metrics.append(F.max(column).cast("string").alias("mark"))
+    if password is None:
+        totals = write_layout(df, path, layout, mode="overwrite", metrics=metrics)
+        listed = manifest(ws.spark, path)
+    else:
+        seen, context = Observation(), sealed_context(spec.name, run_id)
+        seal_export(arrange(df, layout).observe(seen, *metrics), path, password, context)
+        totals, export = seen.get, SealedExport(ws.spark, path, password, context)
+        listed = export.manifest(export.streams())
+    listed.withColumns({"table_name": F.lit(spec.name), "run_id": F.lit(run_id)}).write.mode("overwrite").parquet(
+        ws.manifest_path(run_id, spec.name)
+    )
     new_mark = totals["mark"] if column else None
     # a column of NULLs gives no mark; the run's time can stand in where it is of that kind
-    timed = column is None or isinstance(written.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    timed = column is None or isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
     if tracked and totals["rows"] > 0 and (new_mark is not None or timed):
-        as_type = written.schema[column].dataType.simpleString() if column and monotonic else None
+        as_type = df.schema[column].dataType.simpleString() if column and monotonic else None
         ws.state.update(spec.name, new_mark or str(run_ts), totals["rows"], run_ts, run_id, as_type)
     return {
         "table_name": spec.name,
@@ -134,6 +141,11 @@ def export_table(
     }
 
 
+def sealed_context(table: str, run_id: str) -> str:
+    """What the frames of an export are bound to: they open as this table and run only."""
+    return f"{table}@{run_id}"
+
+
 def import_table(
     ws: Workspace,
     spec: TableSpec,
@@ -141,15 +153,29 @@ def import_table(
     truncate: bool = False,
     layout: LayoutSpec | None = None,
     run_ts: datetime | None = None,
+    password: str | None = None,
 ) -> dict[str, Any]:
     """Verify an export, apply it to its target by the spec's mode, check, publish.
 
-    Files already in the target are skipped, so a repeated import changes nothing.
+    Files already in the target are skipped, so a repeated import changes nothing. A sealed
+    export needs its ``password``; of its frames, all must open, each in its place.
     """
     run_ts = run_ts or utc_now()
     spark, path = ws.spark, ws.export_path(run_id, spec.name)
     listed = spark.read.parquet(ws.manifest_path(run_id, spec.name))
-    bad = verify(listed, manifest(spark, path)).where(F.col("status").isin("mismatch", "missing"))
+    export = None
+    if password is not None:
+        export = SealedExport(spark, path, password, sealed_context(spec.name, run_id))
+        streams = export.streams()
+        write_layout(streams, f"{ws.stage_path(run_id, spec.name)}/streams", LayoutSpec(), "overwrite")
+        streams = spark.read.schema(streams.schema).parquet(f"{ws.stage_path(run_id, spec.name)}/streams")
+        wrong = export.problems(streams)
+        if wrong:
+            raise ValueError(f"{spec.name}: " + "; ".join(wrong))
+        present = export.manifest(streams)
+    else:
+        present = manifest(spark, path)
+    bad = verify(listed, present).where(F.col("status").isin("mismatch", "missing"))
     problem = bad.orderBy("file").limit(1).first()
     if problem is not None:
         raise ValueError(f"{spec.name}: file {problem['file']} is {problem['status']}")
@@ -161,10 +187,7 @@ def import_table(
         todo, commit_id = pending_files(listed, ws.checkpoint.loaded(spec.name)), run_id
     due = todo.agg(F.sum("rows").alias("rows")).first()["rows"]  # NULL: no file is due
     # files that came into the folder some other way are no part of the delivery
-    batch = only_files(spark.read.parquet(path), path, todo)
-    found = batch.count() if due is not None else 0
-    if found != (due or 0):
-        raise ValueError(f"{spec.name}: the listed files hold {found} rows, the manifest says {due}")
+    batch = only_files(spark.read.parquet(path), path, todo) if export is None else export.read(todo)
     if not fresh:
         published = ws.target(spec.target or spec.name).is_published(run_id)
         if published or not due:
@@ -173,7 +196,7 @@ def import_table(
             return {"table_name": spec.name, "rows": 0, "sync_mode": spec.sync_mode, "skipped": True}
     batch = normalise(batch)
     check_batch(spec, batch)
-    rows = apply_batch(ws, spec, batch, commit_id, fresh, layout, run_ts)
+    rows = apply_batch(ws, spec, batch, commit_id, fresh, layout, run_ts, due or 0)
     ws.checkpoint.mark(spec.name, todo)
     return {"table_name": spec.name, "rows": rows, "sync_mode": spec.sync_mode, "skipped": False}
 
@@ -201,9 +224,14 @@ def apply_batch(
     fresh: bool = False,
     layout: LayoutSpec | None = None,
     run_ts: datetime | None = None,
+    expected: int | None = None,
 ) -> int:
     """Apply a lower-cased batch to the target; returns the rows written: the new target's,
-    or the batch's where it was appended or the target is partitioned."""
+    or the batch's where it was appended or the target is partitioned.
+
+    ``expected`` is the number of rows that a full or appended batch should have. Rows are
+    counted while they are written, and nothing is published if there are others.
+    """
     run_ts = run_ts or utc_now()
     table = spec.target or spec.name
     target = ws.target(table)
@@ -226,18 +254,15 @@ def apply_batch(
     else:
         result = stamp(batch, run_ts)
 
-    written = target.write(result, run_id, layout)
-    rows = written.count()
+    written, rows = target.write(result, run_id, layout)
     if spec.sync_mode == "upsert":
         # One row per key on both sides of the merge makes the result unique already, so
         # the check is for targets that something else may have written.
         twice = None if not spec.verify_keys else key_violations(written, keys).limit(1).first()
         if twice is not None:
             raise ValueError(f"{table}: keys {keys} are not unique after the load")
-    else:
-        expected = batch.count()  # from file footers
-        if expected != rows:
-            raise ValueError(f"{table}: {rows} rows loaded, {expected} expected")
+    elif expected is not None and rows != expected:
+        raise ValueError(f"{table}: {rows} rows loaded, {expected} expected")
     target.publish(run_id, rows, run_ts, is_append)
     return rows
 
@@ -261,7 +286,7 @@ def _apply_partitioned(
     order = [By(spec.watermark.lower())] if spec.watermark and find(batch, spec.watermark) else []
     table = spec.target or spec.name
     stage = ws.stage_path(run_id, table)
-    return upsert_partitions(ws.partitioned(table), batch, keys, order, parts, stage, layout, run_ts, fresh)
+    return upsert_partitions(ws.partitioned(table), batch, keys, order, parts, stage, layout, run_ts, fresh, spec.buckets or None)
 
 
 def run_tables(

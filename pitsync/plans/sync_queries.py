@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitsync.functions.hashing import chunk_file_id, keyed_id, manifest_id, metadata_file_id, table_folder_id
@@ -488,7 +488,7 @@ def stream_ingest(t: Tables) -> DataFrame:
 @query(
     "stream_upsert",
     """
-    SELECT event_id, ts, user_id, event_type, value, props FROM events
+    SELECT event_id, ts, user_id, event_type, value, props, TIMESTAMP '2024-02-01 06:00:00' AS data_inserted_at FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1
     """,
 )
@@ -581,6 +581,30 @@ def change_detection(t: Tables) -> DataFrame:
     return diff_rows(_old_orders(t), t.orders, ["o_orderkey"])
 
 
+@query(
+    "change_detection_nested",
+    """
+    WITH old AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN [l_partkey, NULL, l_suppkey] ELSE [l_partkey, l_suppkey, NULL] END AS a,
+        l_partkey AS p, l_linestatus = 'O' AS x FROM lineitem),
+    new AS (SELECT l_orderkey, l_linenumber, [l_partkey, l_suppkey, NULL] AS a, l_partkey AS p, l_linestatus = 'O' OR l_returnflag = 'R' AS x FROM lineitem),
+    o AS (SELECT l_orderkey, l_linenumber, list_sort(list(a::VARCHAR || p || x)) AS v FROM old GROUP BY ALL),
+    n AS (SELECT l_orderkey, l_linenumber, list_sort(list(a::VARCHAR || p || x)) AS v FROM new GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, CASE WHEN o.v = n.v THEN 'unchanged' ELSE 'changed' END AS status FROM o JOIN n USING (l_orderkey, l_linenumber)
+    """,
+)
+def change_detection_nested(t: Tables) -> DataFrame:
+    """Rows that differ only by where a NULL stands in an array or a struct."""
+    keys, part = ["l_orderkey", "l_linenumber"], F.col("l_partkey")
+
+    def version(first: Column, moved: Column) -> DataFrame:
+        nothing = F.lit(None).cast("long")
+        listed = F.when(first, F.array(part, nothing, "l_suppkey")).otherwise(F.array(part, F.col("l_suppkey"), nothing))
+        return t.lineitem.select(*keys, listed.alias("a"), F.struct(F.when(moved, part).alias("x"), F.when(~moved, part).alias("y")).alias("s"))
+
+    old = version(F.col("l_returnflag") == "A", F.col("l_linestatus") == "O")
+    return diff_rows(old, version(F.lit(False), (F.col("l_linestatus") == "O") | (F.col("l_returnflag") == "R")), keys)
+
+
 @query(
     "unreadable_copies",
     """
@@ -725,3 +749,15 @@ def sealed_files(t: Tables) -> DataFrame:
         "same", F.col("intact") & (F.sha2("content", 256) == F.col("checksum_sha256"))
     )
     return checked.agg(F.sum("rows").cast("long").alias("total_rows"), F.every(F.coalesce("same", F.lit(False))).alias("all_intact"))
+
+
+@query("sealed_sync", "SELECT * FROM orders")
+def sealed_sync(t: Tables) -> DataFrame:
+    """Orders exported in sealed frames, in two runs, and imported into a target."""
+    ws = Workspace(t.spark, work_dir(t.spark, "sealed-sync"))
+    spec = TableSpec("orders", "orders", sync_mode="upsert", merge_keys=("o_orderkey",), watermark="o_orderdate", order_by="o_orderdate")
+    for run_id, until in (("r1", "1998-01-01"), ("r2", "9999-01-01")):
+        orders = t.orders.where(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+        export_table(ws, spec, {"orders": orders}, run_id, run_ts=RUN_TS, password=SALT)
+        import_table(ws, spec, run_id, run_ts=RUN_TS, password=SALT)
+    return ws.target("orders").read().drop("data_inserted_at")

@@ -95,13 +95,15 @@ def manifest_totals(files: DataFrame) -> DataFrame:
 
 
 def verify(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Status per file: ok, mismatch, missing (listed only) or unlisted (present only)."""
-    e = expected.select("file", F.col("checksum_sha256").alias("__e"), F.lit(True).alias("__listed"))
-    a = actual.select("file", F.col("checksum_sha256").alias("__a"), F.lit(True).alias("__there"))
+    """Status per file: ok, mismatch, missing (listed only) or unlisted (present only).
+    Numbers of rows must agree as well as checksums, where both sides have them."""
+    rows = F.col("rows") if "rows" in expected.columns and "rows" in actual.columns else F.lit(0)
+    e = expected.select("file", F.struct("checksum_sha256", rows.alias("rows")).alias("__e"), F.lit(True).alias("__listed"))
+    a = actual.select("file", F.struct("checksum_sha256", rows.alias("rows")).alias("__a"), F.lit(True).alias("__there"))
     status = (
         F.when(F.col("__there").isNull(), F.lit("missing"))
         .when(F.col("__listed").isNull(), F.lit("unlisted"))
-        .when(F.col("__e") == F.col("__a"), F.lit("ok"))
+        .when(F.col("__e").eqNullSafe(F.col("__a")) & F.col("__e.checksum_sha256").isNotNull(), F.lit("ok"))
         .otherwise(F.lit("mismatch"))
     )
     return e.join(a, "file", "full_outer").select("file", status.alias("status"))

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,12 +76,20 @@ def write_layout(
     layout: LayoutSpec = LayoutSpec(),
     mode: str = "errorifexists",
     partition_overwrite: str = "static",
-) -> None:
+    metrics: Sequence[Column] = (),
+) -> dict[str, Any]:
     """Write ``df`` in a layout. By default an overwrite keeps no partition of an earlier
-    try, whatever the session says."""
+    try, whatever the session says.
+
+    ``metrics`` are aggregates, gathered while the rows are written and returned by name.
+    They are taken where rows leave for the files: below a range shuffle its sampling
+    would count them twice.
+    """
+    seen, arranged = Observation(), arrange(df, layout)
+    if metrics:
+        arranged = arranged.observe(seen, *metrics)
     writer = (
-        arrange(df, layout)
-        .write.mode(mode)
+        arranged.write.mode(mode)
         .option("compression", layout.compression)
         .option("parquet.page.size", str(layout.page_bytes))
         .option("maxRecordsPerFile", layout.max_records)
@@ -100,6 +108,7 @@ def write_layout(
     if layout.partition_by:
         writer = writer.partitionBy(*present(df, layout.partition_by))
     writer.parquet(path)
+    return dict(seen.get) if metrics else {}
 
 
 def append_rows(spark: SparkSession, path: str, schema: str, rows: Sequence[tuple[Any, ...]]) -> None:
@@ -193,14 +202,14 @@ class SnapshotTable:
     def is_published(self, run_id: str) -> bool:
         return self.commits().where(F.col("run_id") == run_id).limit(1).first() is not None
 
-    def write(self, df: DataFrame, run_id: str, layout: LayoutSpec = LayoutSpec()) -> DataFrame:
-        """Write a folder and read it back; it does not count until published. A retry of
-        the same run replaces its own unpublished folder."""
+    def write(self, df: DataFrame, run_id: str, layout: LayoutSpec = LayoutSpec()) -> tuple[DataFrame, int]:
+        """Write a folder and read it back, with the number of rows written; it does not
+        count until published. A retry of the same run replaces its own unpublished folder."""
         if self.is_published(run_id):
             raise ValueError(f"run {run_id} is already published")
         path = self.snapshot_path(run_id)
-        write_layout(df, path, layout, mode="overwrite")
-        return self.spark.read.parquet(path)
+        seen = write_layout(df, path, layout, mode="overwrite", metrics=[F.count(F.lit(1)).alias("rows")])
+        return self.spark.read.parquet(path), seen["rows"]
 
     def publish(self, run_id: str, row_count: int, committed_at: Any, is_append: bool = False) -> None:
         last = self.latest()
@@ -211,7 +220,7 @@ class SnapshotTable:
         append_rows(self.spark, self.commits_path, COMMITS, [row])
 
 
-SCHEMAS = "version long, schema string"
+SCHEMAS = "version long, schema string, buckets int"
 
 
 @dataclass(frozen=True)
@@ -229,19 +238,28 @@ class PartitionedTable:
     def path(self) -> str:
         return f"{self.root}/partitions"
 
-    def schema(self) -> T.StructType | None:
+    def _last(self) -> Any | None:
         log = read_log(self.spark, f"{self.root}/schemas", SCHEMAS)
-        row = log.orderBy(F.desc("version")).limit(1).first()
+        return log.orderBy(F.desc("version")).limit(1).first()
+
+    def schema(self) -> T.StructType | None:
+        row = self._last()
         return None if row is None else T.StructType.fromJson(json.loads(row["schema"]))
 
-    def set_schema(self, schema: T.StructType) -> None:
-        """Record a schema; do so before writing data in it."""
-        if schema == self.schema():
+    def set_schema(self, schema: T.StructType, buckets: int | None = None) -> None:
+        """Record a schema, and the number of buckets; do so before writing data in it."""
+        last = self._last()
+        if last is not None and schema == self.schema() and buckets == last["buckets"]:
             return
-        log = read_log(self.spark, f"{self.root}/schemas", SCHEMAS)
-        version = log.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"] + 1
+        version = 1 if last is None else last["version"] + 1
         claim(self.spark, f"{self.root}/versions", version)
-        append_rows(self.spark, f"{self.root}/schemas", SCHEMAS, [(version, schema.json())])
+        append_rows(self.spark, f"{self.root}/schemas", SCHEMAS, [(version, schema.json(), buckets)])
+
+    def check_buckets(self, buckets: int | None) -> None:
+        """Refuse another number of buckets than the table's: its rows would not be found again."""
+        last = self._last()
+        if last is not None and last["buckets"] != buckets:
+            raise ValueError(f"{self.root} has {last['buckets']} key buckets, not {buckets}; load it afresh to change that")
 
     def read(self) -> DataFrame | None:
         schema = self.schema()
@@ -278,24 +296,31 @@ def upsert_partitions(
     layout: LayoutSpec = LayoutSpec(),
     run_ts: Any = None,
     fresh: bool = False,
+    buckets: int | None = None,
 ) -> int:
     """Upsert into the partitions that the batch touches; returns the rows of the batch.
 
+    ``buckets`` says how many key buckets the partition values come from, if they do; a
+    table keeps the number of its first load.
+
     The batch is reduced and staged once, and what is read and written otherwise is the
     touched partitions. Folders are replaced one by one, so a reader may meet some new and
     some old partitions; a load that stopped half way is repeated as a whole, which gives
     the same content.
     """
     spark, layout = table.spark, replace(layout, partition_by=tuple(parts))
-    write_layout(latest_per_key(reject_null_keys(batch, keys), keys, order), f"{stage}/batch", LayoutSpec(), "overwrite")
+    if not fresh:
+        table.check_buckets(buckets)
+    reduced = latest_per_key(reject_null_keys(batch, keys), keys, order)
+    seen = write_layout(reduced, f"{stage}/batch", LayoutSpec(), "overwrite", metrics=[F.count(F.lit(1)).alias("rows")])
     staged = spark.read.parquet(f"{stage}/batch")
     old = None if fresh else table.read()
     if old is None:
         result = staged if run_ts is None else stamp(staged, run_ts)
-        table.set_schema(result.schema)
+        table.set_schema(result.schema, buckets)
         write_layout(result, table.path, layout, "overwrite")
     else:
         result = upsert(changed_partitions(old, staged, parts), staged, keys, run_ts=run_ts, deduplicated=True)
-        table.set_schema(result.schema)
+        table.set_schema(result.schema, buckets)
         overwrite_partitions(result, table.path, f"{stage}/result", layout)
-    return staged.count()
+    return seen["rows"]

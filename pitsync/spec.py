@@ -85,7 +85,7 @@ class TableSpec:
     target: str | None = None
     partition_by: tuple[str, ...] = ()
     #: keep the target in so many hash buckets of its merge keys, so that an upsert reads and
-    #: rewrites only the buckets its keys fall into; part of the layout, not to be changed
+    #: rewrites only the buckets its keys fall into; a target refuses another number
     buckets: int = 0
     #: how an unpartitioned target is merged, see ``operators.merge.upsert``
     upsert_strategy: str = "outer"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pitsync.functions.ordering import By
 from pitsync.operators.dedupe import latest_per_key
+from pitsync.operators.project import stamp
 from pitsync.operators.merge import BUCKET, bucket_of, reject_null_keys, upsert
 from pitsync.sources.sinks import LayoutSpec, PartitionedTable, SnapshotTable, upsert_partitions
 
@@ -60,15 +61,21 @@ def upsert_batch(
             return
         reduced = latest_per_key(reject_null_keys(batch, keys), keys, [By(c) for c in order])
         old = table.read()
-        result = reduced if old is None else upsert(old, reduced, keys, deduplicated=True)
-        written = table.write(result, run_id, layout)
-        table.publish(run_id, written.count(), run_ts(batch_id))
+        at = run_ts(batch_id)
+        result = stamp(reduced, at) if old is None else upsert(old, reduced, keys, run_ts=at, deduplicated=True)
+        _, rows = table.write(result, run_id, layout)
+        table.publish(run_id, rows, at)
 
     return apply
 
 
 def bucketed_batch(
-    table: PartitionedTable, keys: Sequence[str], order: Sequence[str], buckets: int, stage: str
+    table: PartitionedTable,
+    keys: Sequence[str],
+    order: Sequence[str],
+    buckets: int,
+    stage: str,
+    run_ts: Callable[[int], Any] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that upserts into the key buckets that a micro-batch
     touches. A batch delivered again gives the same content."""
@@ -76,7 +83,8 @@ def bucketed_batch(
     def apply(batch: DataFrame, batch_id: int) -> None:
         placed = batch.withColumn(BUCKET, bucket_of(keys, buckets))
         layout = LayoutSpec(sort_keys=tuple(keys))
-        upsert_partitions(table, placed, keys, [By(c) for c in order], [BUCKET], f"{stage}/{batch_id}", layout)
+        at = run_ts(batch_id) if run_ts else None
+        upsert_partitions(table, placed, keys, [By(c) for c in order], [BUCKET], f"{stage}/{batch_id}", layout, at, buckets=buckets)
 
     return apply
 

@@ -119,7 +119,7 @@ def test_snapshot_table(spark, folder):
     table.write(spark.range(4), "r1")  # a retry replaces it
     table.publish("r1", 4, NOW)
     assert table.read().count() == 4
-    written = table.write(table.read().unionAll(spark.range(100, 101)), "r2")
+    written, _ = table.write(table.read().unionAll(spark.range(100, 101)), "r2")
     assert table.read().count() == 4 and written.count() == 5
     table.publish("r2", 5, NOW)
     assert table.read().count() == 5 and table.latest()["version"] == 2

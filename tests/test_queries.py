@@ -15,7 +15,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 #: Python derives keys for the salts of sealed files, see functions.secrets
-WITH_PYTHON = {"sealed_files"}
+WITH_PYTHON = {"sealed_files"}  # sealed_sync writes its frames by Arrow, but returns its target
 
 
 @pytest.fixture(scope="module")
