@@ -24,7 +24,7 @@ from pitsync.operators.changes import (
 from pitsync.operators.dedupe import key_violations
 from pitsync.operators.merge import append, full_load, upsert, upsert_chunks
 from pitsync.plans.registry import Tables, query
-from pitsync.plans.sync import Workspace, apply_batch, export_table, import_table
+from pitsync.plans.sync import Workspace, apply_batch, export_ranges, export_table, import_ranges, import_table
 from pitsync.session import work_dir
 from pitsync.sources.layouts import compare_layouts, standard_layouts
 from pitsync.sources.manifest import file_listing, manifest, manifest_totals, rows_per_file, verify
@@ -761,3 +761,51 @@ def sealed_sync(t: Tables) -> DataFrame:
         export_table(ws, spec, {"orders": orders}, run_id, run_ts=RUN_TS, password=SALT)
         import_table(ws, spec, run_id, run_ts=RUN_TS, password=SALT)
     return ws.target("orders").read().drop("data_inserted_at")
+
+
+_RANGED = TableSpec("orders", "orders", merge_keys=("o_orderkey",), order_by="o_orderdate")
+_LATE = "o_orderdate >= timestamp_ntz'2001-06-01' AND o_orderpriority = '1-URGENT'"
+
+
+def _order_states(t: Tables) -> list[DataFrame]:
+    """Orders as they come in: all, some with new prices, the same again, and without small ones."""
+    priced = t.orders.withColumn("o_totalprice", F.when(F.expr(_LATE), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return [t.orders, priced, priced, priced.where("o_totalprice >= 1500")]
+
+
+@query(
+    "skip_unchanged_export",
+    """
+    WITH o AS (SELECT *, substr(sha256(length(o_orderkey::VARCHAR) || ':' || o_orderkey), 1, 2) AS leaf,
+        o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderpriority = '1-URGENT' AS late FROM orders),
+    r AS (SELECT leaf, count(*) AS n, bool_or(late) AS priced, count(*) FILTER (o_totalprice + late::INT < 1500) AS gone FROM o GROUP BY leaf)
+    SELECT 1 AS step, count(*) AS ranges, count(*) AS written, 0::BIGINT AS deleted, sum(n)::BIGINT AS rows_written FROM r
+    UNION ALL SELECT 2, count(*), count(*) FILTER (priced), 0, coalesce(sum(n) FILTER (priced), 0) FROM r
+    UNION ALL SELECT 3, count(*), 0, 0, 0 FROM r
+    UNION ALL SELECT 4, count(*) FILTER (gone < n), count(*) FILTER (gone BETWEEN 1 AND n - 1), count(*) FILTER (gone = n),
+        coalesce(sum(n - gone) FILTER (gone BETWEEN 1 AND n - 1), 0) FROM r
+    """,
+)
+def skip_unchanged_export(t: Tables) -> DataFrame:
+    """What four exports write, of which the third has nothing to do."""
+    ws = Workspace(t.spark, work_dir(t.spark, "skip-unchanged"))
+    done = [export_ranges(ws, _RANGED, {"orders": df}, f"r{n}") for n, df in enumerate(_order_states(t), 1)]
+    columns = ("ranges", "written", "deleted", "rows_written")
+    rows = [(n, *[d[c] for c in columns]) for n, d in enumerate(done, 1)]
+    return t.spark.createDataFrame(rows, "step int, ranges long, written long, deleted long, rows_written long")
+
+
+@query(
+    "range_sync",
+    """
+    SELECT * REPLACE (o_totalprice + (o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderpriority = '1-URGENT')::INT AS o_totalprice)
+    FROM orders WHERE o_totalprice + (o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderpriority = '1-URGENT')::INT >= 1500
+    """,
+)
+def range_sync(t: Tables) -> DataFrame:
+    """A target that follows four exports by the ranges that differ."""
+    ws = Workspace(t.spark, work_dir(t.spark, "range-sync"))
+    for n, df in enumerate(_order_states(t), 1):
+        export_ranges(ws, _RANGED, {"orders": df}, f"r{n}")
+        import_ranges(ws, _RANGED, f"r{n}")
+    return ws.range_target("orders").read()
