@@ -68,6 +68,43 @@ def _emit(df: DataFrame, low: str, high: str, point: str) -> DataFrame:
     return df.where(F.col(low) <= F.col(high)).select(*kept, F.explode(span).alias(point))
 
 
+OVERLAPS = ("none", "spans", "dyadic")
+
+
+def _dyadic_nodes() -> Column:
+    """The nodes of a binary tree over the points that make up ``__low`` to ``__high``.
+
+    A node (level, at) covers the points at * 2^level and on. On each level the rest of the
+    interval gives up a node at its left end if that is odd, and one at its right end; with
+    l = ceil(low / 2^level) and r = floor((high + 1) / 2^level) both ends are known without
+    the levels before. So a level has two nodes at most.
+    """
+    left, right = "(__low + shiftleft(1, k) - 1) div shiftleft(1, k)", "(__high + 1) div shiftleft(1, k)"
+    nodes = (
+        f"CASE WHEN {left} < {right} AND ({left}) % 2 = 1 THEN named_struct('level', k, 'at', int({left})) END",
+        f"CASE WHEN {left} + ({left}) % 2 < {right} AND ({right}) % 2 = 1 THEN named_struct('level', k, 'at', int({right}) - 1) END",
+    )
+    levels = "sequence(0, int(floor(log2(__high + 1))))"
+    return F.expr(f"filter(flatten(transform({levels}, k -> array({', '.join(nodes)}))), n -> n IS NOT NULL)")
+
+
+def covering_spans(rows: DataFrame, ids: Sequence[str], order: Sequence[OrderKey], ties: Sequence[OrderKey] | None, dyadic: bool) -> DataFrame:
+    """The versions that can be the best at some point, one per id and span of points.
+
+    ``rows`` carry their points as ``__low`` to ``__high``. Spans are those of the versions
+    themselves, of which n points allow n * n / 2 for an id, or nodes of a binary tree over the
+    points, of which there are 2 * n: then a version stands for each of its nodes, at most
+    2 * log2(n), and the best per node stays.
+    """
+    covering = rows.where(F.col("__low") <= F.col("__high"))
+    if not dyadic:
+        return latest_per_key(covering, [*ids, "__low", "__high"], order, ties)
+    nodes = covering.withColumn("__node", F.explode(_dyadic_nodes())).drop("__low", "__high")
+    best = latest_per_key(nodes.withColumns({"__level": F.col("__node.level"), "__at": F.col("__node.at")}).drop("__node"), [*ids, "__level", "__at"], order, ties)
+    low = F.expr("int(__at * shiftleft(1, __level))")
+    return best.withColumns({"__low": low, "__high": F.expr("int((__at + 1) * shiftleft(1, __level) - 1)")}).drop("__level", "__at")
+
+
 def snapshot_valid(
     df: DataFrame,
     spine: DataFrame,
@@ -78,7 +115,7 @@ def snapshot_valid(
     order: Sequence[OrderKey] | None = None,
     ties: Sequence[OrderKey] | None = None,
     open_end: bool = False,
-    overlapping: bool = True,
+    overlapping: bool | str = True,
 ) -> DataFrame:
     """For every id and spine point the version with ``start < point <= end``.
 
@@ -87,9 +124,15 @@ def snapshot_valid(
 
     Versions of an id that cover the same points shrink to the best one before any is
     multiplied by its points; that step combines before its shuffle. So an id with
-    billions of overlapping versions yields at most one per pair of points. Where
-    versions of an id are known not to overlap, ``overlapping=False`` saves that shuffle.
+    billions of overlapping versions yields at most one per pair of points. With
+    ``overlapping="dyadic"`` spans of points are cut along a binary tree first, and an id
+    yields at most two versions per point: use it where long intervals overlap at many
+    points (see ``covering_spans``). Where versions of an id are known not to overlap,
+    ``overlapping=False`` saves that shuffle.
     """
+    kind = {True: "spans", False: "none"}.get(overlapping, overlapping)
+    if kind not in OVERLAPS:
+        raise ValueError(f"overlapping must be one of {OVERLAPS}")
     spine_column = spine.columns[0]
     point = point or spine_column
     start, end = require(df, start), require(df, end)
@@ -104,9 +147,8 @@ def snapshot_valid(
         high.alias("__high"),
     )
     order = order or [By(start), By(end)]
-    if overlapping:
-        covering = rows.where(F.col("__low") <= F.col("__high")).drop(_POINTS)
-        best = latest_per_key(covering, [*id_columns, "__low", "__high"], order, ties)
+    if kind != "none":
+        best = covering_spans(rows.drop(_POINTS), id_columns, order, ties, kind == "dyadic")
         points = F.col(f"{_CAL}.points").alias(_POINTS)
         rows = best.withColumn(_CAL, _calendar(spine, spine_column)).select(*[F.col(f"`{c}`") for c in best.columns], points)
     versions = _emit(rows, "__low", "__high", point)
@@ -158,3 +200,34 @@ def snapshot_asof(
         )
     )
     return _emit(spans, "__low", "__high", point)
+
+
+def carry_forward(
+    state: DataFrame | None,
+    increment: DataFrame,
+    points: DataFrame,
+    id_columns: Sequence[str],
+    date: str,
+    order: Sequence[OrderKey] = (),
+    ties: Sequence[OrderKey] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``snapshot_asof`` at new points, and the state from which the next ones follow.
+
+    ``state`` is what an earlier call returned (None at first) and ``increment`` the versions
+    that have come since; ``points`` are all above those of earlier calls. The new state
+    holds the last version per id as of the last point, and versions dated after it. So
+    what is read grows with ids and news, never with history.
+    """
+    versions = increment if state is None else state.unionByName(increment)
+    column = points.columns[0]
+    snapshot = snapshot_asof(versions, points, id_columns, date, None, order, ties)
+    until = points.agg(F.max(column).alias("until")).scalar()
+    day = require(versions, date)
+    dated = versions.where(F.col(day).isNotNull()).withColumn("__until", until)
+    # by the end of the day, as in snapshot_asof, a version counts at midnight
+    due = F.col(day) <= F.col("__until")
+    if not isinstance(versions.schema[day].dataType, T.DateType):
+        due = F.col(day) <= F.col("__until").cast(versions.schema[day].dataType)
+    due = F.coalesce(due, F.lit(False))  # no point: nothing is settled
+    settled = latest_per_key(dated.where(due).drop("__until"), id_columns, [By(day), *order], ties)
+    return snapshot, settled.unionByName(dated.where(~due).drop("__until"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,12 @@ from pitsync.operators.dedupe import (
 from pitsync.operators.filters import apply_filters, semi_filter, since
 from pitsync.operators.project import add_missing_keys, align_to, derive, normalise, stamp, unpack_json
 from pitsync.operators.snapshots import distinct_points, month_ends, snapshot_asof, snapshot_valid
+from pitsync.plans.carry import CarriedAsof
 from pitsync.plans.extract import plan_extract
 from pitsync.plans.registry import Tables, query
+from pitsync.session import work_dir
 from pitsync.sources.scan import ordered, read_source
+from pitsync.sources.sinks import SnapshotTable
 from pitsync.spec import Members, Snapshot, TableSpec, Unpack
 
 NEWEST_ORDER = [By("o_orderdate"), By("o_orderkey")]
@@ -261,6 +266,21 @@ def asof_snapshot(t: Tables) -> DataFrame:
     return snapshot_asof(t.orders, spine, ["o_custkey"], "o_orderdate", ties=[By("o_orderkey")])
 
 
+@query("asof_carried", ASOF_SQL.format(source="orders"))
+def asof_carried(t: Tables) -> DataFrame:
+    """The same snapshot from three increments, each joined with the state of the one before."""
+    root, spine = work_dir(t.spark, "carried"), month_ends(t.orders, "o_orderdate")
+    carried = CarriedAsof(SnapshotTable(t.spark, f"{root}/state"), ["o_custkey"], "o_orderdate", ties=[By("o_orderkey")], late="reject")
+    steps = ("0001-01-01", "1996-12-31", "1999-06-30", "9999-12-31")
+    for n in range(1, len(steps)):
+        part = [F.col(c) > F.lit(steps[n - 1]).cast(k) for c, k in (("o_orderdate", "timestamp_ntz"), ("month_end", "date"))]
+        upto = [F.col(c) <= F.lit(steps[n]).cast(k) for c, k in (("o_orderdate", "timestamp_ntz"), ("month_end", "date"))]
+        snapshot, commit = carried.advance(t.orders.where(part[0] & upto[0]), spine.where(part[1] & upto[1]), f"r{n}", datetime(2024, 2, n))
+        snapshot.write.mode("append").parquet(f"{root}/snapshots")
+        commit()
+    return t.spark.read.parquet(f"{root}/snapshots")
+
+
 def _asof_spec(**changes: object) -> TableSpec:
     spec = TableSpec(
         "order_status",
@@ -342,6 +362,14 @@ def valid_snapshot(t: Tables) -> DataFrame:
     return snapshot_valid(versions, days, ["user_id"], "valid_from", "valid_to", ties=[By("event_id")])
 
 
+@query("valid_snapshot_dyadic", VALID_SQL.format(end="ts + INTERVAL 40 DAY"))
+def valid_snapshot_dyadic(t: Tables) -> DataFrame:
+    """Long intervals, each cut along a binary tree of the days."""
+    days = distinct_points(t.events, "ts", "day")
+    versions = _versions(t, "ts + INTERVAL 40 DAY")
+    return snapshot_valid(versions, days, ["user_id"], "valid_from", "valid_to", ties=[By("event_id")], overlapping="dyadic")
+
+
 @query(
     "valid_snapshot_open_end",
     """
