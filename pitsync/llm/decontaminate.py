@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitsync.llm.staging import stage
+from pitsync.llm.staging import stage, unused
 
 #: Bits of a fingerprint, and the counters that are summed side by side in a long.
 BITS, LANES = 64, "281479271743489L"
@@ -173,6 +173,7 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: object) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    bad_id, bad_key = unused("bad_id", docs), unused("bad_key", docs)
+    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (key == F.col("bad_key")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(bad_id)) & (key == F.col(bad_key)), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitsync.llm.staging import stage
+from pitsync.llm.staging import stage, unused
 
 
 def _digit(number: Column, place: int, base: int) -> Column:
@@ -81,11 +81,10 @@ def drop_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """
     from pyspark.sql import Window
 
-    kept = exact_dedup(docs, keep).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256")
+    kept_id, kept_sha = unused("kept_id", docs), unused("kept_sha", docs)
+    kept = exact_dedup(docs, keep).where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
     sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")) & (sha == F.col("text_sha256")), "left_semi")
+    stay = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (sha == F.col(kept_sha)), "left_semi")
     one = Window.partitionBy("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)).orderBy(F.lit(1))
-    columns = [F.col(c) for c in stay.columns]
-    return stay.select(*columns, F.row_number().over(one).alias("copy no of the row")).where(
-        F.col("copy no of the row") == 1
-    ).select(*columns)
+    columns, number = [F.col(f"`{c}`") for c in stay.columns], unused("copy_no", docs)
+    return stay.select(*columns, F.row_number().over(one).alias(number)).where(F.col(number) == 1).select(*columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pitsync.llm.components import components
 from pitsync.llm.signature_tree import link
-from pitsync.llm.staging import stage
+from pitsync.llm.staging import stage, unused
 
 #: Bands of minima that bring similar documents together. A pair at a similarity of 0.75 or
 #: more shares none of 56 bands of 4 with a chance below (1 - 0.75**4) ** 56 = 6e-10.
@@ -227,5 +227,6 @@ def drop_near_copies(docs: DataFrame, **options: object) -> DataFrame:
     Documents without doc_id stay: nothing names them.
     """
     found = jaccard_components(docs, **options)
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone_id = unused("gone_id", docs)
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(gone_id), "left_anti")

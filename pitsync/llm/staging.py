@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from pitsync.session import work_dir
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it again.
 

@@ -33,9 +33,8 @@ def make_docs(spark):
     """Documents from (doc_id, text) rows, with columns that could clash with ours."""
 
     def make(rows):
-        full = [(i, t, "en", "s", len(t or ""), "x", 1, 2, 3) for i, t in rows]
-        return spark.createDataFrame(
-            full, DOCUMENTS + ", digest string, rep int, row_no int, keep_id int", verifySchema=False
-        )
+        full = [(i, t, "en", "s", len(t or ""), "x", 1, 2, 3, "y", 4, 5, 6, 7, "z", 8) for i, t in rows]
+        extra = "digest string, rep int, row_no int, keep_id int, text_sha256 string, kept_id int, bad_id int, BAD_KEY int, gone_id int, kept_sha string, copy_no int"
+        return spark.createDataFrame(full, f"{DOCUMENTS}, {extra}", verifySchema=False)
 
     return make
