@@ -16,7 +16,6 @@ SIZE = 1024
 
 def reference_ids():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -97,3 +96,13 @@ def test_added_tokens_in_texts_have_the_ids_of_the_json_form():
     mark = "<|endoftext|>"
     for text in (f"{mark} x", mark, mark * 3, f"a {mark}  b\n{mark}", f"<|{mark}|>", "<|endoftext|", "<|ENDOFTEXT|>", f"é{mark}é  {mark} \n"):
         assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_a_text_of_two_million_blanks_is_encoded(make_docs):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.tokenizer(packing.vocabulary())
+    text = "a" + " " * 2_000_000 + "b"
+    want = plain.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encode(text), "<u4").tolist() == want
+    placed = packing.pack_documents(make_docs([(1, text), (2, "c")])).collect()
+    assert sum(r["length"] for r in placed if r["doc_id"] == 1) == len(want) + 1
