@@ -8,10 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitsync.llm.langid import holdout
+from pitsync.llm.staging import stage
 
 LEVEL = 3
 
@@ -75,31 +76,55 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-
     return max(0.0, float(w[0])), float(w[1])
 
 
-def fit(labelled: DataFrame, docs_per_class: int = 3000, dictionary_size: int = 112_640) -> QualityModel:
-    """Learn from (text, quality) rows; null texts and other labels than 0 and 1 are left out.
+def choose(labelled: DataFrame, docs_per_class: int, bytes_per_class: int) -> DataFrame:
+    """(pick, hash, quality, known) of the texts to learn from: one row per chosen text and label.
 
-    The classifier is fit on about ``docs_per_class`` whole documents of each label,
-    picked by a hash of their text. Two of three go into the dictionary of their class,
-    the others calibrate the score: their size differences are fit to their labels by
-    logistic regression, each row weighing as many as it stands for.
+    ``labelled`` has (doc_id, hash, bytes, quality). Texts count once, however often they
+    are repeated: a class gets ``docs_per_class`` distinct texts at most, the first by
+    hash, and of those as many as come within ``bytes_per_class``. ``pick`` is a document
+    that has the text, ``known`` the number of distinct texts of the class.
     """
-    rows = labelled.where("text IS NOT NULL AND quality IN (0, 1)").select("text", F.col("quality").cast("int").alias("quality"))
-    totals = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if len(totals) < 2:
-        only = next(iter(totals), None)
+    texts = labelled.groupBy("quality", "hash").agg(F.min("doc_id").alias("pick"), F.max("bytes").alias("bytes"))
+    first = Window.partitionBy("quality").orderBy(F.xxhash64("hash"), "hash")
+    ranked = texts.select("*", F.row_number().over(first).alias("at")).where(F.col("at") <= docs_per_class)
+    filled = ranked.select("*", F.sum("bytes").over(first.rowsBetween(Window.unboundedPreceding, 0)).alias("until"))
+    known = texts.groupBy("quality").agg(F.count("*").alias("known"))
+    return filled.where(F.col("until") <= bytes_per_class).join(known, "quality").select("pick", "hash", "quality", "known")
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, docs_per_class: int = 3000, bytes_per_class: int = 48_000_000, dictionary_size: int = 112_640
+) -> QualityModel:
+    """Learn from ``docs`` (doc_id, text) by ``labels`` (doc_id, quality).
+
+    Null texts and ids and other labels than 0 and 1 are left out. The classifier is fit on
+    whole distinct texts, at most ``docs_per_class`` and ``bytes_per_class`` of each label
+    (see ``choose``). Labels meet hashes of texts; only the chosen texts are fetched, by a
+    join with a table of at most two times ``docs_per_class`` rows. Two of three go into
+    the dictionary of their class, the others calibrate the score: their size differences
+    are fit to their labels by logistic regression.
+    """
+    texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", F.sha2("text", 256).alias("hash"))
+    known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality"))
+    keyed = texts.select("doc_id", "hash", F.octet_length("text").alias("bytes"))
+    labelled = keyed.join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "hash", "bytes", "quality")
+    chosen = stage(choose(labelled, docs_per_class, bytes_per_class), "quality-sample").withColumnRenamed("hash", "chosen_hash")
+    found = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("pick")) & (F.col("hash") == F.col("chosen_hash")))
+    sample = found.dropDuplicates(["hash", "quality"]).select("text", "quality", "known", "hash").toPandas()
+    sample = sample.sort_values(["quality", "hash"], ignore_index=True)
+    if sample["quality"].nunique() < 2:
+        only = sample["quality"].iloc[0] if len(sample) else None
         return QualityModel(b"", b"", 0.0, {None: 0.0, 0: -2.0, 1: 2.0}[only])
-    share = {k: max(1, n // docs_per_class) for k, n in totals.items()}
-    modulus = F.when(F.col("quality") == 1, share[1]).otherwise(share[0])
-    sample = rows.where(F.pmod(F.xxhash64("text"), modulus) == 0).withColumn("part", F.pmod(F.xxhash64(F.reverse("text")), F.lit(3)))
-    sample = sample.toPandas().sort_values(["quality", "text"], ignore_index=True)
-    learn, check = sample[sample["part"] > 0], sample[sample["part"] == 0]
+    part = sample["hash"].map(lambda x: int(x[-4:], 16) % 3)
+    learn, check = sample[part > 0], sample[part == 0]
     good, bad = (_dictionary(learn.loc[learn["quality"] == k, "text"].tolist(), dictionary_size) for k in (1, 0))
     if check["quality"].nunique() < 2:
         check = sample
     sizes = Sizes(good, bad)
     x = np.array([sizes.difference(t) for t in check["text"]])
     slope, offset = _logistic(x, check["quality"].to_numpy(float))
-    return QualityModel(good, bad, slope, offset + float(np.log(share[1] / share[0])))
+    stands_for = [sample.loc[sample["quality"] == k, "known"].iloc[0] / (sample["quality"] == k).sum() for k in (1, 0)]
+    return QualityModel(good, bad, slope, offset + float(np.log(stands_for[0] / stands_for[1])))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options: object) -> DataFrame:
@@ -110,12 +135,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     not held out (crc32 of doc_id mod 4 is 2). A null or empty text compresses alike
     under both dictionaries and gets the score of no difference. With labels of one kind
     only, all scores lean to it; without labels they are 0.5. Repeated rows get equal
-    scores; a doc_id labelled several times counts each time.
+    scores, and a text is learned from once per label, whatever its copies.
     """
     held = holdout(F.col("doc_id"), 4, 2)
-    known = labels.select(F.col("doc_id").alias("label_id"), "quality").where("quality IS NOT NULL")
-    train = docs.where(~held).select("doc_id", "text").join(known, F.col("doc_id") == F.col("label_id"))
-    model = fit(train.select("text", "quality"), **options)
+    model = fit(docs.where(~held), labels, **options)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

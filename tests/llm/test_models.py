@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from pitsync.llm import bilstm_crf, langid, lm_score, pii, quality
@@ -85,6 +89,43 @@ def test_quality_with_odd_rows_and_labels(spark, make_docs):
     assert quality.score_documents(make_docs([]), labels([])).count() == 0
 
 
+def test_a_repeated_text_is_chosen_once_and_bounds_hold(spark):
+    rows = [(k, f"{k:064x}" if k < 600 else "f" * 64, 100 if k % 50 else 5000, k % 2) for k in range(900)]
+    labelled = spark.createDataFrame(rows, "doc_id long, hash string, bytes int, quality int")
+    got = quality.choose(labelled, 100, 1_000_000).collect()
+    assert [sum(r["quality"] == q for r in got) for q in (0, 1)] == [100, 100]
+    assert len({(r["hash"], r["quality"]) for r in got}) == 200 and {r["known"] for r in got} == {301}
+    # by brute force: the first texts of a class by hash, as long as their bytes are in the bound
+    of = {(h, q): (i, b) for i, h, b, q in reversed(rows)}
+    for bound in (3000, 20_000):
+        want = set()
+        for q in (0, 1):
+            until = 0
+            for h in sorted({h for _, h, _, x in rows if x == q}, key=lambda h: (np.int64(np.uint64(xxhash.xxh64_intdigest(h, 42)).view(np.int64)), h))[:100]:
+                until += of[h, q][1]
+                if until <= bound:
+                    want.add((of[h, q][0], h, q, 301))
+        assert {tuple(r) for r in quality.choose(labelled, 100, bound).collect()} == want and want
+
+
+def test_quality_scores_by_hand(spark, documents):
+    """Scores equal those of dictionaries and a line fit here, from texts joined here."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = {r["doc_id"]: r["score"] for r in quality.score_documents(documents, labels).collect()}
+    text = {r["doc_id"]: r["text"] for r in documents.collect()}
+    known = {(hashlib.sha256(text[r["doc_id"]].encode()).hexdigest(), r["quality"], text[r["doc_id"]]) for r in labels.collect() if r["doc_id"] in text and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    rows = sorted(known, key=lambda r: (r[1], r[0]))
+    learn, check = [r for r in rows if int(r[0][-4:], 16) % 3], [r for r in rows if not int(r[0][-4:], 16) % 3]
+    packed = [zstandard.ZstdCompressor(3, dict_data=zstandard.ZstdCompressionDict(quality._dictionary([r[2] for r in learn if r[1] == q], 112_640)), write_content_size=False, write_checksum=False, write_dict_id=False) for q in (1, 0)]
+
+    def gap(t):
+        good, bad = (len(c.compress(t.encode())) for c in packed)
+        return (bad - good) / (bad + good) if t else 0.0
+
+    slope, offset = quality._logistic(np.array([gap(r[2]) for r in check]), np.array([float(r[1]) for r in check]))
+    assert all(abs(got[k] - 1 / (1 + np.exp(-(slope * gap(t or "") + offset)))) < 1e-9 for k, t in text.items())
+
+
 def test_quality_ignores_labels_of_held_out_rows(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     flipped = labels.withColumn("quality", F.when(langid.holdout(F.col("doc_id"), 4, 2), 1 - F.col("quality")).otherwise(F.col("quality")))
