@@ -15,6 +15,8 @@ from pitsync.llm.staging import stage
 
 #: Fixed value: how many consecutive nodes become one.
 FAN = 8
+#: Up to so many runs below a node read the same copy of it.
+_READERS = 64
 #: The number of the tree above the trees of all groups.
 _TOP = -1
 _ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
@@ -41,9 +43,11 @@ class Manifest:
     """The stored tree.
 
     ``runs``: the lowest nodes, one row for up to eight leaves: (tree, pos, n, members,
-    digest, and the link to the parent: up_tree, up_level, up_pos, slot). ``members`` are
-    the leaves in order, with what came along with them. ``nodes``: all nodes above leaves,
-    linked in the same way, with the digests of their children.
+    digest, and the link to the parent: up_tree, up_level, up_pos, up_copies, slot).
+    ``members`` are the leaves in order, with what came along with them. ``nodes``: all nodes
+    above leaves, linked in the same way, with the digests of their children. The path of
+    every leaf meets at the root, so a node is stored in copies, numbered by ``part``: one
+    for about 64 runs below it, which adds a row for 64 runs and level.
     """
 
     runs: DataFrame
@@ -75,9 +79,17 @@ def _levels(items: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     return levels, functools.reduce(DataFrame.union, [t.select(*columns) for t in tops])
 
 
-def _linked(nodes: DataFrame, level: Column | str, tops: DataFrame) -> DataFrame:
+def _copies(tree: Column | int, level: Column | int, depth: int, most: int) -> Column:
+    """How many copies a node has: the runs that can lie below it over ``_READERS``."""
+    level = F.lit(level) if isinstance(level, int) else level
+    steps = level + F.when(F.lit(tree) == _TOP if isinstance(tree, int) else tree == _TOP, depth).otherwise(0)
+    below = F.pow(F.lit(float(FAN)), steps - 1)
+    return F.greatest(F.lit(1), F.least(F.ceil(below / _READERS), F.lit(most))).cast("long")
+
+
+def _linked(nodes: DataFrame, level: Column | str, tops: DataFrame, depth: int, most: int) -> DataFrame:
     """``nodes`` with the parent of each: in their tree, or of a last node in the top tree."""
-    up = ("up_tree", "up_level", "up_pos", "slot")
+    up = ("up_tree", "up_level", "up_pos", "slot", "up_copies")
     level = F.col(level) if isinstance(level, str) else level
     inner = nodes.where("n > 1").select(
         "*",
@@ -85,6 +97,7 @@ def _linked(nodes: DataFrame, level: Column | str, tops: DataFrame) -> DataFrame
         (level + 1).alias(up[1]),
         F.expr(f"pos div {FAN}").alias(up[2]),
         F.expr(f"pos % {FAN}").alias(up[3]),
+        _copies(F.col("tree"), level + 1, depth, most).alias(up[4]),
     )
     last = nodes.where("n = 1").join(tops.withColumnRenamed("tree", "__tree"), F.col("tree") == F.col("__tree"), "left")
     outer = last.select(
@@ -93,6 +106,7 @@ def _linked(nodes: DataFrame, level: Column | str, tops: DataFrame) -> DataFrame
         F.lit(1).cast("long").alias(up[1]),
         F.expr(f"at div {FAN}").alias(up[2]),
         F.expr(f"at % {FAN}").alias(up[3]),
+        _copies(_TOP, 1, depth, most).alias(up[4]),
     )
     return inner.unionByName(outer)
 
@@ -126,21 +140,25 @@ def build(leaves: DataFrame, group: str, order: Sequence[str], keep: Sequence[st
 
     empty = runs.select("tree", "pos", "n", F.array("digest").alias("children"), "digest", F.lit(0).cast("long").alias("level")).where("false")
     stored = functools.reduce(DataFrame.unionByName, [*levels, *above], empty)
-    return Manifest(_linked(runs, F.lit(0), tops), stage(_linked(stored, "level", tops), "merkle-nodes"))
+    depth, most = len(levels), -(-runs.count() // _READERS)
+    copies = F.sequence(F.lit(0).cast("long"), _copies(F.col("tree"), F.col("level"), depth, most) - 1)
+    nodes = _linked(stored, "level", tops, depth, most).withColumn("part", F.explode(copies))
+    return Manifest(_linked(runs, F.lit(0), tops, depth, most), stage(nodes, "merkle-nodes"))
 
 
 #: A step goes from a node to its parent: it appends the parent's other children to the proof, and hashes
 #: all of them anew with what was folded so far in place of the node.
 CLIMB = """
 WITH RECURSIVE climb AS (
-  SELECT tree, pos, up_tree, up_level, up_pos, slot, folded, CAST('' AS BINARY) AS proof, digest AS subroot, digest AS top
+  SELECT tree, pos, up_tree, up_level, up_pos, up_copies, slot, folded, CAST('' AS BINARY) AS proof, digest AS subroot, digest AS top
   FROM {runs}
   UNION ALL
-  SELECT c.tree, c.pos, n.up_tree, n.up_level, n.up_pos, n.slot,
+  SELECT c.tree, c.pos, n.up_tree, n.up_level, n.up_pos, n.up_copies, n.slot,
     transform(c.folded, f -> unhex(sha2(array_join(transform(n.children, (x, i) -> lower(hex(IF(i = c.slot, f, x)))), ''), 256))),
     concat(c.proof, aggregate(filter(n.children, (x, i) -> i <> c.slot), CAST('' AS BINARY), (a, x) -> concat(a, x))),
     IF(n.tree < 0, c.subroot, n.digest), n.digest
-  FROM climb c JOIN {nodes} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos
+  FROM climb c JOIN {nodes} n
+  ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos AND pmod(c.pos, c.up_copies) = n.part
 )
 SELECT tree, pos, folded, proof, subroot, top FROM climb WHERE up_tree IS NULL
 """
@@ -159,7 +177,7 @@ def verify(manifest: Manifest, now: str) -> DataFrame:
         f"transform(members, (m, k) -> IF(size(members) = 1 AND n = 1, m.{now}, unhex(sha2(array_join("
         f"transform(members, (x, i) -> lower(hex(IF(i = k, m.{now}, x.digest)))), ''), 256))))"
     )
-    start = manifest.runs.select("tree", "pos", "up_tree", "up_level", "up_pos", "slot", own.alias("folded"), "digest")
+    start = manifest.runs.select("tree", "pos", "up_tree", "up_level", "up_pos", "up_copies", "slot", own.alias("folded"), "digest")
     limit = spark.conf.get(_ROW_LIMIT)
     spark.conf.set(_ROW_LIMIT, "-1")  # a step returns a row per run, whatever their number
     try:
