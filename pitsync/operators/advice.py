@@ -58,8 +58,8 @@ def advise_types(
     below float32's limit become floats; strings whose distinct share of all rows is
     below ``threshold`` become categories. ``metric`` is the largest magnitude, or the
     share. Ranges need one aggregation without a shuffle of rows. Distinct counts are
-    exact by default; ``exact=False`` uses HyperLogLog sketches, which keeps a wide table
-    of long strings from being shuffled once per column.
+    exact by default, on 128-bit hashes; ``exact=False`` estimates them, and
+    ``operators.sketches`` keeps sketches by file and recounts only close calls.
     """
     ranges: list[Column] = []
     rows: list[Column] = []
@@ -104,10 +104,13 @@ def distinct_shares(df: DataFrame, exact: bool = True, rsd: float = 0.02) -> Dat
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return None
-    counts = [
-        (F.count_distinct(f"`{n}`") if exact else F.approx_count_distinct(f"`{n}`", rsd)).alias(f"__d_{n}")
-        for n in names
-    ]
+    if exact:
+        counted = distinct_counts(df, names)
+        total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+        listed = df.sparkSession.createDataFrame([(n,) for n in names], "column string")
+        share = F.when(total > 0, F.coalesce("distinct_count", F.lit(0)) / total)
+        return listed.join(counted, "column", "left").select("column", share.alias("share"))
+    counts = [F.approx_count_distinct(f"`{n}`", rsd).alias(f"__d_{n}") for n in names]
     profile = df.select(*[f"`{n}`" for n in names]).agg(F.count(F.lit(1)).alias("__rows"), *counts)
     share = [
         F.struct(
@@ -119,6 +122,18 @@ def distinct_shares(df: DataFrame, exact: bool = True, rsd: float = 0.02) -> Dat
     return profile.select(F.explode(F.array(*share)).alias("s")).select("s.*")
 
 
+def distinct_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """(column, distinct_count) of non-NULL values, by two 64-bit hashes of each.
+
+    Hashes combine before the shuffle, and 20 bytes travel for a value, however long it is.
+    Two values agree in both hashes by a chance of 2^-128 a pair.
+    """
+    marks = [F.when(F.col(f"`{n}`").isNotNull(), F.struct(F.lit(k).alias("k"), *[F.xxhash64(F.lit(s), F.col(f"`{n}`")).alias(f"h{s}") for s in (1, 2)])) for k, n in enumerate(names)]
+    values = df.select(F.explode(F.array(*marks)).alias("v")).where("v IS NOT NULL").select("v.*")
+    counted = values.groupBy("k", "h1", "h2").agg(F.lit(1).alias("one")).groupBy("k").agg(F.count("one").alias("distinct_count"))
+    return counted.select(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1).alias("column"), "distinct_count")
+
+
 def dictionary_columns(df: DataFrame, threshold: float = CATEGORY_RATIO, exact: bool = True) -> DataFrame:
     """Columns worth a Parquet dictionary: low-share strings; all byte, short and
     boolean columns by their type alone."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitsync.operators.advice import advise_types, dictionary_columns, reduction
+from pitsync.operators.sketches import category_columns, column_sketches
 from pitsync.operators.audit import delivery_listing, purpose_parts, run_purpose, run_summary
 from pitsync.operators.catalog import (
     catalog,
@@ -683,3 +684,19 @@ def row_count_verification(t: Tables) -> DataFrame:
 
     loaded = totals(t.lineitem.where("l_quantity <= 50 AND l_linestatus = 'F'"), "loaded")
     return match_counts(loaded, totals(t.lineitem, "listed"), "l_returnflag", "loaded", "listed")
+
+
+@query(
+    "advise_from_sketches",
+    """
+    SELECT 'p_brand' AS "column", count(DISTINCT p_brand) / count(*) < 0.5 AS is_category FROM part
+    UNION ALL SELECT 'p_name', count(DISTINCT p_name) / count(*) < 0.5 FROM part
+    UNION ALL SELECT 'p_type', count(DISTINCT p_type) / count(*) < 0.5 FROM part
+    UNION ALL SELECT 'half', count(DISTINCT p_partkey // 2) / count(*) < 0.5 FROM part
+    """,
+)
+def advise_from_sketches(t: Tables) -> DataFrame:
+    """Sketches by slice of the parts, united; a column at the very threshold is recounted."""
+    part = t.part.select("p_name", "p_brand", "p_type", F.expr("CAST(p_partkey div 2 AS STRING)").alias("half"), "p_partkey")
+    slices = column_sketches(part, F.expr("CAST(p_partkey % 7 AS STRING)"))
+    return category_columns(slices, part).select("column", "is_category")

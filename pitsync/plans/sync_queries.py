@@ -22,16 +22,16 @@ from pitsync.operators.changes import (
     rows_to_write,
 )
 from pitsync.operators.dedupe import key_violations
-from pitsync.operators.merge import append, full_load, upsert, upsert_chunks
+from pitsync.operators.merge import BUCKET, append, full_load, upsert, upsert_chunks
 from pitsync.plans.registry import Tables, query
 from pitsync.plans.sync import Workspace, apply_batch, export_ranges, export_table, import_ranges, import_table
 from pitsync.session import work_dir
 from pitsync.sources.layouts import compare_layouts, standard_layouts
 from pitsync.sources.manifest import file_listing, manifest, manifest_totals, rows_per_file, verify
-from pitsync.sources.sinks import LayoutSpec, SnapshotTable, overwrite_partitions, write_layout
+from pitsync.sources.sinks import LayoutSpec, PartitionedTable, SnapshotTable, overwrite_partitions, write_layout
 from pitsync.sources.state import current_marks, mark_history, pending_files
 from pitsync.spec import TableSpec
-from pitsync.streaming.ingest import file_stream, ingest_available, upsert_stream
+from pitsync.streaming.ingest import bucketed_batch, file_stream, ingest_available, upsert_stream
 
 SALT = "bench-salt"
 RUN_TS = datetime(2024, 2, 1, 6, 0, 0)
@@ -502,6 +502,25 @@ def stream_upsert(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query(
+    "stream_upsert_bucketed",
+    """
+    SELECT event_id, ts, user_id, event_type, value, props, TIMESTAMP '2024-02-01 06:00:00' AS data_inserted_at FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1
+    """,
+)
+def stream_upsert_bucketed(t: Tables) -> DataFrame:
+    """The same target in key buckets: a micro-batch reads and writes those it touches."""
+    root, events = work_dir(t.spark, "upsert-bucketed"), t.events
+    table = PartitionedTable(t.spark, f"{root}/target")
+    apply = bucketed_batch(table, ["user_id"], ["ts", "event_id"], 16, f"{root}/stage", lambda batch_id: RUN_TS)
+    for third in _THIRDS:
+        events.where(third).write.mode("append").parquet(f"{root}/in")
+        stream = file_stream(t.spark, f"{root}/in", events.schema).writeStream.foreachBatch(apply)
+        stream.option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    return table.read().drop(BUCKET)
+
+
 # ---- hashes and change detection --------------------------------------------------------
 
 
