@@ -7,10 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 import zstandard
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from pitsync.llm import bilstm_crf, langid, lm_score, pii, quality
 
@@ -137,45 +139,100 @@ def test_quality_ignores_labels_of_held_out_rows(spark, documents):
 
 
 @pytest.fixture(scope="module")
-def lm(documents):
-    return lm_score.fit(documents)
+def coded(documents):
+    return lm_score.encoded(documents)
+
+
+@pytest.fixture(scope="module")
+def lm(coded):
+    """Trained on nine of ten texts."""
+    return lm_score.fit(coded.where("doc_id % 10 <> 3"), every=2, batch_size=256)
 
 
 def test_scores_equal_token_by_token_sums(documents, texts, lm):
+    """The reference walks the tree for one token at a time."""
     got = {r["doc_id"]: r for r in lm_score.score_corpus(documents, lm).collect()}
-    assert len(got) == len(texts)
-    for doc_id in sorted(texts)[:40]:
-        ids = lm_score.tokens(texts[doc_id], lm_score.Buckets()).tolist()
-        total = 0.0
-        for k, bucket in enumerate(ids):
-            context = 0
-            for step in (-2, -1, 1, 2):
-                inside = 0 <= k + step < len(ids)
-                context = context * 17 + (lm.of_bucket[ids[k + step]] if inside else 16)
-            total += lm.of_context[context, lm.of_bucket[bucket]] + lm.within[bucket]
-        assert got[doc_id]["n_tokens"] == len(ids) and got[doc_id]["log_likelihood"] == pytest.approx(total, rel=1e-5)
-
-
-def test_probabilities_sum_to_one_and_context_helps(texts, lm):
-    assert np.exp(lm.of_context).sum(axis=1) == pytest.approx(1, abs=1e-4)
-    sums = np.bincount(lm.of_bucket, weights=np.exp(lm.within), minlength=lm_score.CLASSES)
-    assert sums[np.unique(lm.of_bucket)] == pytest.approx(1)
-    flat, lengths = lm_score._batch(list(texts.values()), lm_score.Buckets())
-    classes = lm.of_bucket[flat]
-    plain = np.log(np.bincount(classes, minlength=lm_score.CLASSES) / len(classes))
-    seen = lm_score.token_scores(flat, lengths, lm) - lm.within[flat]
-    assert seen.mean() > plain[classes].mean() + 0.01
-
-
-def test_counts_cover_all_documents_and_odd_texts(make_docs, documents, texts):
-    docs = make_docs([(1, None), (2, " \n"), (3, "one"), (4, "a b " * 50_000), (None, "one"), (3, "one")])
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    size, w = len(lm.tree.first) - 1, lm.weights.astype(np.float64)
+    assert len(got) == len(texts) and size == encode.get_vocab_size()
+    for doc_id in sorted(texts)[:12]:
+        ids, total = encode.encode(texts[doc_id], add_special_tokens=False).ids, 0.0
+        for k, token in enumerate(ids):
+            hidden = w[-1, :-1].copy()
+            for place, step in enumerate((-2, -1, 1, 2)):
+                seen = ids[k + step] if 0 <= k + step < len(ids) else size
+                hidden += w[seen, :-1] * w[2 * size + place, :-1]
+            hidden = np.tanh(hidden)
+            for at in range(lm.tree.first[token], lm.tree.first[token + 1]):
+                node = w[size + 1 + lm.tree.nodes[at]]
+                total -= np.log1p(np.exp(-lm.tree.signs[at] * (node[:-1] @ hidden + node[-1])))
+        assert got[doc_id]["n_tokens"] == len(ids) and got[doc_id]["log_likelihood"] == pytest.approx(total, rel=1e-4)
+
+
+def test_probabilities_sum_to_one_in_any_context(lm):
+    size = len(lm.tree.first) - 1
+    rng = np.random.default_rng(5)
+    for around in (np.full(4, size), rng.integers(0, size, 4), rng.integers(0, 500, 4)):
+        scores = lm_score.token_scores(lm, np.arange(size), np.tile(around, (size, 1)))
+        assert np.exp(scores).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_the_untrained_model_gives_every_token_its_share(spark):
+    counts = np.array([5, 0, 1, 1, 30, 2])
+    model = lm_score._start(counts, 4, 1)
+    scores = lm_score.token_scores(model, np.arange(6), np.full((6, 4), 6))
+    assert np.exp(scores) == pytest.approx((counts + 0.5) / (counts + 0.5).sum(), rel=1e-4)
+
+
+def test_gradient_of_the_window_network():
+    rng = np.random.default_rng(2)
+    start = lm_score._start(rng.integers(0, 50, 9), 3, 1)
+    model = lm_score.WindowModel(start.tree, start.weights.astype(np.float64))
+    model.weights[10:18, :3] = rng.normal(0, 1, (8, 3))
+    ids, around = rng.integers(0, 9, 12), rng.integers(0, 10, (12, 4))
+    slope = np.zeros(model.weights.shape)
+    for rows, values in lm_score.gradient(model, ids, around):
+        slope[rows] += values
+    for row in range(len(slope)):
+        for column in range(4):
+            kept, sums = model.weights[row, column], []
+            for step in (1e-5, -1e-5):
+                model.weights[row, column] = kept + step
+                sums.append(lm_score.token_scores(model, ids, around).sum())
+            model.weights[row, column] = kept
+            assert slope[row, column] == pytest.approx((sums[0] - sums[1]) / 2e-5, abs=1e-4)
+
+
+def test_context_is_worth_half_a_nat_on_held_out_texts(coded, lm):
+    held = [r["ids"] for r in coded.where("doc_id % 10 = 3").collect()]
+    ids, lengths = np.concatenate(held).astype(np.int32), np.array([len(x) for x in held])
+    size = len(lm.tree.first) - 1
+    counts = np.zeros(size)
+    for r in coded.where("doc_id % 10 <> 3").collect():
+        np.add.at(counts, r["ids"], 1)
+    plain = np.log((counts + 0.5) / (counts + 0.5).sum())[ids].mean()
+    assert lm_score.token_scores(lm, ids, lm_score.windows(ids, lengths, size)).mean() > plain + 0.5
+
+
+def test_rounds_cover_every_window_once(coded):
+    """As many rounds as windows take turns: each token is a centre in exactly one of them."""
+    edge, lengths = 99, np.array([3, 0, 1])
+    assert lm_score.windows(np.array([1, 2, 3, 4]), lengths, edge).tolist() == [[99, 99, 2, 3], [99, 1, 3, 99], [1, 2, 99, 99], [99, 99, 99, 99]]
+    with pytest.raises(ValueError):
+        lm_score.fit(coded, every=2, rounds=3)
+
+
+def test_counts_cover_all_documents_and_odd_texts(make_docs, coded, texts):
+    docs = make_docs([(1, None), (2, ""), (3, "one"), (4, "a b " * 50_000), (None, "one"), (3, "one"), (5, " " * 2_000_000)])
     out = lm_score.score_corpus(docs).collect()
     by = {r["doc_id"]: r for r in out}
-    assert len(out) == 6 and by[1]["n_tokens"] == 0 and by[1]["log_likelihood"] == 0 and by[2]["mean_log_likelihood"] is None
-    assert by[3]["log_likelihood"] == by[None]["log_likelihood"] < 0 and by[4]["n_tokens"] == 100_000
+    assert len(out) == 7 and by[1]["n_tokens"] == 0 and by[1]["log_likelihood"] == 0 and by[2]["mean_log_likelihood"] is None
+    assert by[3]["log_likelihood"] == by[None]["log_likelihood"] < 0 and by[4]["n_tokens"] >= 100_000
     assert lm_score.score_corpus(make_docs([])).count() == 0
-    cells = documents.mapInPandas(lm_score._bucket_counts, "cell long, n long").agg(F.sum("n")).first()[0]
-    assert cells == sum(len(t.split()) for t in texts.values())
+    size = lm_score.vocabulary_size()
+    cells = coded.select("ids").mapInArrow(lm_score._token_counts(size), "token int, n long").agg(F.sum("n")).first()[0]
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert cells == sum(len(encode.encode(t, add_special_tokens=False).ids) for t in texts.values())
 
 
 # --- personal data
