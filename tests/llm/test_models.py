@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -214,6 +215,14 @@ def test_context_is_worth_half_a_nat_on_held_out_texts(coded, lm):
     assert lm_score.text_scores(lm, ids, lengths).sum() / len(ids) > plain + 0.5
 
 
+def test_batches_are_cut_between_texts(monkeypatch):
+    monkeypatch.setattr(lm_score, "TOKENS", 4)
+    texts = [[1, 2], [], [3, 4], [5] * 9, [], [6], [7, 8, 9], []]
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array(texts, pa.list_(pa.int32()))})
+    parts = [p.column("ids").to_pylist() for p in lm_score._pieces(iter([batch, batch.slice(0, 0)]))]
+    assert sum(parts, []) == texts and [sum(map(len, p)) for p in parts] == [4, 9, 4]
+
+
 def test_windows_end_where_their_text_ends(coded):
     edge, lengths = 99, np.array([3, 0, 1])
     assert lm_score.windows(*lm_score.padded(np.array([1, 2, 3, 4]), lengths, edge)).tolist() == [[99, 99, 2, 3], [99, 1, 3, 99], [1, 2, 99, 99], [99, 99, 99, 99]]
