@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from pitsync.functions.names import find
 from pitsync.functions.ordering import By
+from pitsync.operators.catalog import catalog, classify, evolve_decision, schema_diff
 from pitsync.operators.dedupe import key_violations, latest_per_key
 from pitsync.operators.merge import BUCKET, bucket_of, reject_null_keys, upsert
-from pitsync.operators.project import normalise, stamp
+from pitsync.operators.project import LOAD_STAMP, normalise, stamp
 from pitsync.operators.quality import failed, validate
 from pitsync.plans.extract import plan_extract
 from pitsync.sources.manifest import manifest, only_files, verify
@@ -178,11 +179,13 @@ def import_table(
     layout: LayoutSpec | None = None,
     run_ts: datetime | None = None,
     password: str | None = None,
+    guard_schema: bool = False,
 ) -> dict[str, Any]:
     """Verify an export, apply it to its target by the spec's mode, check, publish.
 
     Files already in the target are skipped, so a repeated import changes nothing. A sealed
-    export needs its ``password``; of its frames, all must open, each in its place.
+    export needs its ``password``; of its frames, all must open, each in its place. With
+    ``guard_schema`` a batch that would break readers of the target is refused.
     """
     run_ts = run_ts or utc_now()
     spark, path = ws.spark, ws.export_path(run_id, spec.name)
@@ -220,6 +223,8 @@ def import_table(
             return {"table_name": spec.name, "rows": 0, "sync_mode": spec.sync_mode, "skipped": True}
     batch = normalise(batch)
     check_batch(spec, batch)
+    if guard_schema:
+        hold_schema(ws, spec, batch)
     rows = apply_batch(ws, spec, batch, commit_id, fresh, layout, run_ts, due or 0)
     ws.checkpoint.mark(spec.name, todo)
     return {"table_name": spec.name, "rows": rows, "sync_mode": spec.sync_mode, "skipped": False}
@@ -240,6 +245,22 @@ def check_batch(spec: TableSpec, batch: DataFrame) -> None:
             raise ValueError(f"{spec.name}: " + "; ".join(f"{r[0]} {r[1]}: {r['detail']}" for r in broken))
 
 
+def hold_schema(ws: Workspace, spec: TableSpec, batch: DataFrame) -> None:
+    """Refuse a batch whose columns break those of its target: removed ones, and types that
+    do not hold all values of the old ones. Only schemas are compared, no rows; places of
+    columns do not count, as they are matched by name."""
+    table = spec.target or spec.name
+    old = (ws.partitioned(table) if spec.partition_by or spec.buckets else ws.target(table)).read()
+    if old is None:
+        return
+    old, new = (catalog(ws.spark, {table: df.drop(LOAD_STAMP, BUCKET)}) for df in (old, batch))
+    changes = classify(schema_diff(old, new).where("change <> 'column_position_changed'"))
+    decision = evolve_decision(changes).first()
+    if decision is not None and decision["status"] == "blocked":
+        broken = changes.where("NOT safe").orderBy("column_name", "change").collect()  # a few per column
+        raise ValueError(f"{spec.name}: " + "; ".join(f"{r['column_name']} {r['change']}" for r in broken))
+
+
 def apply_batch(
     ws: Workspace,
     spec: TableSpec,

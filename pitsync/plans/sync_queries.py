@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitsync.functions.hashing import chunk_file_id, keyed_id, manifest_id, metadata_file_id, table_folder_id
 from pitsync.functions.ordering import By
 from pitsync.functions.secrets import derive_key, open_files, open_rows, seal_files, seal_rows, secret_column
-from pitsync.operators.audit import size_estimate
+from pitsync.operators.audit import delivery_listing, size_estimate
 from pitsync.operators.changes import (
     change_statistics,
     diff_hashes,
@@ -23,6 +23,7 @@ from pitsync.operators.changes import (
 )
 from pitsync.operators.dedupe import key_violations
 from pitsync.operators.merge import BUCKET, append, full_load, upsert, upsert_chunks
+from pitsync.plans.delivery import import_listing
 from pitsync.plans.registry import Tables, query
 from pitsync.plans.sync import Workspace, apply_batch, export_ranges, export_table, import_ranges, import_table
 from pitsync.session import work_dir
@@ -422,6 +423,48 @@ def sync_round_trip(t: Tables) -> DataFrame:
     return ws.target("orders").read().drop("data_inserted_at")
 
 
+@query(
+    "import_from_listing",
+    """
+    SELECT 'customer' AS table_name, 'full' AS sync_mode, count(*) AS row_count, false AS failed, count(*) AS target_rows FROM customer
+    UNION ALL SELECT 'orders', 'upsert', count(DISTINCT o_custkey), false, count(DISTINCT o_custkey) FROM orders
+    UNION ALL SELECT 'supplier', 'full', 0, true, 0
+    """,
+)
+def import_from_listing(t: Tables) -> DataFrame:
+    """Tables loaded as a delivery lists them; one that is listed, but not there, fails alone."""
+    ws = Workspace(t.spark, work_dir(t.spark, "delivery"))
+    specs = [TableSpec("customer", "customer"), TableSpec("orders", "orders", sync_mode="upsert", merge_keys=("o_custkey",), order_by="o_orderdate", ties=("o_orderkey",))]
+    done = [export_table(ws, s, {s.name: getattr(t, s.name)}, "r1", run_ts=RUN_TS) for s in specs]
+    results = [(d["table_name"], d["sync_mode"], d["rows"], None, None) for d in done] + [("supplier", None, 1, None, None)]
+    results = t.spark.createDataFrame(results, "table_name string, sync_mode string, total_rows long, total_chunks long, folder_id string")
+    listed = [(s.name, s.sync_mode, ",".join(s.merge_keys) or None, s.watermark, s.target) for s in specs]
+    listed = t.spark.createDataFrame(listed, "name string, sync_mode string, merge_keys string, watermark_column string, target string")
+    import_listing(ws, delivery_listing(results, listed), "r1", run_ts=RUN_TS)
+    counts = [ws.target(s.name).read().groupBy().agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(s.name)) for s in specs]
+    counts = counts[0].unionByName(counts[1])
+    log = ws.run_log().where("run_type = 'import'").join(counts, F.col("table_name") == F.col("name"), "left")
+    return log.select("table_name", "sync_mode", "row_count", "failed", F.coalesce("n", F.lit(0)).cast("long").alias("target_rows"))
+
+
+@query("guarded_reload", "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
+def guarded_reload(t: Tables) -> DataFrame:
+    """A reload that lacks a column is refused, and one with a new column is loaded."""
+    ws = Workspace(t.spark, work_dir(t.spark, "guard"))
+    spec = TableSpec("orders", "orders")
+    reloads = (t.orders, t.orders.drop("o_orderpriority"), t.orders.withColumn("order_year", F.year("o_orderdate")))
+    refused = []
+    for run, source in zip(("r1", "r2", "r3"), reloads, strict=True):
+        export_table(ws, spec, {"orders": source}, run, run_ts=RUN_TS)
+        try:
+            import_table(ws, spec, run, run_ts=RUN_TS, guard_schema=True)
+        except ValueError:
+            refused.append(run)
+    if refused != ["r2"]:
+        raise RuntimeError(f"refused: {refused}")
+    return ws.target("orders").read().drop("data_inserted_at")
+
+
 @query(
     "upsert_bucketed",
     """
