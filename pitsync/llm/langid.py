@@ -10,9 +10,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitsync.llm.staging import stage
+
 #: A word: letters with the marks that combine with them.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNDETERMINED = "und"
@@ -65,23 +67,43 @@ def _counts(longest: int):
     return run
 
 
-def fit(docs: DataFrame, docs_per_language: int = 1500, longest: int = 4, least: int = 2, smoothing: float = 0.5) -> LanguageModel:
-    """Learn from the non-null (text, lang) of ``docs``.
+def choose(labelled: DataFrame, docs_per_language: int, bytes_per_language: int) -> DataFrame:
+    """(pick, hash, lang) of the texts to learn from, one row per chosen text and language.
 
-    The classifier is fit on about ``docs_per_language`` documents of each language,
-    picked by a hash of their text, and keeps units seen at least ``least`` times in
-    them; both bound what reaches the driver. All else covers every document.
+    ``labelled`` has (doc_id, hash, bytes, lang). Texts count once, however often they are
+    repeated: a language gets at most ``docs_per_language`` of them, the first by hash, up
+    to the one with which they reach ``bytes_per_language``. ``pick`` is a document that
+    has the text.
+    """
+    texts = labelled.groupBy("lang", "hash").agg(F.min("doc_id").alias("pick"), F.max("bytes").alias("bytes"))
+    first = Window.partitionBy("lang").orderBy("hash")
+    ranked = texts.select("*", F.row_number().over(first).alias("at")).where(F.col("at") <= docs_per_language)
+    before = F.coalesce(F.sum("bytes").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranked.select("*", before.alias("before")).where(F.col("before") < bytes_per_language).select("pick", "hash", "lang")
+
+
+def fit(
+    docs: DataFrame, docs_per_language: int = 1500, bytes_per_language: int = 24_000_000, longest: int = 4, least: int = 2, smoothing: float = 0.5
+) -> LanguageModel:
+    """Learn from the non-null (text, lang) of ``docs`` (doc_id, text, lang).
+
+    The classifier is fit on whole distinct texts, at most ``docs_per_language`` and about
+    ``bytes_per_language`` of each language (see ``choose``), and keeps units seen at least
+    ``least`` times in them; these bound what reaches the driver. Hashes of texts are
+    shuffled, and only the chosen texts are fetched, by a join with a table of at most
+    ``docs_per_language`` rows a language. All else covers every document.
     """
-    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
-    totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not totals:
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("hash"))
+    chosen = stage(choose(labelled.select("doc_id", "hash", "lang", F.octet_length("text").alias("bytes")), docs_per_language, bytes_per_language), "language-sample")
+    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
+    if not languages:
         return LanguageModel([], [{} for _ in range(longest + 1)], [np.zeros((0, 0), np.float32)] * (longest + 1))
-    modulus = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, max(1, n // docs_per_language))])
-    sample = labelled.where(F.pmod(F.xxhash64("text"), modulus[F.col("lang")]) == 0)
+    wanted = F.broadcast(chosen.select("pick", F.col("hash").alias("chosen_hash"), F.col("lang").alias("chosen_lang")))
+    same = (F.col("hash") == F.col("chosen_hash")) & (F.col("lang") == F.col("chosen_lang")) & F.col("doc_id").eqNullSafe(F.col("pick"))
+    sample = labelled.join(wanted, same).dropDuplicates(["hash", "lang"]).select("text", "lang")
     seen = sample.mapInPandas(_counts(longest), "lang string, n int, unit string, times long")
     kept = seen.groupBy("n", "unit", "lang").agg(F.sum("times").alias("times"))
     kept = kept.groupBy("n", "unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "times"))).alias("by"), F.sum("times").alias("all")).where(F.col("all") >= least)
-    languages = sorted(totals)
     table = kept.select("n", "unit", *[F.coalesce(F.col("by")[x], F.lit(0)).alias(f"c{i}") for i, x in enumerate(languages)]).toPandas()
     tables, logs = [], []
     for n in range(longest + 1):
@@ -165,7 +187,8 @@ def identify(docs: DataFrame, **options: object) -> DataFrame:
 
     Learns from documents that are not held out (crc32 of doc_id mod 3 is 1) and have a
     lang. A text that is null or has no letter gets ``und`` and 0, as does every text if
-    there is nothing to learn from. Rows are independent: repeated ones get equal results.
+    there is nothing to learn from. Rows are independent: repeated ones get equal results,
+    and a text is learned from once per language, whatever its copies.
     """
     held = holdout(F.col("doc_id"), 3, 1)
     model = fit(docs.where(~held), **options)

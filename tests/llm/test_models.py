@@ -45,6 +45,30 @@ def test_language_without_training_rows_and_without_rows(make_docs):
     assert langid.identify(make_docs([])).count() == 0
 
 
+def test_language_sample_holds_a_text_once_and_is_bounded(spark):
+    hot = spark.range(3000).selectExpr("id AS doc_id", "42L AS hash", "10 AS bytes", "'en' AS lang")
+    other = spark.range(3000, 3500).selectExpr("id AS doc_id", "xxhash64(id) AS hash", "10 AS bytes", "'en' AS lang")
+    long = spark.range(4000, 4010).selectExpr("id AS doc_id", "xxhash64(id) AS hash", "1000 AS bytes", "'de' AS lang")
+    labelled = hot.unionByName(other).unionByName(long)
+    rows = langid.choose(labelled, 400, 2500).collect()
+    by = {lang: [r for r in rows if r["lang"] == lang] for lang in ("en", "de")}
+    assert (len(by["en"]), len(by["de"])) == (250, 3)
+    assert len({r["hash"] for r in by["en"]}) == 250
+    assert [len([r for r in langid.choose(labelled, n, 10**9).collect() if r["lang"] == "en"]) for n in (100, 600)] == [100, 501]
+    # a text beyond the bound is learned from all the same
+    assert [r["lang"] for r in langid.choose(long, 400, 5).collect()] == ["de"]
+
+
+def test_copies_of_a_text_do_not_change_predictions(spark, documents):
+    learned = documents.where("text IS NOT NULL AND lang IS NOT NULL").where(~langid.holdout(F.col("doc_id"), 3, 1))
+    one = learned.orderBy("doc_id").limit(1).select("doc_id", "text", "lang").collect()[0]
+    copies = spark.range(2_000_000, 2_003_000).select(F.col("id").alias("doc_id"), F.lit(one["text"]).alias("text"), F.lit(one["lang"]).alias("lang"))
+    docs = documents.select("doc_id", "text", "lang")
+    plain = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    more = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs.unionByName(copies)).where("doc_id < 2000000").collect()}
+    assert more == plain
+
+
 def test_predictions_ignore_lang_of_held_out_rows(documents):
     held = langid.holdout(F.col("doc_id"), 3, 1)
     changed = documents.withColumn("lang", F.when(held, F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit("z"))
