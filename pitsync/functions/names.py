@@ -23,3 +23,11 @@ def require(df: DataFrame, name: str) -> str:
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Those of ``names`` that ``df`` has, in its spelling; others are left out."""
     return [c for c in (find(df, n) for n in names) if c is not None]
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one until no column of ``df`` begins with it in any case."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name

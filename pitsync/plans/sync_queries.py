@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,7 @@ from pitsync.plans.delivery import import_listing
 from pitsync.plans.registry import Tables, query
 from pitsync.plans.sync import Workspace, apply_batch, export_ranges, export_table, import_ranges, import_table
 from pitsync.session import work_dir
-from pitsync.sources.layouts import compare_layouts, standard_layouts
+from pitsync.sources.layouts import compare_layouts, files_reached, standard_layouts
 from pitsync.sources.manifest import file_listing, manifest, manifest_totals, rows_per_file, verify
 from pitsync.sources.sinks import LayoutSpec, PartitionedTable, SnapshotTable, overwrite_partitions, write_layout
 from pitsync.sources.state import current_marks, mark_history, pending_files
@@ -296,6 +297,50 @@ def layout_round_trip(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query("curve_layout", "SELECT * FROM lineitem")
+def curve_layout(t: Tables) -> DataFrame:
+    """Rows along a curve over a number, a date and a text, in partitions and without."""
+    plain, parted = work_dir(t.spark, "curve"), work_dir(t.spark, "curve-parts")
+    layout = LayoutSpec(sort_keys=("l_orderkey", "l_shipdate", "l_linestatus"), clustering="curve")
+    write_layout(t.lineitem, plain, layout)
+    write_layout(t.spark.read.parquet(plain), parted, replace(layout, partition_by=("l_returnflag",)))
+    return t.spark.read.parquet(parted).select(*t.lineitem.columns)
+
+
+@query(
+    "curve_skipping",
+    """
+    WITH cut AS (SELECT max(l_orderkey) // 10 AS k FROM lineitem),
+    found AS (
+        SELECT count(*) FILTER (l_orderkey < k) AS by_key, count(*) FILTER (l_shipdate < DATE '1995-09-01') AS by_date, count(*) AS n
+        FROM lineitem, cut
+    )
+    SELECT layout, filtered, CAST(if(filtered = 'l_orderkey', by_key, by_date) AS BIGINT) AS rows_found, n AS rows_stored,
+           layout = 'curve' OR filtered = 'l_orderkey' AS skips_half
+    FROM found, (VALUES ('range'), ('curve')) l(layout), (VALUES ('l_orderkey'), ('l_shipdate')) f(filtered)
+    """,
+)
+def curve_skipping(t: Tables) -> DataFrame:
+    """A range layout skips files for its first key alone, a curve for both of its columns."""
+    total, last = t.lineitem.agg(F.count("*"), F.max("l_orderkey")).first()
+    ranges = {"l_orderkey": (0, last // 10), "l_shipdate": (datetime(1900, 1, 1), datetime(1995, 9, 1))}
+    out = None
+    for name in ("range", "curve"):
+        path = work_dir(t.spark, f"skip-{name}")
+        layout = LayoutSpec(sort_keys=tuple(ranges), clustering=name, max_records=max(1, total // 64))
+        write_layout(t.lineitem, path, layout)
+        for column, (low, high) in ranges.items():
+            reach = files_reached(t.spark.read.parquet(path), column, low, high).select(
+                F.lit(name).alias("layout"),
+                F.lit(column).alias("filtered"),
+                "rows_found",
+                F.col("rows").alias("rows_stored"),
+                (F.col("rows_reached") * 2 < F.col("rows")).alias("skips_half"),
+            )
+            out = reach if out is None else out.unionByName(reach)
+    return out
+
+
 @query(
     "file_manifest",
     "SELECT count(*) AS total_rows, true AS all_hashed, true AS all_sized FROM orders",

@@ -1,4 +1,4 @@
-"""Comparing file layouts by writing them."""
+"""Comparing file layouts by writing them, and by how many files a filter reaches."""
 
 from __future__ import annotations
 
@@ -56,3 +56,26 @@ def compare_layouts(
         (F.col("size_bytes") == F.min("size_bytes").over(everything)).alias("smallest"),
         (F.col("seconds") == F.min("seconds").over(everything)).alias("fastest"),
     )
+
+
+def files_reached(stored: DataFrame, column: str, low: object, high: object) -> DataFrame:
+    """How far a filter low <= column < high reaches into stored files: files,
+    files_reached, rows, rows_reached (of files that it cannot skip), rows_found.
+
+    A file is skipped where its least and greatest value lie beyond the range, as
+    a reader decides by footers. The bounds are taken from the rows by one aggregation
+    per file.
+    """
+    value = F.col(f"`{column}`")
+    inside = (value >= F.lit(low)) & (value < F.lit(high))
+    by_file = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(value).alias("least"), F.max(value).alias("greatest"), F.count("*").alias("n"), F.count_if(inside).alias("found")
+    )
+    reached = (F.col("greatest") >= F.lit(low)) & (F.col("least") < F.lit(high))
+    return by_file.agg(
+        F.count("*").alias("files"),
+        F.count_if(reached).alias("files_reached"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(reached, F.col("n"))), F.lit(0)).alias("rows_reached"),
+        F.coalesce(F.sum("found"), F.lit(0)).alias("rows_found"),
+    )

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitsync.functions.names import present
+from pitsync.functions.curve import with_curve_key
+from pitsync.functions.names import present, unused
 from pitsync.functions.ordering import content_tiebreak
 from pitsync.operators.dedupe import latest_per_key
 from pitsync.operators.merge import changed_partitions, reject_null_keys, upsert
 from pitsync.operators.project import merge_schema, stamp
 
-CLUSTERINGS = ("sort", "range", "none")
+CLUSTERINGS = ("sort", "range", "curve", "none")
 # The names Hadoop gives to gzip levels 1 to 9.
 GZIP_LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
@@ -31,8 +32,9 @@ class LayoutSpec:
     """How files are written.
 
     ``sort`` orders rows inside each task's files without a shuffle; ``range`` also
-    spreads them by key over the whole output, so that readers skip row groups; ``none``
-    keeps rows as they come. ``max_records`` bounds a file, as checksums and sealing take
+    spreads them by key over the whole output, so that readers skip row groups; ``curve``
+    does so by a space-filling key over all sort keys, so that filters on any of them skip;
+    ``none`` keeps rows as they come. ``max_records`` bounds a file, as checksums and sealing take
     a file as one value.
     """
 
@@ -58,10 +60,19 @@ def arrange(df: DataFrame, layout: LayoutSpec) -> DataFrame:
 
     Hive partitions use REBALANCE, which lets AQE split a hot partition over several
     tasks and join small ones. Range clustering ends its keys with a row hash, so equal
-    keys, however many, still spread over partitions.
+    keys, however many, still spread over partitions. A curve costs one more pass over its
+    columns, which finds their quantiles.
     """
     keys = present(df, layout.sort_keys)
     parts = present(df, layout.partition_by)
+    if keys and layout.clustering == "curve":
+        place = unused("curve_key", df)
+        placed = with_curve_key(df, keys, place)
+        if parts:
+            placed = placed.hint("rebalance", *[F.col(p) for p in parts])
+        else:
+            placed = placed.repartitionByRange(place, content_tiebreak(df))
+        return placed.sortWithinPartitions(*parts, place).drop(place)
     if parts:
         df = df.hint("rebalance", *[F.col(p) for p in parts])
     elif keys and layout.clustering == "range":
