@@ -81,6 +81,11 @@ def multiset_digest(words: Sequence[Column]) -> Column:
     return F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256)
 
 
+def no_rows_digest() -> Column:
+    """What ``multiset_digest`` gives for no rows, which no group stands for."""
+    return F.sha2(F.lit("0"), 256)
+
+
 def keyed_id(key: Column, context: str = "", salt: Column | str = "", length: int = 16) -> Column:
     """Deterministic identifier: leading hex digits of ``sha256(salt:key:context)``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitsync.functions.hashing import multiset_digest, row_words
+from pitsync.functions.hashing import multiset_digest, no_rows_digest, row_words
 
 MANIFEST = "file string, rows long, size_bytes long, checksum_sha256 string"
 
@@ -51,7 +51,8 @@ def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFram
     ``file`` is the path below ``path`` in the encoded form of a URI.
     ``file`` hashes each file's bytes and suits row-bounded chunk files, as a file is one
     value there. ``rows`` hashes the rows of each file instead: no size limit, partial
-    aggregation, and equal contents agree even if encoded differently.
+    aggregation, and equal contents agree even if encoded differently. A file without rows,
+    as Spark writes one for an empty first task, has the digest of no rows.
     """
     if checksum not in ("file", "rows"):
         raise ValueError("checksum is 'file' or 'rows'")
@@ -75,6 +76,7 @@ def manifest(spark: SparkSession, path: str, checksum: str = "file") -> DataFram
             )
         )
         joined = file_listing(spark, path).join(digests, "file", "left")
+        joined = joined.withColumn("checksum_sha256", F.coalesce("checksum_sha256", no_rows_digest()))
     return joined.select(
         "file", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "size_bytes", "checksum_sha256"
     )

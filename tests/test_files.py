@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pitsync.functions.hashing import multiset_digest, row_words
 from pitsync.plans.sync import Workspace, apply_batch, export_table, import_table, run_tables
 from pitsync.session import work_dir
 from pitsync.sources.layouts import compare_layouts, standard_layouts
@@ -352,3 +353,19 @@ def test_stream_upsert_skips_a_repeated_batch(spark, folder):
 def test_work_dir_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x").startswith(f"{shared}/pitsync-x-")
+
+
+@pytest.mark.parametrize("checksum", ["file", "rows"])
+def test_a_file_without_rows_is_verified(spark, folder, checksum):
+    write_layout(spark.range(100, numPartitions=4).where("id >= 50"), f"{folder}/t")  # the first task has no rows
+    listed = manifest(spark, f"{folder}/t", checksum)
+    assert sorted(r["rows"] for r in listed.collect()) == [0, 25, 25]
+    assert {r["status"] for r in verify(listed, listed).collect()} == {"ok"}
+    empty = listed.where("rows = 0").first()
+    assert checksum == "file" or empty["checksum_sha256"] == spark.range(0).agg(multiset_digest(row_words(spark.range(0).schema))).first()[0]
+    before = spark.createDataFrame(listed.collect(), listed.schema)
+    write_layout(spark.range(3).coalesce(1), f"{folder}/other")
+    parts(f"{folder}/other")[0].rename(Path(folder, "t", empty["file"]))
+    Path(folder, "t", f".{empty['file']}.crc").unlink(missing_ok=True)
+    status = {r["file"]: r["status"] for r in verify(before, manifest(spark, f"{folder}/t", checksum)).collect()}
+    assert status.pop(empty["file"]) == "mismatch" and set(status.values()) == {"ok"}
