@@ -140,10 +140,11 @@ def text_scores(model: WindowModel, ids: np.ndarray, lengths: np.ndarray) -> np.
 
 
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(rows, kind="stable")
+    # a vocabulary of less than 65,536 has 16-bit numbers, which numpy sorts by radix
+    order = np.argsort(rows.astype(np.min_scalar_type(rows.max())), kind="stable")
     rows = rows[order]
     begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[begin], np.add.reduceat(values[order], begin, axis=0)
+    return rows[begin], np.add.reduceat(values.take(order, axis=0), begin, axis=0)
 
 
 def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -154,15 +155,16 @@ def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tu
     of_node = np.concatenate([g * of_owner, g], axis=1)
     slope = np.add.reduceat(g * at_nodes, starts, axis=0) * (1 - h * h)
     places = model.weights[2 * size : -1, :hidden]
-    seen = [model.weights[around[:, k], :hidden] for k in range(len(STEPS))]
+    seen = [model.weights.take(around[:, k], axis=0)[:, :hidden] for k in range(len(STEPS))]
     flat = np.zeros((len(STEPS) + 1, hidden + 1), dtype=np.float32)
     flat[:-1, :hidden] = [(slope * s).sum(axis=0) for s in seen]
     flat[-1, :hidden] = slope.sum(axis=0)
     of_token = np.zeros((around.size, hidden + 1), dtype=np.float32)
     of_token[:, :hidden] = (slope[:, None, :] * places[None, :, :]).reshape(-1, hidden)
+    node_rows, of_node = _by_row(nodes, of_node)
     return [
         _by_row(around.ravel(), of_token),
-        _by_row(nodes + size + 1, of_node),
+        (node_rows + (size + 1), of_node),
         (np.arange(2 * size, 2 * size + len(STEPS) + 1), flat),
     ]
 
@@ -170,8 +172,9 @@ def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tu
 def climb(model: WindowModel, touched: np.ndarray, squares: np.ndarray, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One step up the gradient (AdaGrad), in place."""
     for rows, slope in gradient(model, ids, around):
-        squares[rows] += slope * slope
-        model.weights[rows] += rate * slope / np.sqrt(squares[rows])
+        seen = squares.take(rows, axis=0) + slope * slope
+        squares[rows] = seen
+        model.weights[rows] = model.weights.take(rows, axis=0) + rate * slope / np.sqrt(seen)
         touched[rows] += 1
 
 
@@ -296,23 +299,23 @@ def fit(
     tokens: DataFrame,
     size: int | None = None,
     hidden: int = 16,
-    every: int = 16,
+    every: int = 2,
     rounds: int = 2,
     rate: float = 0.3,
     batch_size: int = 1024,
     seed: int = 7,
 ) -> WindowModel:
-    """Count the tokens of all texts, then train the network on windows of all of them.
+    """Count the tokens of all texts, then train the network on all of their windows.
 
     A round takes one window of ``every`` consecutive ones, another in each round, from
-    every text; so what it learns from grows with the corpus. Each task trains from the
+    every text; ``every`` rounds take each window of the corpus once. Each task trains from the
     weights of the round before; then a weight becomes the mean over the tasks that moved
     it, by how often they did, which Spark shuffles by row of the weights. The driver gets
     one row of ``hidden + 1`` numbers per token and per node at most, as the vocabulary is
     fixed.
     """
-    if not 1 <= rounds <= every:
-        raise ValueError("a round needs windows that no other round took")
+    if every < 1 or rounds < 1 or rounds % every:
+        raise ValueError("rounds must take every window, and each as often as any other")
     spark, size = tokens.sparkSession, size or vocabulary_size()
     ids = tokens.select("ids")
     summed = ids.mapInArrow(_token_counts(size), "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
@@ -322,7 +325,7 @@ def fit(
     for part in range(rounds):
         sent = spark.sparkContext.broadcast(model)
         kind = "row int, n double, v array<float>"
-        moved = ids.mapInArrow(_train(sent, part, every, rate / (1 + part), batch_size), kind)
+        moved = ids.mapInArrow(_train(sent, part % every, every, rate / (1 + part), batch_size), kind)
         rows = moved.repartition("row").mapInArrow(_mean(hidden + 1), kind).toArrow().combine_chunks()
         at = rows.column("row").to_numpy()
         weights = model.weights.copy()

@@ -239,6 +239,22 @@ def test_context_is_worth_half_a_nat_on_held_out_texts(coded, lm):
     assert lm_score.text_scores(lm, ids, lengths).sum() / len(ids) > plain + 0.5
 
 
+def test_training_takes_every_window_once(monkeypatch, coded):
+    train, rounds, seen = lm_score._train, [], []
+
+    def noted(sent, part, parts, rate, batch_size):
+        rounds.append((sent, part, parts))
+        return train(sent, part, parts, rate, batch_size)
+
+    monkeypatch.setattr(lm_score, "_train", noted)
+    lm_score.fit(coded.where("doc_id < 3"))
+    monkeypatch.setattr(lm_score, "climb", lambda model, touched, squares, ids, around, rate: seen.extend(ids.tolist()))
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array([list(range(1, 40)), [], [40], list(range(41, 101))], pa.list_(pa.int32()))})
+    for sent, part, parts in rounds:
+        list(train(sent, part, parts, 0.1, 8)(iter([batch])))
+    assert sorted(seen) == list(range(1, 101))
+
+
 def test_batches_are_cut_between_texts(monkeypatch):
     monkeypatch.setattr(lm_score, "TOKENS", 4)
     texts = [[1, 2], [], [3, 4], [5] * 9, [], [6], [7, 8, 9], []]
