@@ -24,6 +24,9 @@ CLUSTERINGS = ("sort", "range", "curve", "none")
 # The names Hadoop gives to gzip levels 1 to 9.
 GZIP_LEVELS = ("BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 
+#: A page ends by its bytes alone. Parquet's own bound of 20,000 rows makes pages of narrow columns so
+#: small that a codec, which starts anew with each page, spends most of its time on starting.
+PAGE_ROWS = 2**31 - 1
 LEVELS = {"gzip": (1, 9), "zstd": (1, 22), "brotli": (0, 11)}
 
 
@@ -103,6 +106,7 @@ def write_layout(
         arranged.write.mode(mode)
         .option("compression", layout.compression)
         .option("parquet.page.size", str(layout.page_bytes))
+        .option("parquet.page.row.count.limit", str(PAGE_ROWS))
         .option("maxRecordsPerFile", layout.max_records)
         .option("partitionOverwriteMode", partition_overwrite)
     )

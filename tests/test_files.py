@@ -369,3 +369,18 @@ def test_a_file_without_rows_is_verified(spark, folder, checksum):
     Path(folder, "t", f".{empty['file']}.crc").unlink(missing_ok=True)
     status = {r["file"]: r["status"] for r in verify(before, manifest(spark, f"{folder}/t", checksum)).collect()}
     assert status.pop(empty["file"]) == "mismatch" and set(status.values()) == {"ok"}
+
+
+def test_pages_end_by_their_bytes(spark, folder):
+    """A page of a narrow column holds far more than 20,000 rows, one of a wide column no more than its bytes."""
+    df = spark.range(100_000, numPartitions=1).selectExpr("CAST(id AS INT) AS narrow", "repeat(sha2(CAST(id AS STRING), 256), 2) AS wide")
+    write_layout(df, f"{folder}/t", LayoutSpec(dictionary=()))
+    assert spark.read.parquet(f"{folder}/t").exceptAll(df).count() == 0
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(str(parts(f"{folder}/t")[0]))
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(place, conf))
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    narrow, wide = (reader.readOffsetIndex(columns.get(k)).getPageCount() for k in (0, 1))
+    reader.close()
+    assert narrow == 1 and 10 <= wide <= 30
