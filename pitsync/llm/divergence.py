@@ -2,58 +2,172 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitsync.llm.ascii import lower_ascii
 from pitsync.llm.staging import stage
 from pitsync.session import work_dir
 
-#: Fixed value: what separates terms, all of ASCII but its letters.
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Fixed value: bytes of UTF-8 between terms, all of ASCII but its letters, become blanks; A-Z become a-z.
+_TERM_BYTES = bytes(ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(128)) + bytes(range(128, 256))
 #: Between lang and term in the vocabulary; no term holds it.
 _MARK = "\0"
 _MAX_INT = 2**31 - 1
+#: Bytes of text that a task counts at once, or those of one longer text.
+HELD = 4_000_000
+#: Counts that a task adds up at once; half of them leave it.
+ADDED = 2_000_000
 #: Fixed measure: shares are parts of 10^9, with 2 added to each count. Decimals keep any 64-bit counts exact.
 _SHARE = "1 + (CAST({count} + 2 AS DECIMAL(20, 0)) * 1000000000BD) div CAST({n} + 2 * {v} AS DECIMAL(20, 0))"
 
 
-def terms(text: Column) -> Column:
-    """The terms of a text in order, with A-Z in lower case."""
-    return F.filter(F.split(lower_ascii(text), _BETWEEN), lambda w: w != "")
+def terms(texts: list[bytes]) -> tuple[np.ndarray, pa.StringArray]:
+    """The terms of texts in UTF-8 in order, with A-Z in lower case, and the number of the text of each."""
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    letters = np.frombuffer(b" ".join([*texts, b""]).translate(_TERM_BYTES), np.uint8)
+    inside = np.zeros(len(letters) + 2, bool)
+    inside[1:-1] = letters != 32
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, lengths = turns[::2], turns[1::2] - turns[::2]
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(letters[inside[1:-1]]))
+    return np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begin, ends), prepend=0)), found
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, rising, and how often each is there; a sort takes less time than numpy's own way."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.diff(values, prepend=-1))
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batches in runs of whole texts of at most ``HELD`` bytes, or one longer text, with these texts."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < len(ends):
+            before = ends[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(ends, before + HELD, side="right")))
+            part = batch.slice(begin, stop - begin)
+            yield part, part.column("text").cast(pa.binary()).to_pylist()
+            begin = stop
+
+
+def _added(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """The tables with the ``n`` of equal rows added up, as far as a task can hold them."""
+    held, rows = [], 0
+    for table in tables:
+        held.append(table)
+        rows += len(table)
+        if rows >= ADDED:
+            table = _sum(held)
+            held, rows = [table], len(table)
+            if rows >= ADDED // 2:
+                yield table
+                held, rows = [], 0
+    if held:
+        yield _sum(held)
+
+
+def _sum(tables: list[pa.Table]) -> pa.Table:
+    names = tables[0].column_names
+    return pa.concat_tables(tables).group_by(names[:-1], use_threads=False).aggregate([("n", "sum")]).rename_columns(names)
+
+
+def _lists(keys: np.ndarray, marked: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
+    """Terms in a list per value of ``keys``, and where a key of each list is."""
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    return order[first], pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), marked.take(pa.array(order)))
+
+
+def _documents(part: pa.RecordBatch, texts: list[bytes]) -> pa.Table:
+    """(term, n): how many of the documents of a lang have the term; its lang is in front."""
+    of_text, found = terms(texts)
+    coded, langs = found.dictionary_encode(), part.column("lang").dictionary_encode()
+    size = max(len(coded.dictionary), 1)
+    once, _ = _counted(of_text * size + coded.indices.to_numpy())
+    pairs, n = _counted(langs.indices.to_numpy()[once // size].astype(np.int64) * size + once % size)
+    of_lang, of_term = langs.dictionary.take(pa.array(pairs // size)), coded.dictionary.take(pa.array(pairs % size))
+    return pa.table({"term": pc.binary_join_element_wise(of_lang, of_term, _MARK), "n": n})
+
+
+def _occurrences(part: pa.RecordBatch, texts: list[bytes]) -> pa.Table:
+    """(source, term, n): how often documents of a source and lang have the term; its lang is in front."""
+    of_text, found = terms(texts)
+    coded = found.dictionary_encode()
+    langs, sources = (part.column(c).dictionary_encode() for c in ("lang", "source"))
+    size, many = max(len(coded.dictionary), 1), max(len(sources.dictionary), 1)
+    group = langs.indices.to_numpy().astype(np.int64) * many + sources.indices.to_numpy()
+    pairs, n = _counted(group[of_text] * size + coded.indices.to_numpy())
+    group, of_term = pairs // size, coded.dictionary.take(pa.array(pairs % size))
+    marked = pc.binary_join_element_wise(langs.dictionary.take(pa.array(group // many)), of_term, _MARK)
+    return pa.table({"source": sources.dictionary.take(pa.array(group % many)), "term": marked, "n": n})
+
+
+def _layers(min_df: int):
+    """Rows of terms: each term is in as many of them as in documents at hand, up to ``min_df``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _added(_documents(*x) for x in _slices(batches)):
+            n = np.minimum(table["n"].to_numpy(), min_df)
+            layer = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            marked = table["term"].combine_chunks().take(pa.array(np.repeat(np.arange(len(n)), n)))
+            yield pa.RecordBatch.from_pydict({"terms": _lists(layer, marked)[1]})
+
+    return run
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of source, times and the terms that are so often in documents of the source at hand."""
+    for table in _added(_occurrences(*x) for x in _slices(batches)):
+        source, times = table["source"].combine_chunks(), table["n"].to_numpy()
+        code = source.dictionary_encode().indices.to_numpy().astype(np.int64)
+        own, lists = _lists(code * (times.max(initial=0) + 1) + times, table["term"].combine_chunks())
+        yield pa.RecordBatch.from_pydict({"source": source.take(pa.array(own)), "times": pa.array(times[own]), "terms": lists})
 
 
 def count_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
-    """(source, vector) per document, and the vocabulary as (index, lang, term).
+    """(source, times, vector) and the vocabulary as (index, lang, term).
 
     One fit counts the terms of every language by itself, as a term enters with its
     language in front, and keeps all that are in at least ``min_df`` documents of it.
     CountVectorizer gathers the vocabulary in the driver and sends it to every executor:
     that much of a corpus, its frequent terms, must fit there.
+
+    It takes its time by the term it is given, so terms are counted where the texts lie. The
+    fit is given rows in which a term is as often as in documents, up to ``min_df``, which
+    decides as they do; the model is given the terms that are equally often in a source's
+    documents at hand, so a vector marks them and holds for all ``times``.
     """
-    marked = docs.select("source", F.transform(terms(F.col("text")), lambda w: F.concat("lang", F.lit(_MARK), w)).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=_MAX_INT).fit(marked)
+    layers = docs.select("text", "lang").mapInArrow(_layers(min_df), "terms array<string>")
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=_MAX_INT).fit(layers)
     path = work_dir(docs.sparkSession, "vocabulary")
     model.save(path)
     keys = docs.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "key"))
     vocabulary = keys.withColumn("term", F.substring_index("key", _MARK, -1)).select(
         "index", F.expr("left(key, length(key) - length(term) - 1)").alias("lang"), "term"
     )
-    return model.transform(marked).select("source", "vector"), vocabulary
+    bags = docs.select("text", "lang", "source").mapInArrow(_bags, "source string, times long, terms array<string>")
+    return model.transform(bags).select("source", "times", "vector"), vocabulary
 
 
 def group_sums(vectors: DataFrame) -> DataFrame:
-    """(source, index, count): the sum of the sparse vectors of every source.
+    """(source, index, count): how often every source has each term of its sparse vectors.
 
     Only entries that occur are summed, before the shuffle and after it, so a hot source
     costs a row per term and task, and no dense vector is ever made.
     """
-    bare = vectors.select("source", F.unwrap_udt("vector").alias("v"))
-    entries = bare.select("source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    return entries.groupBy("source", F.col("e.indices").alias("index")).agg(F.sum(F.col("e.values").cast("long")).alias("count"))
+    entries = vectors.select("source", "times", F.explode(F.unwrap_udt("vector")["indices"]).alias("index"))
+    return entries.groupBy("source", "index").agg(F.sum("times").alias("count"))
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:

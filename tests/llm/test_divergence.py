@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from pitsync.llm import divergence
@@ -81,3 +82,26 @@ def test_shares_are_exact_for_large_counts(spark):
     n, c, v = 9_000_000_000_000_000_000, 8_999_999_999_999_999_990, 3
     got = spark.sql("SELECT " + divergence._SHARE.format(count=f"{c}L", n=f"{n}L", v=f"{v}L")).first()[0]
     assert got == 1 + 10**9 * (c + 2) // (n + 2 * v)
+
+
+def test_vectorizer_is_given_each_term_once_a_count(monkeypatch):
+    rng = random.Random(3)
+    rows = [(" ".join(rng.choices(["Ab", "aB", "É", "ß-x", "q\0r", "日本", "s\u00a0t"], k=k % 40)), "de" if k % 3 else "", f"s{k % 5}") for k in range(150)]
+    assert [divergence.terms([t.encode()])[1].to_pylist() for t, _, _ in rows] == [_terms(t) for t, _, _ in rows]
+    text, lang, source = (list(c) for c in zip(*rows, strict=True))
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(text), "lang": pa.array(lang), "source": pa.array(source)})
+    for held, added in ((10**6, 10**6), (300, 10**6), (300, 40), (1, 1)):
+        monkeypatch.setattr(divergence, "HELD", held)
+        monkeypatch.setattr(divergence, "ADDED", added)
+        layers, bags = (list(run(iter([batch, batch.slice(0, 0)]))) for run in (divergence._layers(10), divergence._bags))
+        given = Counter(t for b in layers for row in b["terms"].to_pylist() for t in set(row))
+        whole = Counter(f"{x}\0{w}" for t, x, _ in rows for w in set(_terms(t)))
+        assert {t for t, n in given.items() if n >= 10} == {t for t, n in whole.items() if n >= 10}
+        got = Counter()
+        for b in bags:
+            for r in b.to_pylist():
+                got.update({(r["source"], t): r["times"] for t in r["terms"]})
+        assert got == Counter((s, f"{x}\0{w}") for t, x, s in rows for w in _terms(t))
+        if added == 10**6:
+            assert sum(len(row) for b in layers for row in b["terms"].to_pylist()) <= 10 * len(whole)
+            assert sum(len(row) for b in bags for row in b["terms"].to_pylist()) == len(got)
