@@ -74,18 +74,20 @@ class RangeTable:
         trees = read_log(self.spark, f"{self.root}/tree", TREE)
         return trees.where(F.col("version") == (head["version"] if head else 0)).drop("version")
 
-    def read(self, leaves: DataFrame | None = None) -> DataFrame:
-        """The rows, of all ranges or of those listed. Ranges that the tree no longer has
-        are not read, though their files may still be there."""
+    def read(self) -> DataFrame:
+        """The rows of all ranges. Ranges that the tree no longer has are not read, though
+        their files may still be there."""
+        return self.placed(self.tree()).drop(LEAF)
+
+    def placed(self, leaves: DataFrame) -> DataFrame:
+        """The rows of the ranges listed, with their ``leaf`` last."""
         head = self.head()
-        schema = T.StructType.fromJson(json.loads(head["schema"]))
+        schema = T.StructType.fromJson(json.loads(head["schema"])).add(LEAF, T.StringType())
         if not head["ranges"]:
             return self.spark.createDataFrame([], schema)
-        schema = schema.add(LEAF, T.StringType())
-        wanted = (self.tree() if leaves is None else leaves).select(LEAF)
         data = self.spark.read.schema(schema).parquet(f"{self.root}/data")
         # at most 16 ** digits short texts
-        return data.join(F.broadcast(wanted), LEAF, "left_semi").drop(LEAF)
+        return data.join(F.broadcast(leaves.select(LEAF)), LEAF, "left_semi").select(*schema.names)
 
     def update(self, df: DataFrame, keys: Sequence[str], run_id: str, digits: int = 2, layout: LayoutSpec = LayoutSpec()) -> dict[str, int]:
         """Make the table hold ``df``; ranges whose rows are as before are not written.
@@ -96,16 +98,24 @@ class RangeTable:
         if not 1 <= digits <= 4:
             raise ValueError("digits is 1 to 4")
         keys = [require(df, k) for k in keys]
-        return self._become(range_digests(df, keys, digits), lambda touched: df.join(F.broadcast(touched), leaf_of(keys, digits) == touched[LEAF], "left_semi"), df.schema, keys, digits, run_id, layout)
+        # the hash of the keys is taken once a row, below the join
+        placed = df.withColumn(LEAF, leaf_of(keys, digits))
+
+        def rows(touched: DataFrame) -> DataFrame:
+            return placed.join(F.broadcast(touched), LEAF, "left_semi").select(*placed.columns)
+
+        return self._become(range_digests(df, keys, digits), rows, df.schema, keys, digits, run_id, layout)
 
     def pull(self, source: RangeTable, run_id: str, layout: LayoutSpec = LayoutSpec()) -> dict[str, int]:
         """Make the table hold what ``source`` does: trees are compared, and only ranges that
-        differ are read from the source."""
+        differ are read from the source. Its files hold a range each, so they are written on
+        as they are read, without a shuffle."""
         head = source.head()
         if head is None:
             raise ValueError(f"{source.root} holds nothing yet")
         schema = T.StructType.fromJson(json.loads(head["schema"]))
-        return self._become(source.tree(), source.read, schema, json.loads(head["keys"]), head["digits"], run_id, layout)
+        layout = replace(layout, lie_together=True)
+        return self._become(source.tree(), source.placed, schema, json.loads(head["keys"]), head["digits"], run_id, layout)
 
     def _become(
         self, tree: DataFrame, rows: Callable[[DataFrame], DataFrame], schema: T.StructType, keys: Sequence[str], digits: int, run_id: str, layout: LayoutSpec
@@ -130,9 +140,8 @@ class RangeTable:
         claim(self.spark, f"{self.root}/versions", version)
         if written:
             touched = status.where("status <> 'deleted'").select(LEAF)
-            placed = rows(touched).withColumn(LEAF, leaf_of(keys, digits))
             by_leaf = replace(layout, partition_by=(LEAF,))
-            seen = write_layout(placed, f"{self.root}/data", by_leaf, "overwrite", "dynamic", [F.count(F.lit(1)).alias("rows")])
+            seen = write_layout(rows(touched), f"{self.root}/data", by_leaf, "overwrite", "dynamic", [F.count(F.lit(1)).alias("rows")])
             result["rows_written"] = seen["rows"]
         new.withColumn("version", F.lit(version).cast("long")).coalesce(1).write.mode("append").parquet(f"{self.root}/tree")
         row = (version, run_id, json.dumps(list(keys)), digits, schema.json(), total, written, deleted, result["rows_written"])

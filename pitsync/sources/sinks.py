@@ -38,7 +38,8 @@ class LayoutSpec:
     spreads them by key over the whole output, so that readers skip row groups; ``curve``
     does so by a space-filling key over all sort keys, so that filters on any of them skip;
     ``none`` keeps rows as they come. ``max_records`` bounds a file, as checksums and sealing take
-    a file as one value.
+    a file as one value. Rows of a Hive partition that ``lie_together`` already are written without
+    a shuffle.
     """
 
     sort_keys: tuple[str, ...] = ()
@@ -49,6 +50,7 @@ class LayoutSpec:
     max_records: int = 500_000
     dictionary: tuple[str, ...] | None = None
     partition_by: tuple[str, ...] = ()
+    lie_together: bool = False
 
     def __post_init__(self) -> None:
         if self.clustering not in CLUSTERINGS:
@@ -71,14 +73,14 @@ def arrange(df: DataFrame, layout: LayoutSpec) -> DataFrame:
     if keys and layout.clustering == "curve":
         place = unused("curve_key", df)
         placed = with_curve_key(df, keys, place)
-        if parts:
+        if parts and not layout.lie_together:
             placed = placed.hint("rebalance", *[F.col(p) for p in parts])
-        else:
+        elif not parts:
             placed = placed.repartitionByRange(place, content_tiebreak(df))
         return placed.sortWithinPartitions(*parts, place).drop(place)
-    if parts:
+    if parts and not layout.lie_together:
         df = df.hint("rebalance", *[F.col(p) for p in parts])
-    elif keys and layout.clustering == "range":
+    elif not parts and keys and layout.clustering == "range":
         df = df.repartitionByRange(*[F.col(k) for k in keys], content_tiebreak(df))
     order = parts + [k for k in keys if k not in parts]
     return df.sortWithinPartitions(*order) if order and layout.clustering != "none" else df

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from pitsync.sources import ranges, sinks
 from pitsync.sources.ranges import RangeTable, compare_trees
-from tests.conftest import rows
+from pitsync.sources.sinks import LayoutSpec
+from tests.conftest import plan_of, rows
 
 
 def _files(spark, root):
@@ -74,3 +76,24 @@ def test_trees_are_compared_below_differing_nodes_only(spark):
     new = spark.createDataFrame([("00", 1, "a"), ("01", 1, "x"), ("10", 1, "c"), ("30", 1, "e")], schema)
     assert rows(compare_trees(old, new), "leaf") == [("01", "changed"), ("20", "deleted"), ("30", "new")]
     assert compare_trees(old, old).count() == 0 and compare_trees(old.limit(0), old.limit(0)).count() == 0
+
+
+def test_a_pull_writes_ranges_as_they_lie(spark, folder, monkeypatch):
+    source, target, plans = RangeTable(spark, f"{folder}/a"), RangeTable(spark, f"{folder}/b"), []
+    df = spark.range(900).selectExpr("id", "id % 7 AS v")
+    source.update(df, ["id"], "r1", digits=1, layout=LayoutSpec(max_records=20))
+    write = ranges.write_layout
+
+    def noted(df, path, layout, *rest):
+        if path.endswith("/data"):
+            plans.append(plan_of(sinks.arrange(df, layout)))
+        return write(df, path, layout, *rest)
+
+    monkeypatch.setattr(ranges, "write_layout", noted)
+    assert target.pull(source, "r1", LayoutSpec(sort_keys=("v",)))["rows_written"] == 900
+    assert "rebalance" not in plans[0].lower() and "hashpartitioning" not in plans[0] and "sha2" not in plans[0]
+    assert rows(target.read(), "id") == rows(df, "id") and target.read().columns == df.columns
+    changed = df.withColumn("v", F.when(F.col("id") < 40, 9).otherwise(F.col("v")))
+    source.update(changed, ["id"], "r2", digits=1)
+    target.pull(source, "r2")
+    assert rows(target.read(), "id") == rows(changed, "id")
