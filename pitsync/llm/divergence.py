@@ -24,6 +24,8 @@ _MAX_INT = 2**31 - 1
 HELD = 4_000_000
 #: Counts that a task adds up at once; half of them leave it.
 ADDED = 2_000_000
+#: Terms in a list of the fit at most: CountVectorizer hashes a list whole, which takes more for each term of a long one.
+LISTED = 1000
 #: Fixed measure: shares are parts of 10^9, with 2 added to each count. Decimals keep any 64-bit counts exact.
 _SHARE = "1 + (CAST({count} + 2 AS DECIMAL(20, 0)) * 1000000000BD) div CAST({n} + 2 * {v} AS DECIMAL(20, 0))"
 
@@ -82,10 +84,12 @@ def _sum(tables: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(tables).group_by(names[:-1], use_threads=False).aggregate([("n", "sum")]).rename_columns(names)
 
 
-def _lists(keys: np.ndarray, marked: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
-    """Terms in a list per value of ``keys``, and where a key of each list is."""
+def _lists(keys: np.ndarray, marked: pa.Array, most: int = _MAX_INT) -> tuple[np.ndarray, pa.ListArray]:
+    """Terms in lists of one value of ``keys`` each, of at most ``most`` terms, and where a key of each list is."""
     order = np.argsort(keys, kind="stable")
     first = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    more = -(-np.diff(np.append(first, len(order))) // most)
+    first = np.repeat(first, more) + most * (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more))
     return order[first], pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), marked.take(pa.array(order)))
 
 
@@ -121,7 +125,7 @@ def _layers(min_df: int):
             n = np.minimum(table["n"].to_numpy(), min_df)
             layer = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             marked = table["term"].combine_chunks().take(pa.array(np.repeat(np.arange(len(n)), n)))
-            yield pa.RecordBatch.from_pydict({"terms": _lists(layer, marked)[1]})
+            yield pa.RecordBatch.from_pydict({"terms": _lists(layer, marked, LISTED)[1]})
 
     return run
 
@@ -135,6 +139,16 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"source": source.take(pa.array(own)), "times": pa.array(times[own]), "terms": lists})
 
 
+def by_source(docs: DataFrame) -> DataFrame:
+    """``docs`` in ranges of lang and source, so that a task meets few of them and adds up more.
+
+    Documents of a source are dealt by the hash of ``doc_id``, if there is one, or of the
+    text, so that a large source spreads over many tasks.
+    """
+    dealt = docs.withColumn("dealt", F.xxhash64("doc_id" if "doc_id" in docs.columns else "text"))
+    return dealt.repartitionByRange("lang", "source", "dealt").select("text", "lang", "source")
+
+
 def count_vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
     """(source, times, vector) and the vocabulary as (index, lang, term).
 
@@ -261,10 +275,12 @@ def audit_sources(docs: DataFrame, min_df: int = 10, top: int = 10) -> DataFrame
     A NULL text, lang or source counts as empty, so documents of a NULL and an empty lang
     are one language. Sources without kept terms still have their pairs, and where a
     language keeps no term all values are 0. A source that is alone has no pairs. Repeated
-    rows count each. An empty table gives an empty result; other columns are not looked at.
+    rows count each. An empty table gives an empty result; of other columns only ``doc_id``
+    is looked at, to deal documents to tasks.
     """
-    plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    vectors, vocabulary = count_vectors(plain, min_df)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
+    plain = docs.select(*texts)
+    vectors, vocabulary = count_vectors(by_source(docs.select(*texts, *[c for c in docs.columns if c == "doc_id"])), min_df)
     sums = stage(group_sums(vectors), "source-sums").join(vocabulary, "index")
     per_lang = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
     counted = sums.groupBy("lang", "source").agg(F.sum("count").alias("n"))

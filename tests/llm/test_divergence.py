@@ -105,3 +105,31 @@ def test_vectorizer_is_given_each_term_once_a_count(monkeypatch):
         if added == 10**6:
             assert sum(len(row) for b in layers for row in b["terms"].to_pylist()) <= 10 * len(whole)
             assert sum(len(row) for b in bags for row in b["terms"].to_pylist()) == len(got)
+
+
+def test_lists_given_to_the_vectorizer_are_bounded(monkeypatch):
+    monkeypatch.setattr(divergence, "LISTED", 3)
+    text = pa.array([" ".join("abcdefgh"), "a b c", "h h", ""])
+    batch = pa.RecordBatch.from_pydict({"text": text, "lang": pa.array(["en"] * 4), "source": pa.array(["s", "s", "t", "t"])})
+    layers = [row for b in divergence._layers(2)(iter([batch])) for row in b["terms"].to_pylist()]
+    assert max(map(len, layers)) == 3 and all(len(row) == len(set(row)) for row in layers)
+    assert Counter(t for row in layers for t in row) == {f"en\0{t}": 2 if t in "abch" else 1 for t in "abcdefgh"}
+    bags = [r for b in divergence._bags(iter([batch])) for r in b.to_pylist()]
+    got = sorted((r["source"], t, r["times"]) for r in bags for t in r["terms"])
+    assert got == sorted([("s", f"en\0{t}", 2 if t in "abc" else 1) for t in "abcdefgh"] + [("t", "en\0h", 2)])
+
+
+def test_tasks_meet_few_sources_and_a_hot_one_spreads(spark):
+    rows = [(f"text {k % 5}", ["de", "en"][k % 2], "hot" if k % 4 else f"s{k % 3}") for k in range(2000)]
+    docs = _frame(spark, rows).repartition(7)
+    near = divergence.by_source(docs)
+    assert near.columns == ["text", "lang", "source"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = [Counter(map(tuple, p)) for p in near.rdd.glom().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(parts, Counter()) == Counter(rows)
+    whole = docs.select("text", "lang", "source").rdd.glom().map(lambda p: len({(r[1], r[2]) for r in p})).collect()
+    assert max(len({r[1:] for r in p}) for p in parts) < max(whole)
+    hot = [sum(n for r, n in p.items() if r[1:] == ("en", "hot")) for p in parts]
+    assert max(hot) < sum(hot)
+    assert divergence.by_source(docs.select("text", "lang", "source")).count() == 2000
