@@ -104,29 +104,29 @@ def windows(room: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _forward(model: WindowModel, ids: np.ndarray, around: np.ndarray):
-    """Hidden layer; then per node of each token's path: its vector and number, the token's
-    hidden layer, the side and its score; and where the path of each token begins."""
+    """Hidden layer, with a 1 for the bias, and the embeddings it is from; then per node of each
+    token's path: its row, number, token, side and score; and where the path of each token begins."""
     size, hidden = len(model.tree.first) - 1, model.weights.shape[1] - 1
     w = model.weights
-    places = w[2 * size : -1, :hidden]
-    h = np.repeat(w[-1:, :hidden], len(ids), axis=0)
-    for k, place in enumerate(places):
-        h += w.take(around[:, k], axis=0)[:, :hidden] * place
+    seen = [w.take(around[:, k], axis=0) for k in range(len(STEPS))]
+    h = np.repeat(w[-1:], len(ids), axis=0)
+    for place, embedded in zip(w[2 * size : -1], seen, strict=True):
+        h += embedded * place
     np.tanh(h, out=h)
+    h[:, hidden] = 1
     begin = model.tree.first[ids]
     steps = model.tree.first[ids + 1] - begin
     ends = np.cumsum(steps)
     at = np.repeat(begin - ends + steps, steps) + np.arange(ends[-1])
     nodes, signs = model.tree.nodes.take(at), model.tree.signs.take(at)
-    at_nodes = w.take(nodes + np.int32(size + 1), axis=0)
-    of_owner = np.repeat(h, steps, axis=0)
-    z = signs * (np.einsum("nd,nd->n", at_nodes[:, :hidden], of_owner) + at_nodes[:, hidden])
-    return h, at_nodes[:, :hidden], nodes, of_owner, signs, z, ends - steps
+    at_nodes, owner = w.take(nodes + np.int32(size + 1), axis=0), np.repeat(np.arange(len(ids)), steps)
+    z = signs * np.einsum("nd,nd->n", at_nodes, h.take(owner, axis=0))
+    return h, seen, at_nodes, nodes, owner, signs, z, ends - steps
 
 
 def token_scores(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """log P(token | tokens on both sides) of every token."""
-    _, _, _, _, _, z, starts = _forward(model, ids, around)
+    *_, z, starts = _forward(model, ids, around)
     return np.add.reduceat(np.minimum(z, 0) - np.log(1 + np.exp(-np.abs(z))), starts)
 
 
@@ -139,31 +139,33 @@ def text_scores(model: WindowModel, ids: np.ndarray, lengths: np.ndarray) -> np.
     return sums[ends] - sums[ends - lengths]
 
 
-def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _by_row(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts these rows, the different ones, and where each begins."""
     # a vocabulary of less than 65,536 has 16-bit numbers, which numpy sorts by radix
     order = np.argsort(rows.astype(np.min_scalar_type(rows.max())), kind="stable")
     rows = rows[order]
     begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[begin], np.add.reduceat(values.take(order, axis=0), begin, axis=0)
+    return order, rows[begin], begin
 
 
 def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Rows of the weights and the slope of the summed log probability along them."""
-    size, hidden = len(model.tree.first) - 1, model.weights.shape[1] - 1
-    h, at_nodes, nodes, of_owner, signs, z, starts = _forward(model, ids, around)
+    size = len(model.tree.first) - 1
+    h, seen, at_nodes, nodes, owner, signs, z, starts = _forward(model, ids, around)
     g = (signs / (1 + np.exp(np.clip(z, -60, 60))))[:, None].astype(np.float32)
-    of_node = np.concatenate([g * of_owner, g], axis=1)
-    slope = np.add.reduceat(g * at_nodes, starts, axis=0) * (1 - h * h)
-    places = model.weights[2 * size : -1, :hidden]
-    seen = [model.weights.take(around[:, k], axis=0)[:, :hidden] for k in range(len(STEPS))]
-    flat = np.zeros((len(STEPS) + 1, hidden + 1), dtype=np.float32)
-    flat[:-1, :hidden] = [(slope * s).sum(axis=0) for s in seen]
-    flat[-1, :hidden] = slope.sum(axis=0)
-    of_token = np.zeros((around.size, hidden + 1), dtype=np.float32)
-    of_token[:, :hidden] = (slope[:, None, :] * places[None, :, :]).reshape(-1, hidden)
-    node_rows, of_node = _by_row(nodes, of_node)
+    # values are gathered in the order of their rows, and multiplied where they lie
+    order, node_rows, begin = _by_row(nodes)
+    of_node = h.take(owner[order], axis=0)
+    of_node *= g[order]
+    of_node = np.add.reduceat(of_node, begin, axis=0)
+    at_nodes *= g
+    slope = np.add.reduceat(at_nodes, starts, axis=0)
+    slope *= 1 - h * h  # 0 in the column of the bias
+    flat = np.stack([*(np.einsum("nd,nd->d", slope, s) for s in seen), slope.sum(axis=0)])
+    order, token_rows, begin = _by_row(around.ravel())
+    of_token = (slope[:, None, :] * model.weights[2 * size : -1][None, :, :]).reshape(around.size, -1)
     return [
-        _by_row(around.ravel(), of_token),
+        (token_rows, np.add.reduceat(of_token.take(order, axis=0), begin, axis=0)),
         (node_rows + (size + 1), of_node),
         (np.arange(2 * size, 2 * size + len(STEPS) + 1), flat),
     ]
