@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -19,24 +20,53 @@ from pitsync.llm.staging import stage
 STEPS = (-2, -1, 1, 2)
 #: Tokens scored at once, so that a long text needs no more memory than a short one.
 CHUNK = 4096
+#: Nodes nearest the root whose scores come from products of matrices.
+CROWN = 32
 #: Bytes of ids that leave a task at once, or those of one longer text.
 ENCODED = 4_000_000
 #: Tokens of whole texts that a task works on at once, or those of one longer text.
 TOKENS = 500_000
 
 
+@dataclass(frozen=True)
+class Crown:
+    """The heaviest nodes of a tree, which are above all others, so most steps of most paths.
+
+    A token leaves the crown by door ``door[t]`` after ``below[t]`` steps from its own end.
+    ``sides[d]`` says on which side of each node of the crown the door lies, 0 for nodes that
+    are not on its path.
+    """
+
+    door: np.ndarray
+    below: np.ndarray
+    sides: np.ndarray
+
+
 @dataclass(frozen=True)
 class Tree:
     """A Huffman tree over the vocabulary: its inner nodes from each token up to the root.
 
     The path of token t is ``nodes[first[t]:first[t + 1]]``; ``signs`` says on which side
-    of each node the token lies.
+    of each node the token lies. Nodes are numbered by their weight, the root last.
     """
 
     first: np.ndarray
     nodes: np.ndarray
     signs: np.ndarray
 
+    @cached_property
+    def crown(self) -> Crown:
+        size = len(self.first) - 1
+        bound = max(0, size - 1 - CROWN)
+        below = np.add.reduceat(self.nodes < bound, self.first[:-1], dtype=np.int16)
+        last = self.nodes[self.first[:-1] + np.maximum(below, 1) - 1]
+        _, some, door = np.unique(np.where(below > 0, last, size + np.arange(size)), return_index=True, return_inverse=True)
+        sides = np.zeros((len(some), size - 1 - bound), dtype=np.float32)
+        for d, token in enumerate(some):
+            path = slice(self.first[token] + below[token], self.first[token + 1])
+            sides[d, self.nodes[path] - bound] = self.signs[path]
+        return Crown(door.astype(np.int32), below, sides)
+
 
 @dataclass(frozen=True)
 class WindowModel:
@@ -103,37 +133,55 @@ def windows(room: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([room[at + step] for step in STEPS], axis=1)
 
 
-def _forward(model: WindowModel, ids: np.ndarray, around: np.ndarray):
-    """Hidden layer, with a 1 for the bias, and the embeddings it is from; then per node of each
-    token's path: its row, number, token, side and score; and where the path of each token begins."""
-    size, hidden = len(model.tree.first) - 1, model.weights.shape[1] - 1
-    w = model.weights
-    seen = [w.take(around[:, k], axis=0) for k in range(len(STEPS))]
-    h = np.repeat(w[-1:], len(ids), axis=0)
-    for place, embedded in zip(w[2 * size : -1], seen, strict=True):
-        h += embedded * place
+def _hidden(model: WindowModel, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden layer, with a 1 for the bias; the embeddings it is from, side by side; and the
+    matrix of the places' scales that takes the ones to the other."""
+    w, size = model.weights, len(model.tree.first) - 1
+    columns = w.shape[1]
+    seen = w.take(around.ravel(), axis=0).reshape(len(around), -1)
+    scales = (w[2 * size : -1, None, :] * np.eye(columns, dtype=w.dtype)).reshape(-1, columns)
+    h = seen @ scales
+    h += w[-1]
     np.tanh(h, out=h)
-    h[:, hidden] = 1
-    begin = model.tree.first[ids]
-    steps = model.tree.first[ids + 1] - begin
-    ends = np.cumsum(steps)
-    at = np.repeat(begin - ends + steps, steps) + np.arange(ends[-1])
-    nodes, signs = model.tree.nodes.take(at), model.tree.signs.take(at)
-    at_nodes, owner = w.take(nodes + np.int32(size + 1), axis=0), np.repeat(np.arange(len(ids)), steps)
-    z = signs * np.einsum("nd,nd->n", at_nodes, h.take(owner, axis=0))
-    return h, seen, at_nodes, nodes, owner, signs, z, ends - steps
+    h[:, -1] = 1
+    return h, seen, scales
 
 
-def token_scores(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """log P(token | tokens on both sides) of every token."""
-    *_, z, starts = _forward(model, ids, around)
-    return np.add.reduceat(np.minimum(z, 0) - np.log(1 + np.exp(-np.abs(z))), starts)
+def _scaled(model: WindowModel) -> list[np.ndarray]:
+    """The embeddings, times the scale of each place."""
+    size = len(model.tree.first) - 1
+    return [model.weights[: size + 1] * scale for scale in model.weights[2 * size : -1]]
+
+
+def token_scores(model: WindowModel, ids: np.ndarray, around: np.ndarray, scaled: list[np.ndarray] | None = None) -> np.ndarray:
+    """log P(token | tokens on both sides) of every token.
+
+    No sum runs over more than one token, and so none is rounded by what is scored with it.
+    """
+    w, tree = model.weights, model.tree
+    h = np.repeat(w[-1:], len(ids), axis=0)
+    for place, embedded in enumerate(scaled or _scaled(model)):
+        h += embedded.take(around[:, place], axis=0)
+    np.tanh(h, out=h)
+    h[:, -1] = 1
+    begin = tree.first.take(ids)
+    steps = tree.first.take(ids + 1) - begin
+    ends = np.cumsum(steps)
+    at = np.repeat(begin - ends + steps, steps)
+    at += np.arange(len(at))
+    at_nodes = w.take(tree.nodes.take(at) + np.int32(len(tree.first)), axis=0)
+    z = np.einsum("nd,nd->n", at_nodes, np.repeat(h, steps, axis=0))
+    z *= tree.signs.take(at)
+    low = np.minimum(z, 0)
+    low -= np.log(1 + np.exp(-np.abs(z)))
+    return np.add.reduceat(low, ends - steps)
 
 
 def text_scores(model: WindowModel, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The sum over the tokens of each text."""
     room, at = padded(ids, lengths, len(model.tree.first) - 1)
-    each = [token_scores(model, room[x], windows(room, x)) for x in (at[i : i + CHUNK] for i in range(0, len(at), CHUNK))]
+    scaled = _scaled(model)
+    each = [token_scores(model, room[x], windows(room, x), scaled) for x in (at[i : i + CHUNK] for i in range(0, len(at), CHUNK))]
     sums = np.concatenate([[0.0], *each]).cumsum(dtype=np.float64)
     ends = np.cumsum(lengths)
     return sums[ends] - sums[ends - lengths]
@@ -148,35 +196,71 @@ def _by_row(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, rows[begin], begin
 
 
+def _pull(z: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """The slope of log(1 / (1 + exp(-z))) along the score without its sign."""
+    np.minimum(z, 60, out=z)
+    np.exp(z, out=z)
+    z += 1
+    return np.divide(signs, z, out=z)
+
+
 def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Rows of the weights and the slope of the summed log probability along them."""
-    size = len(model.tree.first) - 1
-    h, seen, at_nodes, nodes, owner, signs, z, starts = _forward(model, ids, around)
-    g = (signs / (1 + np.exp(np.clip(z, -60, 60))))[:, None].astype(np.float32)
-    # values are gathered in the order of their rows, and multiplied where they lie
-    order, node_rows, begin = _by_row(nodes)
-    of_node = h.take(owner[order], axis=0)
-    of_node *= g[order]
-    of_node = np.add.reduceat(of_node, begin, axis=0)
-    at_nodes *= g
-    slope = np.add.reduceat(at_nodes, starts, axis=0)
+    w, tree, crown = model.weights, model.tree, model.tree.crown
+    size, top = len(tree.first) - 1, len(crown.sides[0])
+    # windows with longer paths below the crown come first, so that those of any step are the first ones
+    steps = crown.below.take(ids)
+    order = np.argsort(-steps, kind="stable")
+    ids, around, steps = ids.take(order), around.take(order, axis=0), steps.take(order)
+    h, seen, scales = _hidden(model, around)
+
+    door = crown.door.take(ids)
+    sides, nodes = crown.sides.take(door, axis=0), w[2 * size - top : 2 * size]
+    z = h @ nodes.T
+    z *= sides
+    g = _pull(z, sides)
+    slope = g @ nodes
+    used = np.flatnonzero(np.bincount(door, minlength=len(crown.sides)) @ np.abs(crown.sides))
+    found = [(used + (2 * size - top), (g.T @ h).take(used, axis=0))]
+
+    if steps[0]:
+        long = len(ids) - np.searchsorted(steps[::-1], np.arange(steps[0]), side="right")
+        ends = np.cumsum(long)
+        owner = np.arange(ends[-1]) - np.repeat(ends - long, long)
+        at = tree.first.take(ids).take(owner) + np.repeat(np.arange(steps[0]), long)
+        nodes, signs = tree.nodes.take(at), tree.signs.take(at)
+        at_nodes = w.take(nodes + np.int32(size + 1), axis=0)
+        g = _pull(signs * np.einsum("nd,nd->n", at_nodes, h.take(owner, axis=0)), signs)[:, None]
+        at_nodes *= g
+        for n, end in zip(long.tolist(), ends.tolist()):
+            slope[:n] += at_nodes[end - n : end]
+        # values are gathered in the order of their rows, and multiplied where they lie
+        order, node_rows, begin = _by_row(nodes)
+        of_node = h.take(owner.take(order), axis=0)
+        of_node *= g.take(order, axis=0)
+        found.append((node_rows + (size + 1), np.add.reduceat(of_node, begin, axis=0)))
+
     slope *= 1 - h * h  # 0 in the column of the bias
-    flat = np.stack([*(np.einsum("nd,nd->d", slope, s) for s in seen), slope.sum(axis=0)])
+    seen *= np.concatenate([slope] * len(STEPS), axis=1)
+    ones = np.ones(len(ids), slope.dtype)
+    flat = np.concatenate([ones @ seen, ones @ slope]).reshape(len(STEPS) + 1, -1)
+    found.append((np.arange(2 * size, 2 * size + len(STEPS) + 1), flat))
     order, token_rows, begin = _by_row(around.ravel())
-    of_token = (slope[:, None, :] * model.weights[2 * size : -1][None, :, :]).reshape(around.size, -1)
-    return [
-        (token_rows, np.add.reduceat(of_token.take(order, axis=0), begin, axis=0)),
-        (node_rows + (size + 1), of_node),
-        (np.arange(2 * size, 2 * size + len(STEPS) + 1), flat),
-    ]
+    of_token = (slope @ scales.T).reshape(around.size, -1).take(order, axis=0)
+    found.append((token_rows, np.add.reduceat(of_token, begin, axis=0)))
+    return found
 
 
 def climb(model: WindowModel, touched: np.ndarray, squares: np.ndarray, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One step up the gradient (AdaGrad), in place."""
     for rows, slope in gradient(model, ids, around):
-        seen = squares.take(rows, axis=0) + slope * slope
+        seen = slope * slope
+        seen += squares.take(rows, axis=0)
         squares[rows] = seen
-        model.weights[rows] = model.weights.take(rows, axis=0) + rate * slope / np.sqrt(seen)
+        slope *= rate
+        slope /= np.sqrt(seen, out=seen)
+        slope += model.weights.take(rows, axis=0)
+        model.weights[rows] = slope
         touched[rows] += 1
 
 

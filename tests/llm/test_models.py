@@ -228,6 +228,59 @@ def test_gradient_of_the_window_network():
             assert slope[row, column] == pytest.approx((sums[0] - sums[1]) / 2e-5, abs=1e-4)
 
 
+@pytest.mark.parametrize("crown", [0, 1, 3, 20, 99])
+def test_gradient_is_the_same_in_and_below_the_crown(monkeypatch, crown):
+    monkeypatch.setattr(lm_score, "CROWN", crown)
+    rng = np.random.default_rng(4)
+    start = lm_score._start(rng.integers(0, 900, 40) ** 2, 3, 1)
+    w = start.weights.astype(np.float64)
+    w[41:80, :3] = rng.normal(0, 1, (39, 3))
+    ids, around, tree = rng.integers(0, 40, 60), rng.integers(0, 41, (60, 4)), start.tree
+    want, seen = np.zeros(w.shape), set()
+    for token, places in zip(ids, around, strict=True):
+        h = np.append(np.tanh(w[-1, :3] + (w[places, :3] * w[80:84, :3]).sum(axis=0)), 1)
+        slope = np.zeros(4)
+        for at in range(tree.first[token], tree.first[token + 1]):
+            row, sign = 41 + tree.nodes[at], tree.signs[at]
+            g = sign / (1 + np.exp(sign * (w[row] @ h)))
+            want[row] += g * h
+            slope += g * w[row]
+            seen.add(row)
+        slope *= 1 - h * h
+        np.add.at(want, places, slope * w[80:84])
+        want[80:84] += slope * w[places]
+        want[84] += slope
+    got = np.zeros(w.shape)
+    found = lm_score.gradient(lm_score.WindowModel(tree, w), ids, around)
+    for rows, slope in found:
+        got[rows] += slope
+    rows = np.concatenate([r for r, _ in found]).tolist()
+    assert got == pytest.approx(want, abs=1e-9)
+    assert sorted(rows) == sorted(seen | set(around.ravel().tolist()) | set(range(80, 85)))
+
+
+def test_most_steps_of_the_corpus_are_in_the_crown(coded, lm):
+    tree, crown = lm.tree, lm.tree.crown
+    assert crown.sides.shape == (lm_score.CROWN + 1, lm_score.CROWN)
+    bound = len(tree.first) - 2 - lm_score.CROWN
+    for token in range(0, len(tree.first) - 1, 97):
+        path = slice(tree.first[token] + crown.below[token], tree.first[token + 1])
+        side = np.zeros(lm_score.CROWN)
+        side[tree.nodes[path] - bound] = tree.signs[path]
+        assert crown.sides[crown.door[token]].tolist() == side.tolist()
+        assert (tree.nodes[tree.first[token] : path.start] < bound).all()
+    ids = np.concatenate([r["ids"] for r in coded.collect()])
+    assert crown.below[ids].sum() < 0.6 * np.diff(tree.first)[ids].sum()
+
+
+def test_a_score_is_the_same_whatever_is_scored_with_it(lm):
+    rng = np.random.default_rng(6)
+    ids, around = rng.integers(0, 300, 500), rng.integers(0, 300, (500, 4))
+    whole = lm_score.token_scores(lm, ids, around)
+    for some in (slice(7, 8), slice(100, 119), slice(0, 400, 3)):
+        assert lm_score.token_scores(lm, ids[some], around[some]).tolist() == whole[some].tolist()
+
+
 def test_context_is_worth_half_a_nat_on_held_out_texts(coded, lm):
     held = [r["ids"] for r in coded.where("doc_id % 10 = 3").collect()]
     ids, lengths = np.concatenate(held).astype(np.int32), np.array([len(x) for x in held])
