@@ -9,6 +9,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -130,20 +131,21 @@ def padded(ids: np.ndarray, lengths: np.ndarray, edge: int) -> tuple[np.ndarray,
 
 def windows(room: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The tokens at the places around each of these tokens, one row each."""
-    return np.stack([room[at + step] for step in STEPS], axis=1)
+    return room.take(at[:, None] + STEPS)
 
 
 def _hidden(model: WindowModel, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hidden layer, with a 1 for the bias; the embeddings it is from, side by side; and the
-    matrix of the places' scales that takes the ones to the other."""
+    """Hidden layer, with a 1 for the bias and zeros up to an even width; the embeddings it is
+    from, side by side; and per place the matrix that takes the ones to the other."""
     w, size = model.weights, len(model.tree.first) - 1
     columns = w.shape[1]
     seen = w.take(around.ravel(), axis=0).reshape(len(around), -1)
-    scales = (w[2 * size : -1, None, :] * np.eye(columns, dtype=w.dtype)).reshape(-1, columns)
-    h = seen @ scales
-    h += w[-1]
+    even = np.eye(columns, columns + columns % 2, dtype=w.dtype)
+    scales = w[2 * size : -1, :, None] * even
+    h = seen @ scales.reshape(-1, scales.shape[2])
+    h += w[-1] @ even
     np.tanh(h, out=h)
-    h[:, -1] = 1
+    h[:, columns - 1] = 1
     return h, seen, scales
 
 
@@ -191,9 +193,16 @@ def _by_row(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts these rows, the different ones, and where each begins."""
     # a vocabulary of less than 65,536 has 16-bit numbers, which numpy sorts by radix
     order = np.argsort(rows.astype(np.min_scalar_type(rows.max())), kind="stable")
-    rows = rows[order]
-    begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return order, rows[begin], begin
+    rows = rows.take(order)
+    changed = np.ones(len(rows), dtype=bool)
+    np.not_equal(rows[1:], rows[:-1], out=changed[1:])
+    begin = np.flatnonzero(changed)
+    return order, rows.take(begin), begin
+
+
+def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each of these on; two columns at a time, as complex numbers."""
+    return np.add.reduceat(values.view(np.result_type(values, np.complex64)), begin, axis=0).view(values.dtype)
 
 
 def _pull(z: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -212,7 +221,9 @@ def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tu
     steps = crown.below.take(ids)
     order = np.argsort(-steps, kind="stable")
     ids, around, steps = ids.take(order), around.take(order, axis=0), steps.take(order)
-    h, seen, scales = _hidden(model, around)
+    wide, seen, scales = _hidden(model, around)
+    columns = w.shape[1]
+    h = wide[:, :columns]
 
     door = crown.door.take(ids)
     sides, nodes = crown.sides.take(door, axis=0), w[2 * size - top : 2 * size]
@@ -224,55 +235,65 @@ def gradient(model: WindowModel, ids: np.ndarray, around: np.ndarray) -> list[tu
     found = [(used + (2 * size - top), (g.T @ h).take(used, axis=0))]
 
     if steps[0]:
-        long = len(ids) - np.searchsorted(steps[::-1], np.arange(steps[0]), side="right")
+        long = len(ids) - np.bincount(steps)[:-1].cumsum()
         ends = np.cumsum(long)
         owner = np.arange(ends[-1]) - np.repeat(ends - long, long)
         at = tree.first.take(ids).take(owner) + np.repeat(np.arange(steps[0]), long)
         nodes, signs = tree.nodes.take(at), tree.signs.take(at)
         at_nodes = w.take(nodes + np.int32(size + 1), axis=0)
-        g = _pull(signs * np.einsum("nd,nd->n", at_nodes, h.take(owner, axis=0)), signs)[:, None]
+        g = _pull(signs * np.einsum("nd,nd->n", at_nodes, wide.take(owner, axis=0)[:, :columns]), signs)[:, None]
         at_nodes *= g
         for n, end in zip(long.tolist(), ends.tolist()):
             slope[:n] += at_nodes[end - n : end]
         # values are gathered in the order of their rows, and multiplied where they lie
         order, node_rows, begin = _by_row(nodes)
-        of_node = h.take(owner.take(order), axis=0)
+        of_node = wide.take(owner.take(order), axis=0)
         of_node *= g.take(order, axis=0)
-        found.append((node_rows + (size + 1), np.add.reduceat(of_node, begin, axis=0)))
+        found.append((node_rows + (size + 1), _sums(of_node, begin)[:, :columns]))
 
-    slope *= 1 - h * h  # 0 in the column of the bias
-    seen *= np.concatenate([slope] * len(STEPS), axis=1)
-    ones = np.ones(len(ids), slope.dtype)
-    flat = np.concatenate([ones @ seen, ones @ slope]).reshape(len(STEPS) + 1, -1)
+    slope *= (1 - wide * wide)[:, :columns]  # 0 in the column of the bias
+    of_places = np.einsum("nk,npk->pk", slope, seen.reshape(len(ids), len(STEPS), columns))
+    flat = np.vstack([of_places, np.ones(len(ids), slope.dtype) @ slope])
     found.append((np.arange(2 * size, 2 * size + len(STEPS) + 1), flat))
     order, token_rows, begin = _by_row(around.ravel())
-    of_token = (slope @ scales.T).reshape(around.size, -1).take(order, axis=0)
-    found.append((token_rows, np.add.reduceat(of_token, begin, axis=0)))
+    of_token = (slope @ scales.transpose(1, 0, 2).reshape(columns, -1)).reshape(around.size, -1)
+    found.append((token_rows, _sums(of_token.take(order, axis=0), begin)[:, :columns]))
     return found
 
 
 def climb(model: WindowModel, touched: np.ndarray, squares: np.ndarray, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One step up the gradient (AdaGrad), in place."""
-    for rows, slope in gradient(model, ids, around):
-        seen = slope * slope
-        seen += squares.take(rows, axis=0)
-        squares[rows] = seen
-        slope *= rate
-        slope /= np.sqrt(seen, out=seen)
-        slope += model.weights.take(rows, axis=0)
-        model.weights[rows] = slope
-        touched[rows] += 1
+    found = gradient(model, ids, around)
+    rows, slope = (np.concatenate([f[k] for f in found]) for k in (0, 1))  # no row is in two of them
+    seen = slope * slope
+    seen += squares.take(rows, axis=0)
+    squares[rows] = seen
+    slope *= rate
+    slope /= np.sqrt(seen, out=seen)
+    slope += model.weights.take(rows, axis=0)
+    model.weights[rows] = slope
+    touched[rows] += 1
+
+
+def _lengths(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column("ids")
+    if pa.types.is_list(column.type):
+        return column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
 
 
 def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, from arrays or packed, and how many each text has."""
     column = batch.column("ids")
-    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False), _lengths(batch)
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32), _lengths(batch)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in runs of whole texts of at most ``TOKENS`` tokens, or one longer text."""
     for batch in batches:
-        ends = np.cumsum(_lists(batch)[1])
+        ends = np.cumsum(_lengths(batch))
         begin = 0
         while begin < len(ends):
             before = ends[begin - 1] if begin else 0
@@ -281,15 +302,17 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = stop
 
 
-def _encode(path: str, doc_id: pa.DataType):
+def _encode(path: str, doc_id: pa.DataType, packed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path)
 
         def rows(keys: list, ids: list[bytes]) -> pa.RecordBatch:
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
-            return pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, doc_id), "ids": lists})
+            column = pa.array(ids, pa.binary())
+            if not packed:
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
+                column = pa.ListArray.from_arrays(pa.array(offsets), flat)
+            return pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, doc_id), "ids": column})
 
         for batch in batches:
             keys, ids, held = [], [], 0
@@ -308,7 +331,7 @@ def _encode(path: str, doc_id: pa.DataType):
 def _token_counts(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
+        for batch in _pieces(batches):
             total += np.bincount(_lists(batch)[0], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"token": pa.array(seen, pa.int32()), "n": pa.array(total[seen], pa.int64())})
@@ -368,11 +391,14 @@ def _mean(columns: int):
     return run
 
 
-def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids), written: the tokens of each whole text, none for a null or empty one."""
+def encoded(docs: DataFrame, path: str | None = None, packed: bool = False) -> DataFrame:
+    """(doc_id, ids), written: the tokens of each whole text, none for a null or empty one.
+
+    ``packed`` ids are 32-bit numbers in bytes, which Spark moves whole and not one by one.
+    """
     kind = docs.schema["doc_id"].dataType
-    run = _encode(path or vocabulary(), to_arrow_type(kind))
-    ids = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>")
+    run = _encode(path or vocabulary(), to_arrow_type(kind), packed)
+    ids = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, ids {'binary' if packed else 'array<int>'}")
     return stage(ids, "tokens")
 
 
@@ -433,7 +459,7 @@ def score_corpus(docs: DataFrame, model: WindowModel | None = None, path: str |
     repeated ones get equal scores. An empty table gives an empty result; other columns
     are not looked at.
     """
-    tokens = encoded(docs, path)
+    tokens = encoded(docs, path, packed=True)
     model = model or fit(tokens, vocabulary_size(path), **options)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -43,12 +43,11 @@ def tokenizer(ranks_path: str):
 
     def ids(text: str) -> bytes:
         try:
-            found = own.encode(text, allowed_special="all")
+            return own.encode_to_numpy(text, allowed_special="all").tobytes()
         except (ValueError, RuntimeError):  # its pattern matcher ran out of stack
             if not slow:
                 slow.append(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
-            found = slow[0].encode(text, add_special_tokens=False).ids
-        return array("I", found).tobytes()
+            return array("I", slow[0].encode(text, add_special_tokens=False).ids).tobytes()
 
     return ids
 

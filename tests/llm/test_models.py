@@ -228,18 +228,18 @@ def test_gradient_of_the_window_network():
             assert slope[row, column] == pytest.approx((sums[0] - sums[1]) / 2e-5, abs=1e-4)
 
 
-@pytest.mark.parametrize("crown", [0, 1, 3, 20, 99])
-def test_gradient_is_the_same_in_and_below_the_crown(monkeypatch, crown):
+@pytest.mark.parametrize("crown, hidden", [(0, 3), (1, 4), (3, 3), (20, 4), (99, 3)])
+def test_gradient_is_the_same_in_and_below_the_crown(monkeypatch, crown, hidden):
     monkeypatch.setattr(lm_score, "CROWN", crown)
     rng = np.random.default_rng(4)
-    start = lm_score._start(rng.integers(0, 900, 40) ** 2, 3, 1)
+    start = lm_score._start(rng.integers(0, 900, 40) ** 2, hidden, 1)
     w = start.weights.astype(np.float64)
-    w[41:80, :3] = rng.normal(0, 1, (39, 3))
+    w[41:80, :hidden] = rng.normal(0, 1, (39, hidden))
     ids, around, tree = rng.integers(0, 40, 60), rng.integers(0, 41, (60, 4)), start.tree
     want, seen = np.zeros(w.shape), set()
     for token, places in zip(ids, around, strict=True):
-        h = np.append(np.tanh(w[-1, :3] + (w[places, :3] * w[80:84, :3]).sum(axis=0)), 1)
-        slope = np.zeros(4)
+        h = np.append(np.tanh(w[-1, :-1] + (w[places, :-1] * w[80:84, :-1]).sum(axis=0)), 1)
+        slope = np.zeros(hidden + 1)
         for at in range(tree.first[token], tree.first[token + 1]):
             row, sign = 41 + tree.nodes[at], tree.signs[at]
             g = sign / (1 + np.exp(sign * (w[row] @ h)))
@@ -316,6 +316,17 @@ def test_batches_are_cut_between_texts(monkeypatch):
     assert sum(parts, []) == texts and [sum(map(len, p)) for p in parts] == [4, 9, 4]
 
 
+def test_packed_ids_are_the_same_ids(make_docs):
+    docs = make_docs([(1, None), (2, ""), (3, "one two"), (4, "three <|endoftext|> é"), (None, "x" * 5000)])
+    arrays = {r["doc_id"]: r["ids"] for r in lm_score.encoded(docs).collect()}
+    packed = lm_score.encoded(docs, packed=True)
+    assert packed.schema["ids"].dataType.simpleString() == "binary"
+    batch = packed.toArrow().combine_chunks().to_batches()[0]
+    ids, lengths = lm_score._lists(batch.slice(1))
+    keys = batch.column("doc_id").to_pylist()[1:]
+    assert ids.tolist() == sum((arrays[k] for k in keys), []) and lengths.tolist() == [len(arrays[k]) for k in keys]
+
+
 def test_windows_end_where_their_text_ends(coded):
     edge, lengths = 99, np.array([3, 0, 1])
     assert lm_score.windows(*lm_score.padded(np.array([1, 2, 3, 4]), lengths, edge)).tolist() == [[99, 99, 2, 3], [99, 1, 3, 99], [1, 2, 99, 99], [99, 99, 99, 99]]
